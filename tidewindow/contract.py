@@ -81,19 +81,24 @@ PROGRESS_SCHEMA = T.StructType([
 ])
 
 
-def conform(df: DataFrame, contract: tuple[Field, ...] = CLICK_EVENT) -> DataFrame:
+def conform(
+    df: DataFrame,
+    contract: tuple[Field, ...] = CLICK_EVENT,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Read ``df`` with the contract: cast what is there, fill what is missing.
 
     A missing column takes its default; a missing required column becomes null, so
-    that the poison check can name it.
+    that the poison check can name it.  Columns in ``keep`` stay when present.
     """
     present = set(df.columns)
-    return df.select(*[
+    fields = [
         (F.col(f.name) if f.name in present else F.lit(f.default))
         .cast(f.dtype)
         .alias(f.name)
         for f in contract
-    ])
+    ]
+    return df.select(*fields, *[name for name in keep if name in present])
 
 
 # Type changes a reader of the old schema survives.

@@ -7,14 +7,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewindow import contract as C
 from tidewindow.functions import dims, envelope
 from tidewindow.operators import health, lateness, metrics, quality, repair, serving, sessions
+from tidewindow.session import run_folder
 from tidewindow.sinks import external
-from tidewindow.sources.clickstream import CLICKSTREAM_POLICY, clickstream, read_events
+from tidewindow.sinks.tables import Tables
+from tidewindow.sources.clickstream import (
+    CLICKSTREAM_POLICY,
+    as_clickstream,
+    clickstream,
+    read_events,
+)
+from tidewindow.sources.tables import read_progress
+from tidewindow.sources.topics import file_stream
+from tidewindow.streaming.job import StreamJob
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -309,3 +319,18 @@ def watermark_lag_1m(spark, sf_dir):
 @registered
 def ingest_latency(spark, sf_dir):
     return health.ingest_latency(clickstream(spark, sf_dir))
+
+
+@registered
+def batch_health(spark, sf_dir):
+    """Stream the events through the job and look at how its batches went."""
+    events = file_stream(
+        spark, sf_dir, read_events(spark, sf_dir).schema, files_per_trigger=1,
+        pattern="events.parquet",
+    )
+    root = run_folder(spark, "job")
+    tables = Tables(f"{root}/tables")
+    query = StreamJob(tables).start(as_clickstream(events), f"{root}/checkpoint", availableNow=True)
+    query.awaitTermination()
+    progress = health.progress_table(spark, query.recentProgress)
+    return health.batch_health(progress, read_progress(spark, tables))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidewindow.contract import (
     COLD_SCHEMA,
+    EVENT_SCHEMA,
     LATE_SCHEMA,
     METRIC_KEY,
     METRIC_SCHEMA,
@@ -26,6 +27,10 @@ HOT_SCHEMA = T.StructType([
     T.StructField("window_date", T.DateType()),
     T.StructField("batch_id", T.LongType()),
 ])
+REPLAYED_SCHEMA = T.StructType([
+    *EVENT_SCHEMA.fields,
+    T.StructField("replay_id", T.LongType()),
+])
 
 
 @dataclass(frozen=True)
@@ -54,6 +59,10 @@ class Tables:
     def progress(self) -> str:
         return f"{self.root}/progress"
 
+    @property
+    def replayed(self) -> str:
+        return f"{self.root}/replayed_events"
+
     def open_windows(self, batch_id: int) -> str:
         """Two places in turn: a batch reads one and replaces the other."""
         return f"{self.root}/open_windows/{batch_id % 2}"
@@ -66,6 +75,7 @@ class Tables:
             (self.late, LATE_SCHEMA, ["batch_id"]),
             (self.poison, POISON_SCHEMA, ["batch_id"]),
             (self.progress, PROGRESS_SCHEMA, ["batch_id"]),
+            (self.replayed, REPLAYED_SCHEMA, ["replay_id"]),
         ):
             empty = spark.createDataFrame([], schema)
             empty.write.mode("append").partitionBy(*parts).parquet(path)

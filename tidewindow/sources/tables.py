@@ -14,7 +14,7 @@ from tidewindow.contract import (
     PROGRESS_SCHEMA,
 )
 from tidewindow.operators.repair import day_range
-from tidewindow.sinks.tables import HOT_SCHEMA, Tables
+from tidewindow.sinks.tables import HOT_SCHEMA, REPLAYED_SCHEMA, Tables
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -49,6 +49,10 @@ def read_progress(spark: SparkSession, tables: Tables) -> DataFrame:
     return _read(spark, tables.progress, PROGRESS_SCHEMA)
 
 
+def read_replayed(spark: SparkSession, tables: Tables) -> DataFrame:
+    return _read(spark, tables.replayed, REPLAYED_SCHEMA)
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
