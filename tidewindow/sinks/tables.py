@@ -11,11 +11,8 @@ from pyspark.sql import types as T
 from tidewindow.contract import (
     COLD_SCHEMA,
     EVENT_SCHEMA,
-    LATE_SCHEMA,
     METRIC_KEY,
     METRIC_SCHEMA,
-    POISON_SCHEMA,
-    PROGRESS_SCHEMA,
 )
 from tidewindow.functions.dims import cold_projection
 
@@ -69,16 +66,13 @@ class Tables:
 
     def create(self, spark: SparkSession) -> None:
         """Make sure every table can be read before the first batch wrote to it."""
-        for path, schema, parts in (
-            (self.hot, HOT_SCHEMA, ["window_date", "batch_id"]),
-            (self.cold, COLD_SCHEMA, ["event_date", "batch_id"]),
-            (self.late, LATE_SCHEMA, ["batch_id"]),
-            (self.poison, POISON_SCHEMA, ["batch_id"]),
-            (self.progress, PROGRESS_SCHEMA, ["batch_id"]),
-            (self.replayed, REPLAYED_SCHEMA, ["replay_id"]),
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in (
+            self.hot, self.cold, self.late, self.poison, self.progress, self.replayed,
         ):
-            empty = spark.createDataFrame([], schema)
-            empty.write.mode("append").partitionBy(*parts).parquet(path)
+            folder = hadoop.Path(path)
+            folder.getFileSystem(conf).mkdirs(folder)
 
 
 def create_cold_table(spark: SparkSession, name: str, location: str) -> None:

@@ -28,6 +28,7 @@ from tidewindow.operators.lateness import LatePolicy
 from tidewindow.operators.metrics import merge_by_sum, windowed_counts
 from tidewindow.operators.quality import dedup_events, json_value
 from tidewindow.operators.repair import day_range
+from tidewindow.session import pin
 from tidewindow.sinks.tables import Tables, write_batch, write_cold, write_hot
 from tidewindow.sources.tables import read_cold
 
@@ -59,7 +60,8 @@ class StreamJob:
         before = self._reached_before(spark, batch_id)
         tagged = self._tag(batch, before)
         if self.dedup:
-            tagged = self._without_copies(tagged, batch_id)
+            # pinned before history is written, since it was read from history
+            tagged = pin(self._without_copies(tagged, batch_id))
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = tagged.where("reason IS NULL")
