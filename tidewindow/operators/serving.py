@@ -33,6 +33,6 @@ def for_campaign(metrics: DataFrame, campaign: str) -> DataFrame:
     return metrics.where(F.col("campaign_id") == campaign)
 
 
-def metrics_view(spark, metrics: DataFrame, name: str = "metrics_1m") -> None:
+def metrics_view(metrics: DataFrame, name: str = "metrics_1m") -> None:
     """Make the metrics readable by SQL under ``name``."""
     metrics.createOrReplaceTempView(name)
