@@ -17,20 +17,22 @@ def as_clickstream(events: DataFrame) -> DataFrame:
 
     One row in ten arrives 10 to 300 s after its event time.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    delay = F.expr(
-        "CASE WHEN (event_id * 7919) % 10 = 0 THEN 10 + (event_id * 104729) % 291 ELSE 0 END"
+    dated = events.withColumns({
+        "event_ts": F.date_trunc("millisecond", "ts"),
+        "k": F.get_json_object("props", "$.k").cast("int"),
+    })
+    delay_ms = F.expr(
+        "CASE WHEN event_id * 7919 % 10 = 0 THEN 10000 + event_id * 104729 % 291 * 1000 ELSE 0 END"
     )
-    dated = events.withColumn("event_ts", F.date_trunc("millisecond", "ts"))
     return dated.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.expr("concat('user_', user_id)").alias("user_id"),
         F.expr("concat('sess_user_', user_id, '_', 1 + event_id % 10)").alias("session_id"),
         "event_type",
         "event_ts",
-        (F.col("event_ts") + F.make_dt_interval(secs=delay)).alias("ingest_ts"),
+        F.timestamp_millis(F.unix_millis("event_ts") + delay_ms).alias("ingest_ts"),
         F.lit("events").alias("source"),
-        F.when(k < 50, F.concat(F.lit("camp_"), k % 10)).alias("campaign_id"),
+        F.expr("CASE WHEN k < 50 THEN concat('camp_', k % 10) END").alias("campaign_id"),
         F.expr("elt(1 + user_id % 3, 'mobile', 'desktop', 'tablet')").alias("device"),
         F.expr("elt(1 + user_id div 3 % 3, 'US', 'EU', 'APAC')").alias("geo"),
         F.lit("v1").alias("schema_version"),

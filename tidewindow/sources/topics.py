@@ -70,12 +70,16 @@ def avro_event(body: str | Column, schema_json: str) -> Column:
 
 def decode_avro_topic(raw: DataFrame, schema_json: str) -> DataFrame:
     """Envelope and Avro body to event columns plus ``reason``, null for a good row."""
-    opened = unwrap(raw, "value").withColumn("_event", avro_event("body", schema_json))
-    reason = F.when(F.col("envelope_status") != "ok", F.col("envelope_status")).when(
-        F.col("_event").isNull(), "malformed"
+    opened = unwrap(raw, "value")
+    # inline() keeps the decoder from being repeated for every column that uses it
+    events = opened.select(
+        "value", "envelope_status", F.inline(F.array(avro_event("body", schema_json)))
     )
-    return (
-        opened.select("value", reason.alias("reason"), "_event.*")
-        .withColumn("event_ts", F.timestamp_millis("event_ts"))
-        .withColumn("ingest_ts", F.timestamp_millis("ingest_ts"))
+    reason = F.when(F.col("envelope_status") != "ok", F.col("envelope_status")).when(
+        F.col("event_id").isNull(), "malformed"
     )
+    return events.withColumns({
+        "reason": reason,
+        "event_ts": F.timestamp_millis("event_ts"),
+        "ingest_ts": F.timestamp_millis("ingest_ts"),
+    }).drop("envelope_status")

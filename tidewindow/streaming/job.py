@@ -8,9 +8,11 @@ same result and replaces what its first run left behind.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,14 @@ from tidewindow.sources.tables import read_cold
 MICROS = 1_000_000
 
 
+def side_by_side(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
+    """Run independent writes at once; the first failure is raised after all ended."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inherit(write)) for write in writes]:
+            done.result()
+
+
 @dataclass(frozen=True)
 class StreamJob:
     tables: Tables
@@ -64,16 +74,21 @@ class StreamJob:
             tagged = pin(self._without_copies(tagged, batch_id))
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = tagged.where("reason IS NULL")
-            late = good.where("is_late")
-            poison = tagged.where("reason IS NOT NULL").select("raw", "reason")
-            write_cold(good, self.tables.cold, batch_id)
-            write_batch(self._late_rows(late, before), self.tables.late, batch_id)
-            write_batch(poison, self.tables.poison, batch_id)
             seen = self._figures(tagged)
             known = [t for t in (before, seen["newest"]) if t is not None]
             reached = max(known, default=None)
-            self._count(spark, good.where("NOT is_late"), reached, batch_id)
+            good = tagged.where("reason IS NULL")
+            writes = [
+                lambda: write_cold(good, self.tables.cold, batch_id),
+                lambda: self._count(spark, good.where("NOT is_late"), reached, batch_id),
+            ]
+            if seen["late_rows"]:
+                late = self._late_rows(good.where("is_late"), before)
+                writes.append(lambda: write_batch(late, self.tables.late, batch_id))
+            if seen["poison_rows"]:
+                poison = tagged.where("reason IS NOT NULL").select("raw", "reason")
+                writes.append(lambda: write_batch(poison, self.tables.poison, batch_id))
+            side_by_side(spark, writes)
             self._commit(spark, batch_id, reached, seen)
         finally:
             tagged.unpersist()
