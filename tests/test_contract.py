@@ -1,4 +1,5 @@
 import dataclasses
+import json
 
 from conftest import event
 from pyspark.sql import functions as F
@@ -47,6 +48,15 @@ def test_widened_type_passes():
     assert C.breaking_changes((C.Field("n", T.LongType()),), old) == [("n", "changed_type")]
 
 
+def test_reader_schema():
+    schema = json.loads(C.avro_schema())
+    fields = {f["name"]: f for f in schema["fields"]}
+    assert list(fields) == C.EVENT_COLUMNS
+    assert fields["event_ts"] == {"name": "event_ts", "type": "long"}
+    assert fields["campaign_id"] == {"name": "campaign_id", "type": ["null", "string"], "default": None}
+    assert fields["geo"]["default"] == "unknown" and "default" not in fields["user_id"]
+
+
 def test_violations_count_rows(events_of):
     good = events_of([event(1, 0), event(2, 1)])
     assert C.contract_violations(good).collect() == []

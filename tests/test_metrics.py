@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 from conftest import at, event, offset
+from pyspark.sql import functions as F
 
 from tidewindow.contract import METRIC_SCHEMA
 from tidewindow.operators import health, metrics, ordered, repair, serving, sessions
@@ -113,6 +114,17 @@ def test_running_max_before(spark):
     assert {r.i: r.m for r in found} == expected
 
 
+def test_slices_stay_even_with_copies(spark):
+    """Half of all rows are one exact copy; no slice gets much more than its share."""
+    df = spark.range(20_000, numPartitions=6).selectExpr("if(id % 2 = 0, 7, id) AS t", "1L AS v")
+    ranged = ordered.even_ranges(df, ["t"])
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / 8
+    seen = ordered.running_max_before(df, ["t"], "t", "m")
+    assert seen.count() == 20_000
+    assert seen.where("t = 7 AND m = 7").count() == 10_000  # one odd id is 7 too
+
+
 def test_latest_by_key(spark):
     rows = [(1, "c", "g", "d", n, b) for n, b in ((5, 3), (9, 7), (1, 4))] + [(2, "c", "g", "d", 2, 1)]
     df = spark.createDataFrame(

@@ -14,7 +14,7 @@ from tidewindow.sinks.tables import Tables
 from tidewindow.sources import tables as reads
 from tidewindow.sources.clickstream import CLICKSTREAM_POLICY, clickstream
 from tidewindow.sources.topics import file_stream
-from tidewindow.streaming import native
+from tidewindow.streaming import main, native
 from tidewindow.streaming.job import StreamJob
 from tidewindow.streaming.replay import replay_late_table, served_metrics
 
@@ -296,6 +296,30 @@ def test_as_of_and_rebuild(spark, run):
     assert sum(counted(first_day).values()) == 200
 
 
+def test_sinks_beside_the_tables(spark, run):
+    closed = late_scenario(run)
+    hot, late = [], []
+    job = StreamJob(
+        run.tables,
+        hot_sinks=(lambda df: hot.extend(df.collect()),),
+        late_sinks=(lambda df: late.extend(df.collect()),),
+    )
+    run.job(job)
+    assert {offset(r.window_start): r.event_count for r in hot} == {k[0]: n for k, n in closed.items()}
+    assert len(late) == 5
+
+
+def test_command_line(spark, run):
+    closed = late_scenario(run)
+    args = main.arguments([
+        "--files", run.input, "--files-per-trigger", "1", "--available-now",
+        "--tables", run.tables.root, "--checkpoint", f"{run.folder}/checkpoint",
+    ])
+    main.start(spark, args).awaitTermination(300)
+    assert run.hot() == closed
+    assert main.arguments(["--tables", "t", "--checkpoint", "c"]).topic == "events.raw.v1"
+
+
 def test_native_sessions(spark, run):
     run.add([event(1, 0), event(2, 1800), event(3, 3600.001), event(4, 20_000)])
     session = native.stateful_session(spark)

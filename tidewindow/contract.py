@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -81,6 +82,23 @@ PROGRESS_SCHEMA = T.StructType([
 ])
 
 
+def avro_schema(contract: tuple[Field, ...] = CLICK_EVENT) -> str:
+    """Reader schema in JSON.  Times are plain longs on the wire."""
+    fields = []
+    for f in contract:
+        kind = "long" if isinstance(f.dtype, T.TimestampType) else f.dtype.typeName()
+        entry = {"name": f.name, "type": kind if f.required else ["null", kind]}
+        if f.has_default:
+            entry["default"] = f.default
+        fields.append(entry)
+    return json.dumps({
+        "namespace": "com.platform.events",
+        "type": "record",
+        "name": "ClickstreamEvent",
+        "fields": fields,
+    })
+
+
 def conform(
     df: DataFrame,
     contract: tuple[Field, ...] = CLICK_EVENT,

@@ -57,20 +57,26 @@ def running_over_time(
     )
 
 
+def even_ranges(df: DataFrame, order: Sequence[str], number: str = "_number") -> DataFrame:
+    """Range partitions of even size, also when a third of all rows are exact copies.
+
+    Rows equal in ``order`` are told apart by a number given to each row.  The
+    numbered rows are pinned, so a task that is run again finds the same numbers.
+    """
+    numbered = pin(df.withColumn(number, F.monotonically_increasing_id()))
+    return numbered.repartitionByRange(shuffle_width(df.sparkSession), *order, number)
+
+
 def running_max_before(
     points: DataFrame, order: Sequence[str], value: str, out: str
 ) -> DataFrame:
     """For each row the largest ``value`` of all rows before it in ``order``.
 
-    Rows are range-partitioned into even slices of the order; ties are split by the
-    later order columns, so one hot instant spreads over many slices.  The slices
-    are pinned because range bounds are sampled: both uses below must see the same
-    ones.  What is carried from slice to slice is one row per slice.
+    Rows are cut into even slices of the order, so one hot instant spreads over many
+    slices.  The slices are pinned because range bounds are sampled: both uses below
+    must see the same ones.  What is carried from slice to slice is one row per slice.
     """
-    slices = shuffle_width(points.sparkSession)
-    sliced = pin(
-        points.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
-    )
+    sliced = pin(even_ranges(points, order).withColumn("_slice", F.spark_partition_id()))
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         sliced.groupBy("_slice")
@@ -79,14 +85,14 @@ def running_max_before(
     )
     within = (
         Window.partitionBy("_slice")
-        .orderBy(*order)
+        .orderBy(*order, "_number")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # at most one row per shuffle partition
     return (
         sliced.join(F.broadcast(carried), "_slice")
         .withColumn(out, F.greatest(F.col("_carried"), F.max(value).over(within)))
-        .drop("_slice", "_carried")
+        .drop("_slice", "_carried", "_number")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewindow.operators.ordered import even_ranges
 from tidewindow.operators.quality import json_value
 
 
@@ -21,16 +22,12 @@ def keyed_messages(events: DataFrame, columns: list[str]) -> DataFrame:
 def publish_keyed(events: DataFrame, columns: list[str]) -> DataFrame:
     """Messages in user order, and in time order within a user.
 
-    Range partitioning by (user, time) keeps a user's events in order across
-    consecutive files and splits a user that is too large for one task.
+    Ranges of (user, time) keep a user's events in order across consecutive files
+    and split a user that is too large for one task.
     """
     order = ["key", "event_ts", "event_id"]
-    return (
-        keyed_messages(events, columns)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("key", "value")
-    )
+    ranged = even_ranges(keyed_messages(events, columns), order)
+    return ranged.sortWithinPartitions(*order).select("key", "value")
 
 
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:

@@ -45,11 +45,22 @@ def side_by_side(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
             done.result()
 
 
+Sink = Callable[[DataFrame], None]
+
+
 @dataclass(frozen=True)
 class StreamJob:
+    """Tables to write, rules to apply, and sinks beside the tables.
+
+    ``hot_sinks`` get the windows a batch closes and ``late_sinks`` its late events.
+    A repeated batch calls them again, so a hot sink has to replace by key.
+    """
+
     tables: Tables
     policy: LatePolicy = field(default_factory=LatePolicy)
     dedup: bool = False
+    hot_sinks: tuple[Sink, ...] = ()
+    late_sinks: tuple[Sink, ...] = ()
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run ``stream`` through the job; by default one batch a minute.
@@ -85,6 +96,7 @@ class StreamJob:
             if seen["late_rows"]:
                 late = self._late_rows(good.where("is_late"), before)
                 writes.append(lambda: write_batch(late, self.tables.late, batch_id))
+                writes += [lambda sink=sink: sink(late) for sink in self.late_sinks]
             if seen["poison_rows"]:
                 poison = tagged.where("reason IS NOT NULL").select("raw", "reason")
                 writes.append(lambda: write_batch(poison, self.tables.poison, batch_id))
@@ -187,6 +199,8 @@ class StreamJob:
         closed = F.coalesce(F.col("window_end") <= self._watermark(reached), F.lit(False))
         try:
             write_hot(counts.where(closed), self.tables.hot, batch_id)
+            for sink in self.hot_sinks:
+                sink(counts.where(closed))
             counts.where(~closed).write.mode("overwrite").parquet(
                 self.tables.open_windows(batch_id)
             )
