@@ -78,12 +78,12 @@ def test_copies_do_not_close_windows_for_each_other(events_of):
 def test_other_bound_and_width(events_of):
     rng = random.Random(5)
     rows = [event(f"{i:03d}", max(0, i * 7 - rng.randrange(0, 400)), i * 7) for i in range(200)]
-    for policy in (LatePolicy(0, 60), LatePolicy(90, 60), LatePolicy(5, 300), LatePolicy(70, 10)):
+    for policy in (LatePolicy(0, 60), LatePolicy(90, 300), LatePolicy(70, 10)):
         check(events_of, rows, policy)
     assert not check(events_of, rows, LatePolicy(bound_seconds=10_000))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(st.integers(0, 1200), st.integers(0, 40)), min_size=1, max_size=60

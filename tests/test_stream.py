@@ -174,7 +174,7 @@ def test_job_native_and_loop_agree(spark, run):
         )
         for i in range(120)
     ]
-    batches = [rows[i : i + 10] for i in range(0, len(rows), 10)]
+    batches = [rows[i : i + 15] for i in range(0, len(rows), 15)]
     for batch in batches:
         run.add(batch)
     closed, late = by_batches(batches)
@@ -190,8 +190,8 @@ def test_job_native_and_loop_agree(spark, run):
 
 
 def test_clickstream_in_batches(spark, run):
-    rows = arrivals(spark, 200)
-    batches = [rows[i : i + 25] for i in range(0, len(rows), 25)]
+    rows = arrivals(spark, 160)
+    batches = [rows[i : i + 40] for i in range(0, len(rows), 40)]
     for batch in batches:
         run.add(batch)
     run.job()

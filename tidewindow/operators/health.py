@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewindow.functions.dims import millis, shift, window_start
 from tidewindow.operators.lateness import DEFAULT_POLICY, LatePolicy, tag_late
-from tidewindow.operators.ordered import exact_quantiles, running_over_time
+from tidewindow.operators.ordered import by_day, exact_quantiles, running_over_time
 
 # Alert thresholds and backpressure bands.
 LATE_RATE_ALERT = 0.1
@@ -63,7 +63,8 @@ def watermark_lag(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> Dat
     minutes = events.groupBy(window_start("ingest_ts").alias("arrival_minute")).agg(
         F.max("event_ts").alias("newest")
     )
-    lag = running_over_time(minutes, "arrival_minute", "newest", "seen", largest=True).select(
+    dated = by_day(minutes, "arrival_minute")
+    lag = running_over_time(dated, "arrival_minute", "newest", "seen", largest=True).select(
         "arrival_minute",
         shift("seen", -policy.bound_seconds).alias("watermark"),
         (

@@ -18,7 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewindow.functions.dims import late_payload, millis, shift, window_end, window_start
-from tidewindow.operators.ordered import join_sized, running_max_before, running_over_time
+from tidewindow.operators.ordered import (
+    by_day,
+    join_sized,
+    running_max_before,
+    running_over_time,
+)
 
 
 @dataclass(frozen=True)
@@ -48,9 +53,10 @@ def window_closers(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> Da
         window_start(shift("event_ts", -bound), width).alias("closes"),
         window_end("event_ts", width).alias("opened"),
     ).agg(F.min(policy.arrival_key()).alias("first"))
+    ends = firsts.selectExpr("stack(2, closes, first, false, opened, null, true) AS (edge, first, used)")
     edges = (
-        firsts.selectExpr("stack(2, closes, first, false, opened, null, true) AS (edge, first, used)")
-        .groupBy("edge")
+        by_day(ends, "edge")
+        .groupBy("_day", "edge")
         .agg(F.min("first").alias("first"), F.max("used").alias("used"))
     )
     return (
@@ -83,10 +89,11 @@ def late_only(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> DataFra
 def late_events(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> DataFrame:
     """Late events with every column, the watermark they met, and their text form.
 
-    Only late rows and one step per distinct event time are put in order: the step
-    of a time sits where that time first arrived.
+    Put in order are only the late rows and one step per distinct event time, where
+    that time first arrived.  Late events never move the watermark and give no steps.
     """
-    late = late_only(events, policy)
+    tagged = tag_late(events, policy)
+    late = tagged.where("is_late").drop("is_late")
     names = late.columns
     row = F.struct(*names)
     kinds = dict(late.dtypes)
@@ -97,7 +104,8 @@ def late_events(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> DataF
         F.lit(None).cast("timestamp").alias("_reached"),
     )
     steps = (
-        events.groupBy(F.col("event_ts").alias("_reached"))
+        tagged.where("NOT is_late")
+        .groupBy(F.col("event_ts").alias("_reached"))
         .agg(F.min(F.struct(*policy.arrival)).alias("_first"))
         .select(
             *[F.col("_first")[c].alias(o) for c, o in zip(policy.arrival, order)],

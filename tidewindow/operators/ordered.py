@@ -27,18 +27,22 @@ def join_sized(
     return big.join(F.broadcast(small) if fits else small, list(on), how)
 
 
+def by_day(table: DataFrame, at: str) -> DataFrame:
+    """Bring the rows of a day together; meant for tables of a few rows per minute."""
+    return table.withColumn("_day", F.unix_date(F.to_date(at))).repartition("_day")
+
+
 def running_over_time(
-    table: DataFrame, at: str, value: str, out: str, largest: bool
+    dated: DataFrame, at: str, value: str, out: str, largest: bool
 ) -> DataFrame:
     """Running maximum in time order, or running minimum in reverse time order.
 
-    ``table`` has one row per instant ``at`` of minute resolution, so a day is at
+    ``dated`` comes from ``by_day`` and has one row per minute ``at``, so a day is at
     most 1,440 rows; only the day totals are ordered as a whole.  The running value
     includes the row itself.
     """
     fold, pick = (F.max, F.greatest) if largest else (F.min, F.least)
     order = (lambda c: F.col(c).asc()) if largest else (lambda c: F.col(c).desc())
-    dated = table.withColumn("_day", F.unix_date(F.to_date(at)))
     earlier_days = Window.orderBy(order("_day")).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         dated.groupBy("_day")

@@ -206,13 +206,13 @@ FROM events GROUP BY 1""",
     ),
     "dedup_events": f"""{CLICKSTREAM}, sent AS (
     SELECT * FROM clickstream
-    UNION ALL {RESENT} FROM clickstream WHERE event_id LIKE '%3'
+    UNION ALL {RESENT} FROM clickstream
 )
 SELECT {EVENT} FROM sent
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ingest_ts) = 1""",
     "replay_late": f"""{ARRIVED}, candidates AS (
     SELECT * FROM tagged WHERE is_late
-    UNION ALL {RESENT} FROM tagged WHERE NOT is_late AND event_id LIKE '%3'
+    UNION ALL {RESENT} FROM tagged WHERE NOT is_late
 ), applied AS (
     SELECT * FROM candidates
     WHERE event_id NOT IN (SELECT event_id FROM tagged WHERE NOT is_late)

@@ -56,12 +56,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
-    """A new, not yet existing folder below the shared one."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, not yet existing folder below the shared one.
+
+    All folders of an application lie together and can be deleted with it.
+    """
+    application = f"{shared_folder(spark)}/tidewindow-{spark.sparkContext.applicationId}"
+    return f"{application}/{label}-{uuid.uuid4().hex}"
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder, so that every later use reads the same rows."""
+    """Checkpoint ``df``, so that every later use reads the same rows."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 

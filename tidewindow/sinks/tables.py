@@ -64,6 +64,10 @@ class Tables:
         """Two places in turn: a batch reads one and replaces the other."""
         return f"{self.root}/open_windows/{batch_id % 2}"
 
+    def without_copies(self, batch_id: int) -> str:
+        """The batch itself after dropping copies, replaced by the one after the next."""
+        return f"{self.root}/without_copies/{batch_id % 2}"
+
     def create(self, spark: SparkSession) -> None:
         """Make sure every table can be read before the first batch wrote to it."""
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

@@ -30,7 +30,6 @@ from tidewindow.operators.lateness import LatePolicy
 from tidewindow.operators.metrics import merge_by_sum, windowed_counts
 from tidewindow.operators.quality import dedup_events, json_value
 from tidewindow.operators.repair import day_range
-from tidewindow.session import pin
 from tidewindow.sinks.tables import Tables, write_batch, write_cold, write_hot
 from tidewindow.sources.tables import read_cold
 
@@ -81,8 +80,11 @@ class StreamJob:
         before = self._reached_before(spark, batch_id)
         tagged = self._tag(batch, before)
         if self.dedup:
-            # pinned before history is written, since it was read from history
-            tagged = pin(self._without_copies(tagged, batch_id))
+            # written before history is, since it was read from history
+            place = self.tables.without_copies(batch_id)
+            once = self._without_copies(tagged, batch_id)
+            once.write.mode("overwrite").parquet(place)
+            tagged = spark.read.schema(once.schema).parquet(place)
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             seen = self._figures(tagged)
