@@ -247,6 +247,12 @@ def test_foreign_tables_are_refused(spark, run, events_of):
         StreamJob(run.tables).process(events_of([event(1, 0)]), 4)
 
 
+def test_stream_without_a_required_column_is_refused(spark, run):
+    run.add([event(1, 0)])
+    with pytest.raises(ValueError, match="session_id"):
+        StreamJob(run.tables).start(run.stream().drop("session_id"), f"{run.folder}/checkpoint")
+
+
 def test_poison_goes_its_own_way(spark, run):
     run.add([
         event(1, 0),

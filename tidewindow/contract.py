@@ -91,12 +91,7 @@ def avro_schema(contract: tuple[Field, ...] = CLICK_EVENT) -> str:
         if f.has_default:
             entry["default"] = f.default
         fields.append(entry)
-    return json.dumps({
-        "namespace": "com.platform.events",
-        "type": "record",
-        "name": "ClickstreamEvent",
-        "fields": fields,
-    })
+    return json.dumps({"type": "record", "name": "ClickEvent", "fields": fields})
 
 
 def conform(

@@ -73,9 +73,9 @@ def watermark_lag(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> Dat
         ).alias("lag_ms"),
     )
     # each sample counts for its own minute and the four after it
-    spread = lag.select(
-        "*", F.posexplode(F.sequence("arrival_minute", shift("arrival_minute", 240), F.expr("INTERVAL 1 MINUTE")))
-    )
+    minute = F.expr("INTERVAL 1 MINUTE")
+    counts_for = F.sequence("arrival_minute", shift("arrival_minute", 240), minute)
+    spread = lag.select("*", F.posexplode(counts_for))
     own = F.col("pos") == 0
     return (
         spread.groupBy(F.col("col").alias("arrival_minute"))

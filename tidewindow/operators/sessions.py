@@ -24,9 +24,10 @@ def session_summary(
     """
     by = list(by)
     gap_ms = gap_seconds * 1000
+    instant = millis("event_ts")
     blocks = (
         events.where(F.col("event_ts").isNotNull())
-        .groupBy(*by, F.floor(millis("event_ts") / F.lit(gap_ms)).alias("_block"))
+        .groupBy(*by, (instant - F.pmod(instant, F.lit(gap_ms))).alias("_block"))
         .agg(
             F.min("event_ts").alias("_from"),
             F.max("event_ts").alias("_to"),

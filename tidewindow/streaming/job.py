@@ -22,6 +22,7 @@ from tidewindow.contract import (
     EVENT_COLUMNS,
     METRIC_SCHEMA,
     PROGRESS_SCHEMA,
+    REQUIRED_COLUMNS,
     conform,
     poison_reason,
 )
@@ -67,6 +68,9 @@ class StreamJob:
         ``stream`` has event columns.  A decoder may add ``reason``, null for a good
         row, and ``value``, the raw message.
         """
+        missing = [name for name in REQUIRED_COLUMNS if name not in stream.columns]
+        if missing:
+            raise ValueError(f"the stream lacks required columns: {', '.join(missing)}")
         self.tables.create(stream.sparkSession)
         return (
             stream.writeStream.option("checkpointLocation", checkpoint)
