@@ -1,5 +1,6 @@
 """Late events against a plain loop in arrival order."""
 
+import functools
 import random
 
 import pytest
@@ -118,3 +119,16 @@ def test_sized_join_is_the_same_either_way(spark, limit):
         [(i % 7, i, i % 7 * 10 if i % 7 < 5 else None) for i in range(1000)], key=repr
     )
     assert ("BroadcastHashJoin" in plan) == (limit > 0)
+
+
+def test_late_flag_beyond_the_broadcast_limit(spark, events_of, monkeypatch):
+    """Most events in one minute, the table of closers joined by shuffling."""
+    rng = random.Random(12)
+    rows = [event(f"{i:03d}", rng.randrange(0, 60), rng.randrange(0, 400)) for i in range(200)]
+    rows += [event(f"x{i:02d}", i * 20, i * 20) for i in range(20)]
+    monkeypatch.setattr(lateness, "join_sized", functools.partial(ordered.join_sized, limit=0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(check(events_of, rows)) > 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
