@@ -5,8 +5,9 @@ from conftest import SF_SMALL
 from oracle_check import database, oracle_rows, spark_rows
 
 import __spark_entry__ as entry_point
+from tidewindow.plans.catalog import QUERIES
+from tidewindow.plans.oracle import ORACLE
 
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 KINDS = {
     "bigint": "BIGINT",
     "string": "VARCHAR",
@@ -46,6 +47,11 @@ def test_batch_health(spark):
     assert rows[0]["error_rate"] == 0.0 and rows[0]["restarts"] == 0
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == [
