@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidewindow.llm import decontaminate, linededup, mixing, quality, simhash
+from tidewindow.llm import decontaminate, linededup, mixing, quality, simhash, suffixdedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_classes(table(spark, sf_dir, "documents"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words are runs of anything but ASCII white space.
@@ -35,3 +35,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def total(values: Column) -> Column:
     """Sum of an array of longs, 0 if it is empty."""
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
+
+
+def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
+    """The id where it names one row; else, for all rows, the id and the text.
+
+    Rows with equal keys are then the same document written down again.
+    """
+    clash = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).filter(
+        (F.col("n") > 1) | F.col(doc_id).isNull()
+    )
+    if clash.isEmpty():
+        return F.col(doc_id)
+    return F.concat(
+        F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"),
+        F.sha2(F.coalesce(F.col(text).cast("binary"), F.lit(b"")), 256),
+    )
