@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidewindow.llm import decontaminate, linededup, mixing, quality, simhash, suffixdedup
+from tidewindow.llm import decontaminate, lattice, linededup, mixing, quality, simhash, suffixdedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@registered
+def op1_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_documents(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))

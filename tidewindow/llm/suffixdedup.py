@@ -292,7 +292,7 @@ def remove_repeats(
     document; with ``with_text`` also ``kept_bytes``, what is left of the text."""
     width = shuffle_width(docs.sparkSession)
     plain = docs.select(
-        F.col(doc_id).alias("_name"), row_key(docs, doc_id, text).alias("_doc"),
+        F.col(doc_id).alias("_name"), row_key(docs, doc_id, text)[0].alias("_doc"),
         F.col(text).cast("binary").alias("_text"),
     )
     kinds = {f.name: f.dataType.simpleString() for f in plain.schema}

@@ -37,8 +37,8 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
-def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
-    """The id where it names one row; else, for all rows, the id and the text.
+def row_key(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, bool]:
+    """The id, and true, if it names one row; else the id with the text, and false.
 
     Rows with equal keys are then the same document written down again.
     """
@@ -46,8 +46,8 @@ def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
         (F.col("n") > 1) | F.col(doc_id).isNull()
     )
     if clash.isEmpty():
-        return F.col(doc_id)
+        return F.col(doc_id), True
     return F.concat(
         F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"),
         F.sha2(F.coalesce(F.col(text).cast("binary"), F.lit(b"")), 256),
-    )
+    ), False
