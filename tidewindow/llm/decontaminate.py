@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewindow.llm.arrow import slices, texts
 
@@ -234,25 +235,26 @@ def find_contamination(
         first.unpersist()
         index.order(counts)
         shared.append(spark.sparkContext.broadcast(index))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in carried)
+    own = [docs.schema[c] for c in carried]
+    found_fields = T.StructType.fromDDL(_FOUND).fields
+    text_field = T.StructField("_text", T.StringType())
     plain = docs.select(*(F.col(f"`{c}`") for c in carried), body)
     if len(shared) <= 1:
-        found = plain.mapInArrow(
-            _find(shared[0] if shared else None, carried, False), f"{schema}, {_FOUND}"
-        )
+        find = _find(shared[0] if shared else None, carried, False)
+        found = plain.mapInArrow(find, T.StructType([*own, *found_fields]))
         return _result(found, carried)
     # Equal rows have equal results, so a row is known by its columns and its text.
     digest = F.sha2(F.coalesce("t", F.lit(b"")), 256).alias("_text")
     keyed = plain.select(*carried, digest, "t")
+    schema = T.StructType([*own, text_field, *found_fields])
     one = None
     for block in shared:
-        part = keyed.mapInArrow(_find(block, [*carried, "_text"], True), f"{schema}, _text string, {_FOUND}")
+        part = keyed.mapInArrow(_find(block, [*carried, "_text"], True), schema)
         one = part if one is None else one.unionByName(part)
     joined = one.groupBy("_text").agg(
         F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items")
     )
-    sized = keyed.mapInArrow(_find(None, [*carried, "_text"], False), f"{schema}, _text string, {_FOUND}")
+    sized = keyed.mapInArrow(_find(None, [*carried, "_text"], False), schema)
     both = sized.drop("spans", "items").join(joined, "_text", "left")
     empty = F.array().cast("array<struct<s:long,e:long>>"), F.array().cast("array<string>")
     return _result(both.select(
@@ -263,6 +265,8 @@ def find_contamination(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns only."""
-    carried = list(docs.columns)
-    found = find_contamination(docs, benchmark, text=text, carry=carried, **options)
-    return found.filter(~F.col("contaminated")).select(*(F.col(f"`{c}`") for c in carried))
+    held = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(text).alias("_body")
+    )
+    found = find_contamination(held, benchmark, text="_body", carry=["_row"], **options)
+    return found.filter(~F.col("contaminated")).select("_row.*")
