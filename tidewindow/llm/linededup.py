@@ -44,7 +44,10 @@ REMEMBERED = 1 << 18
 BROADCAST_LINES = 200_000
 #: Rows of a block, and bytes of lines compared in one step.
 BLOCK_LINES = 1024
+#: Groups of which all pairs are compared together with those of other groups.
+SMALL_GROUP = 8
 BYTES_AT_ONCE = 4 << 20
+CELLS_AT_ONCE = 8 << 20
 
 
 def lines_of(text: bytes, min_bytes: int) -> Iterator[tuple[int, bytes]]:
@@ -170,10 +173,43 @@ def _whole_lines(min_bytes: int):
     return run
 
 
+def trimmed(x: bytes, y: bytes) -> tuple[bytes, bytes]:
+    """Two lines without what they share at their ends; the edit distance stays the same."""
+    low, high = 0, min(len(x), len(y))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if x[low:middle] == y[low:middle] else (low, middle - 1)
+    x, y = x[low:], y[low:]
+    low, high = 0, min(len(x), len(y))
+    while low < high:
+        middle = (low + high + 1) // 2
+        same = x[len(x) - middle : len(x) - low] == y[len(y) - middle : len(y) - low]
+        low, high = (middle, high) if same else (low, middle - 1)
+    return x[: len(x) - low], y[: len(y) - low]
+
+
 def within(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
     """Which pairs have an edit distance of at most ``distance``; ``short`` is not longer.
 
-    Bit-parallel on a band: bit ``b`` of a pair's words stands for the diagonal ``b`` places
+    Pairs are compared without their equal ends, those of like length together.
+    """
+    cut = [trimmed(x, y) for x, y in zip(short, long)]
+    size = np.fromiter((len(y) for _, y in cut), np.int64, len(cut))
+    order = np.argsort(size, kind="stable")
+    ok = np.zeros(len(cut), bool)
+    at = 0
+    while at < len(order):
+        # The longest of a part comes last and sets its width.
+        grown = np.arange(1, len(order) - at + 1) * (size[order[at:]] + 2 * distance + 2)
+        end = at + max(1, int(np.searchsorted(grown, CELLS_AT_ONCE, "right")))
+        part = [cut[i] for i in order[at:end]]
+        ok[order[at:end]] = _banded([x for x, _ in part], [y for _, y in part], distance)
+        at = end
+    return ok
+
+
+def _banded(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
+    """Bit-parallel on a band: bit ``b`` of a pair's words stands for the diagonal ``b`` places
     from the lowest one, so each pair needs one machine word, and one step of a few word
     operations serves all pairs.
     """
@@ -181,8 +217,6 @@ def within(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
     n = np.fromiter(map(len, short), np.int64, count)
     m = np.fromiter(map(len, long), np.int64, count)
     ok = np.zeros(count, bool)
-    if not count:
-        return ok
     width, steps = 2 * distance + 1, int(n.max())
     # Rows of ``long`` begin with ``distance`` bytes that match nothing.
     a = np.full((count, steps), 256, np.int16)
@@ -232,28 +266,48 @@ def _line_links(distance: int):
         return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
 
     def run(batches):
-        left, right = [], []
+        left, right, waiting, size = [], [], [], 0
+
+        def settle():
+            near = within([w[0] for w in waiting], [w[1] for w in waiting], distance)
+            for at in np.flatnonzero(near):
+                left.append(waiting[at][2])
+                right.append(waiting[at][3])
+            waiting.clear()
+
         for group in groups(batches):
             lines = [x or b"" for x in group.column("_bytes").to_pylist()]
             names = group.column("_line").to_pylist()
             block = group.column("_block").to_numpy()
             first = group.column("_first").to_numpy()
-            size = np.fromiter(map(len, lines), np.int64, len(lines))
+            length = np.fromiter(map(len, lines), np.int64, len(lines))
             two, forest = block[0] != block[-1], Forest(len(lines))
             for row in np.flatnonzero(first):
-                rest = np.flatnonzero((forest.root != forest.root[row]) & (size >= size[row]) & (size <= size[row] + distance))
+                fits = (length >= length[row]) & (length <= length[row] + distance)
+                # Two indexed lines of one length meet once.
+                fits[:row] &= ~first[:row] | (length[:row] != length[row])
+                fits[row] = False
                 if two:
-                    rest = rest[block[rest] != block[row]]
-                many = max(1, BYTES_AT_ONCE // int(size[row] + distance))
+                    fits &= block != block[row]
+                rest = np.flatnonzero(fits & (forest.root != forest.root[row]))
+                if len(lines) <= SMALL_GROUP:
+                    waiting += [(lines[row], lines[j], names[row], names[j]) for j in rest]
+                    size += len(lines[row]) * len(rest)
+                    continue
+                many = max(1, BYTES_AT_ONCE // int(length[row] + distance))
                 for at in range(0, len(rest), many):
                     part = rest[at : at + many]
                     near = within([lines[row]] * len(part), [lines[j] for j in part], distance)
                     for other in forest.link(row, part[near]):
                         left.append(names[row])
                         right.append(names[other])
+            if size >= BYTES_AT_ONCE:
+                settle()
+                size = 0
             if len(left) >= 50_000:
                 yield pairs(left, right)
                 left, right = [], []
+        settle()
         yield pairs(left, right)
 
     return run
@@ -311,17 +365,18 @@ def without_repeated_lines(
     lost = classes.filter(~F.col("kept")).groupBy(F.col(doc_id).alias("_id")).agg(
         F.collect_set("line").alias("_lost")
     )
-    joined = docs.join(lost, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-    lines = F.filter(
-        F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains("_lost", i.cast("long"))
-    )
-    rest = F.when(F.col("_lost").isNull(), F.col(text)).otherwise(F.array_join(lines, "\n"))
-    held = joined.withColumn("_rest", rest).filter(
-        F.col("_lost").isNull() | F.col("_rest").rlike(r"[^\x20\x09-\x0D]")
+    names = [f.name for f in docs.schema]
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"))
+    joined = held.join(lost, F.col(f"_row.`{doc_id}`").eqNullSafe(F.col("_id")), "left")
+    old = F.col(f"_row.`{text}`")
+    lines = F.filter(F.split(old, "\n", -1), lambda _, i: ~F.array_contains("_lost", i.cast("long")))
+    untouched = F.col("_lost").isNull()
+    kept = joined.withColumn("_rest", F.when(untouched, old).otherwise(F.array_join(lines, "\n"))).filter(
+        untouched | F.col("_rest").rlike(r"[^\x20\x09-\x0D]")
     )
     new = {text: F.col("_rest")}
     if length:
-        new[length] = F.when(F.col("_lost").isNull(), F.col(length)).otherwise(
+        new[length] = F.when(untouched, F.col(f"_row.`{length}`")).otherwise(
             F.length("_rest").cast(docs.schema[length].dataType)
         )
-    return held.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    return kept.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in names))
