@@ -114,3 +114,19 @@ def test_dedup_keeps_earliest_arrival(events_of):
     copies = [event(1, 0, arrives=n, device=d) for n, d in ((9, "tablet"), (3, "mobile"), (7, "desktop"))]
     rows = quality.dedup_events(events_of([*copies, event(2, 5)])).collect()
     assert sorted((r.event_id, r.device) for r in rows) == [("1", "mobile"), ("2", "mobile")]
+
+
+def test_dedup_keeps_rows_without_a_key(events_of):
+    rows = [
+        {**event(1, 0), "event_id": None}, {**event(2, 0), "event_id": None},
+        event("a", 5, 9), event("a", 5, 7), event("a", 5, 7), event("b", 1, geo=None), event("b", 1, geo=None),
+    ]
+    kept = quality.dedup_events(events_of(rows)).collect()
+    assert sorted((r.event_id or "") for r in kept) == ["", "", "a", "b"]
+    first = next(r for r in kept if r.event_id == "a")
+    assert first.ingest_ts.second == 7
+
+
+def test_dedup_picks_one_of_a_tie(events_of):
+    rows = [event("a", 5, 7, geo=g) for g in ("US", "EU", None)]
+    assert quality.dedup_events(events_of(rows)).count() == 1

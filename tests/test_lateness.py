@@ -4,7 +4,7 @@ import functools
 import random
 
 import pytest
-from conftest import event, offset
+from conftest import at, event, offset
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -127,8 +127,27 @@ def test_late_flag_beyond_the_broadcast_limit(spark, events_of, monkeypatch):
     rows = [event(f"{i:03d}", rng.randrange(0, 60), rng.randrange(0, 400)) for i in range(200)]
     rows += [event(f"x{i:02d}", i * 20, i * 20) for i in range(20)]
     monkeypatch.setattr(lateness, "join_sized", functools.partial(ordered.join_sized, limit=0))
+    monkeypatch.setattr(lateness, "measured", functools.partial(ordered.measured, limit=0))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert len(check(events_of, rows)) > 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("crowded", [0, 1_000_000])
+def test_one_arrival_time_for_all(spark, monkeypatch, crowded):
+    """A load that gives all events one arrival time, in the order of a number or not."""
+    monkeypatch.setattr(lateness, "CROWDED_ROWS", crowded)
+    rng = random.Random(4)
+    rows = [(f"{i:03d}", at(rng.randrange(0, 900)), at(1000), i) for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id string, event_ts timestamp, ingest_ts timestamp, seq long")
+    policy = lateness.LatePolicy(arrival=("ingest_ts", "seq"))
+    seen, late = None, set()
+    for name, ts, _, _ in rows:
+        end = (offset(ts.replace(tzinfo=None)) // 60 + 1) * 60
+        if seen is not None and end <= seen - 5:
+            late.add(name)
+        value = offset(ts.replace(tzinfo=None))
+        seen = value if seen is None else max(seen, value)
+    assert late and {r.event_id for r in lateness.late_only(events, policy).collect()} == late

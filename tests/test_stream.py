@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -247,6 +248,62 @@ def test_foreign_tables_are_refused(spark, run, events_of):
         StreamJob(run.tables).process(events_of([event(1, 0)]), 4)
 
 
+def test_new_checkpoint_on_old_tables_is_refused(spark, run, events_of):
+    """Batch 0 of another stream would replace what is there, batch by batch."""
+    closed = late_scenario(run)
+    run.job()
+    with pytest.raises(RuntimeError, match="do not belong"):
+        StreamJob(run.tables).start(run.stream(), f"{run.folder}/other", availableNow=True)
+    for batch_id in (0, 2):
+        with pytest.raises(RuntimeError, match="do not belong"):
+            StreamJob(run.tables).process(events_of([event("a", 0)]), batch_id)
+    run.job()
+    assert run.hot() == closed and reads.read_cold(spark, run.tables).count() == 205
+
+
+def test_dropping_copies_does_not_depend_on_the_batch(spark, run):
+    """A copy has the id and the event day; an event from long ago changes nothing."""
+    day = 86_400
+    run.add([event(1, 0), event(2, 2 * day)])
+    run.add([event(1, 0, 5), event(2, 3 * day), event(3, -900 * day), event(3, -900 * day, 1)])
+    run.job(StreamJob(run.tables, dedup=True))
+    cold = reads.read_cold(spark, run.tables).select("event_id", "batch_id").collect()
+    assert sorted(map(tuple, cold)) == [("1", 0), ("2", 0), ("2", 1), ("3", 1)]
+
+
+def test_sinks_that_get_the_batch(spark, run):
+    run.add([event(1, 0), event(2, 1, user_id=None)])
+    cold, poison = [], []
+    run.job(StreamJob(
+        run.tables,
+        cold_sinks=(lambda df, batch: cold.append((batch, df.count())),),
+        poison_sinks=(lambda df, batch: poison.append((batch, df.count())),),
+        catalog_table="job_history",
+    ))
+    try:
+        assert cold == [(0, 1)] and poison == [(0, 1)]
+        assert [r.event_id for r in spark.table("job_history").collect()] == ["1"]
+    finally:
+        spark.sql("DROP TABLE job_history")
+
+
+def test_history_of_two_runs(spark, run):
+    """Batches and restarts of all runs are known from the stored tables."""
+    run.add([event(1, 0)])
+    run.job()
+    run.add([event(2, 100)])
+    run.job()
+    figures = health.batch_figures(reads.read_progress(spark, run.tables)).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.rows, r.restarts) for r in figures] == [(0, 1, 1), (1, 1, 1)]
+    for _ in range(60):
+        reports = reads.read_reports(spark, run.tables)
+        if reports.count() == 2:
+            break
+        time.sleep(0.5)
+    rows = health.batch_health(health.progress_table(reports), reads.read_progress(spark, run.tables))
+    assert sorted((r.batch_id, r.input_rows, r.restarts) for r in rows.collect()) == [(0, 1, 1), (1, 1, 1)]
+
+
 def test_stream_without_a_required_column_is_refused(spark, run):
     run.add([event(1, 0)])
     with pytest.raises(ValueError, match="session_id"):
@@ -263,7 +320,7 @@ def test_poison_goes_its_own_way(spark, run):
     run.job()
     poison = reads.read_poison(spark, run.tables).collect()
     assert sorted(r.reason for r in poison) == ["null_event_ts", "null_user_id"]
-    assert all('"event_id":' in r.raw for r in poison)
+    assert all(b'"event_id":' in r.raw for r in poison)
     cold = {r.event_id: r for r in reads.read_cold(spark, run.tables).collect()}
     assert set(cold) == {"1", "3"}
     assert (cold["3"].geo, cold["3"].device, cold["3"].campaign_id) == ("unknown", "unknown", None)
@@ -339,7 +396,7 @@ def test_native_sessions(spark, run):
 def test_health_of_a_run(spark, run):
     late_scenario(run)
     query = run.job()
-    progress = health.progress_table(spark, query.recentProgress)
+    progress = health.progress_table(health.report_rows(spark, query.recentProgress))
     rows = health.batch_health(progress, reads.read_progress(spark, run.tables)).collect()
     assert sorted((r.batch_id, r.input_rows, r.late_rows) for r in rows) == [(0, 200, 0), (1, 5, 5)]
     assert all(r.restarts == 0 and not r.lag_alert for r in rows)
@@ -362,7 +419,7 @@ def test_health_alerts(spark):
         [(0, 8, 0, 2), (1, 10, 0, 0), (2, 0, 0, 0)],
         "batch_id long, rows long, late_rows long, poison_rows long",
     )
-    rows = health.batch_health(health.progress_table(spark, reports), written).orderBy("batch_id").collect()
+    rows = health.batch_health(health.progress_table(health.report_rows(spark, reports)), written).orderBy("batch_id").collect()
     assert [r.backpressure for r in rows] == ["ok", "warn", "high"]
     assert [r.lag_alert for r in rows] == [False, True, False]
     assert [r.error_rate for r in rows] == [0.2, 0.0, None]

@@ -8,12 +8,18 @@ import pytest
 from conftest import SF_SMALL, event, offset
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from tidewindow.contract import COLD_COLUMNS, EVENT_COLUMNS
 from tidewindow.functions import dims
 from tidewindow.operators import health, lateness, metrics, repair, serving
+from tidewindow.plans.catalog import QUERIES
 from tidewindow.sinks import external
-from tidewindow.sinks.tables import Tables, create_cold_table, write_cold, write_hot
+from tidewindow.sinks.tables import (
+    Tables,
+    create_cold_table,
+    register_batch,
+    write_cold,
+    write_hot,
+)
 from tidewindow.sources import tables as reads
 from tidewindow.sources import topics
 from tidewindow.sources.clickstream import CLICKSTREAM_POLICY, clickstream
@@ -35,14 +41,14 @@ def stored(spark, tmp_path_factory):
 def test_cold_table_holds_every_event(spark, stored):
     cold = reads.read_cold(spark, stored)
     expected = dims.cold_projection(clickstream(spark, SF_SMALL))
-    assert cold.columns == [*COLD_COLUMNS, "event_date", "batch_id"]
+    assert cold.columns == [*COLD_COLUMNS, "batch_id", "event_date"]
     assert sorted(cold.select(*COLD_COLUMNS).collect(), key=repr) == sorted(
         expected.collect(), key=repr
     )
 
 
 def test_files_are_sorted_by_time(stored):
-    files = glob.glob(f"{stored.cold}/event_date=*/batch_id=3/*.parquet")
+    files = glob.glob(f"{stored.cold}/batch_id=3/event_date=*/*.parquet")
     assert len(files) == 30
     for file in files:
         times = pq.ParquetFile(file).read(columns=["event_ts"]).column(0).to_pylist()
@@ -82,6 +88,10 @@ def test_rewritten_batch_replaces_its_rows(spark, tmp_path, events_of):
     write_cold(events_of([event(3, 0)]), path, 1)
     rows = spark.read.parquet(path).collect()
     assert sorted((r.event_id, r.batch_id) for r in rows) == [("1", 0), ("2", 0), ("3", 1)]
+    # an attempt that writes fewer days leaves none of the earlier ones
+    write_cold(events_of([event(1, 0)]), path, 0)
+    rows = spark.read.parquet(path).collect()
+    assert sorted((r.event_id, r.batch_id) for r in rows) == [("1", 0), ("3", 1)]
 
 
 def test_catalog_table_is_created_once(spark, stored):
@@ -95,6 +105,20 @@ def test_catalog_table_is_created_once(spark, stored):
         spark.sql("DROP TABLE cold_history")
 
 
+def test_catalog_table_follows_batches(spark, tmp_path, events_of):
+    path = str(tmp_path / "cold")
+    write_cold(events_of([event(1, 0), event(2, 90_000)]), path, 0)
+    create_cold_table(spark, "cold_batches", path)
+    try:
+        for rows, batch in (([event(3, 0)], 1), ([event(1, 0)], 0)):
+            write_cold(events_of(rows), path, batch)
+            register_batch(spark, "cold_batches", path, batch)
+        found = spark.table("cold_batches").select("event_id", "batch_id").collect()
+        assert sorted(map(tuple, found)) == [("1", 0), ("3", 1)]
+    finally:
+        spark.sql("DROP TABLE cold_batches")
+
+
 def test_file_growth(spark, stored):
     stats = {r.event_date: (r.data_files, r.rows) for r in health.file_stats(reads.read_cold(spark, stored)).collect()}
     assert len(stats) == 30 and {files for files, _ in stats.values()} == {1}
@@ -132,10 +156,10 @@ ONE_ROW_PER_TASK_OR_DAY = (
 )
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries().keys() - {"batch_health"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_event_goes_to_a_single_task(spark, name):
     """Global steps see only per-day, per-slice or top-k rows, and nothing is crossed."""
-    text = plan(entry_point.queries()[name](spark, SF_SMALL))
+    text = plan(QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "Python" not in text
     for line in text.splitlines():
@@ -151,6 +175,26 @@ def test_late_flag_needs_no_shuffle_of_events(spark):
     assert "Exchange hashpartitioning" not in text and "Sort " not in text
 
 
+def test_closers_fold_before_any_sort(spark):
+    """Below the first exchange of each step events are neither sorted nor folded by sort."""
+    events = clickstream(spark, SF_SMALL)
+    rows = events.select("ingest_ts", "arrival_seq", "event_ts")
+    first = lateness.first_arrivals(events, CLICKSTREAM_POLICY)
+    text = plan(first)
+    assert "BroadcastHashJoin" in text  # only rows with the smallest arrival are compared whole
+    joined = text[text.index("BroadcastHashJoin"):]
+    assert "Sort" not in joined
+    text = plan(rows.groupBy("event_ts").agg(F.min("ingest_ts"), F.max("ingest_ts"), F.count("*")))
+    assert "HashAggregate" in text and "Sort" not in text
+
+
+def test_dedup_folds_by_hash(spark):
+    from tidewindow.operators import quality
+
+    text = plan(quality.dedup_events(clickstream(spark, SF_SMALL)))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
 def test_topic_options():
     read = topics.kafka_options("b1:9092", topics.RAW_TOPIC, 500)
     assert read["subscribe"] == "events.raw.v1" and read["startingOffsets"] == "earliest"

@@ -57,8 +57,8 @@ METRIC_SCHEMA = T.StructType([
 ])
 COLD_SCHEMA = T.StructType([
     *[EVENT_SCHEMA[name] for name in COLD_COLUMNS],
-    T.StructField("event_date", T.DateType()),
     T.StructField("batch_id", T.LongType()),
+    T.StructField("event_date", T.DateType()),
 ])
 LATE_SCHEMA = T.StructType([
     *EVENT_SCHEMA.fields,
@@ -69,7 +69,7 @@ LATE_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
 ])
 POISON_SCHEMA = T.StructType([
-    T.StructField("raw", T.StringType()),
+    T.StructField("raw", T.BinaryType()),
     T.StructField("reason", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
@@ -78,6 +78,13 @@ PROGRESS_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("late_rows", T.LongType()),
     T.StructField("poison_rows", T.LongType()),
+    T.StructField("query_id", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
+REPORT_SCHEMA = T.StructType([
+    T.StructField("json", T.StringType()),
+    T.StructField("run_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 

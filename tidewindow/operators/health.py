@@ -118,11 +118,40 @@ PROGRESS_JSON = (
 )
 
 
-def progress_table(spark: SparkSession, progress: Sequence) -> DataFrame:
-    """Table from ``query.recentProgress``; its length is bounded by the session."""
+def progress_table(reports: DataFrame) -> DataFrame:
+    """Stored reports (``json``), one row per batch: the newest of a repeated one."""
+    opened = reports.select(F.from_json("json", PROGRESS_JSON).alias("p"), "json")
+    newest = opened.groupBy("p.id", "p.batchId").agg(F.max_by("json", F.coalesce("p.timestamp", F.lit(""))).alias("json"))
+    return newest.select(F.from_json("json", PROGRESS_JSON).alias("p")).select("p.*")
+
+
+def report_rows(spark: SparkSession, progress: Sequence) -> DataFrame:
+    """The reports that a query still holds, as rows; the session bounds their number."""
     texts = [(p.json if hasattr(p, "json") else p,) for p in progress]
-    raw = spark.createDataFrame(texts, "json string")
-    return raw.select(F.from_json("json", PROGRESS_JSON).alias("p")).select("p.*")
+    return spark.createDataFrame(texts, "json string")
+
+
+def restarts_of(runs: DataFrame, query: str, run: str) -> DataFrame:
+    """Per query how many runs followed its first one."""
+    return runs.groupBy(query).agg(
+        F.greatest(F.count_distinct(run) - 1, F.lit(0)).alias("restarts")
+    )
+
+
+def batch_figures(written: DataFrame) -> DataFrame:
+    """Per committed batch: rows, late and poison rows, their share, and restarts so far.
+
+    ``written`` is the progress table of a job, which holds all batches of all runs.
+    A batch that was repeated counts for the run that committed it last.
+    """
+    return written.join(restarts_of(written, "query_id", "run_id"), "query_id").select(
+        "batch_id", "rows", "late_rows", "poison_rows", error_rate(), "restarts"
+    )
+
+
+def error_rate() -> Column:
+    total = F.nullif(F.col("rows") + F.col("poison_rows"), F.lit(0))
+    return F.round(F.col("poison_rows") / total, 6).alias("error_rate")
 
 
 def batch_health(
@@ -130,8 +159,8 @@ def batch_health(
 ) -> DataFrame:
     """Per batch: rows, rates, commit time, busy ratio, errors, restarts, alerts.
 
-    ``progress`` comes from ``progress_table``, ``written`` is the table of committed
-    batches.  Both have one row per batch.
+    ``progress`` comes from ``progress_table`` over the reports of all runs, ``written``
+    is the table of committed batches.  Both have one row per batch.
     """
     behind = F.aggregate(
         "sources",
@@ -140,7 +169,7 @@ def batch_health(
             most, F.coalesce(s["metrics"]["maxOffsetsBehindLatest"].cast("long"), F.lit(0))
         ),
     )
-    runs = progress.groupBy("id").agg((F.count_distinct("runId") - 1).alias("restarts"))
+    runs = restarts_of(progress, "id", "runId")
     busy = F.col("durationMs.triggerExecution") / F.lit(trigger_ms)
     return (
         progress.join(runs, "id")
@@ -161,9 +190,7 @@ def batch_health(
             "rows",
             "late_rows",
             "poison_rows",
-            F.round(
-                F.col("poison_rows") / F.nullif(F.col("rows") + F.col("poison_rows"), F.lit(0)), 6
-            ).alias("error_rate"),
+            error_rate(),
             "restarts",
         )
     )

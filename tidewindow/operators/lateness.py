@@ -21,9 +21,14 @@ from tidewindow.functions.dims import late_payload, millis, shift, window_end, w
 from tidewindow.operators.ordered import (
     by_day,
     join_sized,
+    measured,
     running_max_before,
     running_over_time,
 )
+from tidewindow.session import pin
+
+# Rows of minutes with a single arrival time, above which keys are folded further.
+CROWDED_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -46,16 +51,43 @@ class LatePolicy:
 DEFAULT_POLICY = LatePolicy()
 
 
+def first_arrivals(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> DataFrame:
+    """``closes, first``: per window end the smallest arrival key of the events that reach
+    ``bound`` beyond it and not beyond the next one.
+
+    A minimum over whole keys has no fixed-width buffer and would sort the events.  So
+    the first column of the key is folded first, and whole keys are compared only among
+    the rows that hold its minimum.  Where those are many, because a load gave all of
+    them one arrival time, the next column is folded the same way if it is a number.
+    """
+    closes = window_start(shift("event_ts", -policy.bound_seconds), policy.width_seconds)
+    rows = events.select(closes.alias("closes"), *policy.key_columns)
+    kinds = dict(rows.dtypes)
+    for name in policy.key_columns:
+        if kinds[name] not in ("bigint", "int", "timestamp", "timestamp_ntz"):
+            break
+        least = pin(rows.groupBy("closes").agg(
+            F.min(name).alias("_least"), F.max(name).alias("_most"), F.count("*").alias("_n")
+        ))
+        one_value = least.where("_least = _most").agg(F.sum("_n")).first()[0] or 0
+        rows = rows.join(measured(least.select("closes", "_least")), "closes").where(
+            F.col(name) == F.col("_least")
+        ).drop("_least")
+        if one_value <= CROWDED_ROWS:
+            break
+    return rows.groupBy("closes").agg(F.min(policy.arrival_key()).alias("first"))
+
+
 def window_closers(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> DataFrame:
     """``window_end, closer``: arrival key of the first event that closes each window."""
-    width, bound = policy.width_seconds, policy.bound_seconds
-    firsts = events.groupBy(
-        window_start(shift("event_ts", -bound), width).alias("closes"),
-        window_end("event_ts", width).alias("opened"),
-    ).agg(F.min(policy.arrival_key()).alias("first"))
-    ends = firsts.selectExpr("stack(2, closes, first, false, opened, null, true) AS (edge, first, used)")
+    width = policy.width_seconds
+    firsts = first_arrivals(events, policy).select(
+        F.col("closes").alias("edge"), "first", F.lit(False).alias("used")
+    )
+    ends = events.select(window_end("event_ts", width).alias("edge")).distinct()
+    used = ends.select("edge", F.lit(None).cast(firsts.schema["first"].dataType).alias("first"), F.lit(True).alias("used"))
     edges = (
-        by_day(ends, "edge")
+        by_day(firsts.unionByName(used), "edge")
         .groupBy("_day", "edge")
         .agg(F.min("first").alias("first"), F.max("used").alias("used"))
     )

@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewindow.session import BROADCAST_ROWS, pin, shuffle_width
+from tidewindow.session import BROADCAST_BYTES, pin, shuffle_width
+
+
+def row_bytes(kind: T.DataType, value: Column) -> Column:
+    """About the size of a value in a broadcast table."""
+    if isinstance(kind, T.StructType):
+        parts = (row_bytes(f.dataType, value[f.name]) for f in kind.fields)
+        return reduce(lambda a, b: a + b, parts, F.lit(16))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(16) + F.coalesce(F.octet_length(value), F.lit(0))
+    return F.lit(8)
 
 
 def join_sized(
@@ -15,16 +27,28 @@ def join_sized(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    limit: int = BROADCAST_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Equi-join that broadcasts ``small`` only after counting it.
+    """Equi-join that broadcasts ``small`` only after measuring it.
 
-    ``small`` is pinned first, so the count and the join see the same rows.  Above
+    ``small`` is pinned first, so the measure and the join see the same rows.  Above
     the limit the join shuffles and skewed keys are left to AQE.
     """
-    small = pin(small)
-    fits = small.limit(limit + 1).count() <= limit
-    return big.join(F.broadcast(small) if fits else small, list(on), how)
+    return big.join(measured(pin(small), limit), list(on), how)
+
+
+def measured(pinned: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A pinned table, marked for broadcast if it is at most ``limit`` bytes."""
+    size = row_bytes(pinned.schema, F.struct(*pinned.columns))
+    fits = (pinned.agg(F.sum(size)).first()[0] or 0) <= limit
+    return F.broadcast(pinned) if fits else pinned
+
+
+def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which null equals null."""
+    own = {name: f"_same_{name}" for name in on}
+    matches = [F.col(name).eqNullSafe(F.col(other)) for name, other in own.items()]
+    return left.join(right.withColumnsRenamed(own), matches, how).drop(*own.values())
 
 
 def by_day(table: DataFrame, at: str) -> DataFrame:
@@ -134,7 +158,7 @@ def exact_quantiles(
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = counted.join(blocks, [*by, "_block"]).withColumn(
+    ranked = join_same(counted, blocks, [*by, "_block"]).withColumn(
         "_upto", F.col("_carried") + F.sum("_n").over(in_block)
     )
 

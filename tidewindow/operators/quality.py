@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +18,27 @@ JSON_EVENT = (
 
 
 def dedup_events(
-    events: DataFrame, key: str = "event_id", arrival: str = "ingest_ts"
+    events: DataFrame, key: str | Sequence[str] = "event_id", arrival: str = "ingest_ts"
 ) -> DataFrame:
-    """Keep the earliest arrival per ``key``.
+    """Keep the earliest arrival per ``key``, and every row without a key.
 
-    The whole row takes part in the minimum, so the choice does not depend on task
-    order, and copies are folded in the task that reads them.
+    The first pass folds one number per row: the arrival, and below it a hash of the
+    whole row that decides ties.  It is as wide for any row, so it is a hash aggregate
+    that folds copies where they are read.  Rows are joined to it by key and number, so
+    those of a hot key do not meet in one task; exact copies are left to ``distinct``.
     """
-    rest = [name for name in events.columns if name not in (key, arrival)]
-    kept = events.groupBy(key).agg(F.min(F.struct(arrival, *rest)).alias("_kept"))
-    return kept.select(
-        *[F.col(key) if n == key else F.col("_kept")[n].alias(n) for n in events.columns]
-    )
+    keys = [key] if isinstance(key, str) else list(key)
+    names = events.columns
+    # 2^64 rows of one microsecond lie between two arrivals
+    place = F.coalesce(F.unix_micros(arrival), F.lit(-1)).cast("decimal(18,0)")
+    number = (place * F.expr(f"{2**64}BD") + F.xxhash64(*names)).cast("decimal(38,0)")
+    with_key = F.lit(True)
+    for name in keys:
+        with_key = with_key & F.col(name).isNotNull()
+    numbered = events.where(with_key).withColumn("_number", number)
+    first = numbered.groupBy(*keys).agg(F.min("_number").alias("_number"))
+    once = numbered.join(first, [*keys, "_number"], "left_semi").drop("_number").distinct()
+    return once.unionByName(events.where(~with_key))
 
 
 def parse_json_events(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -62,8 +73,8 @@ def json_value(columns: list[str]) -> Column:
 def split_poison(
     tagged: DataFrame, raw: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, poison)``; a poison row keeps its raw text and the reason."""
+    """``(good, poison)``; a poison row keeps its raw bytes and the reason."""
     poison = tagged.where(F.col("reason").isNotNull()).select(
-        F.col(raw).cast("string").alias("raw"), "reason"
+        F.col(raw).cast("binary").alias("raw"), "reason"
     )
     return tagged.where(F.col("reason").isNull()).drop("reason"), poison

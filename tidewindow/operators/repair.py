@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewindow.contract import DIMENSIONS
+from tidewindow.functions.dims import window_start, with_dimensions
 from tidewindow.operators.metrics import merge_by_sum, windowed_counts
 from tidewindow.operators.quality import dedup_events
 
@@ -50,21 +51,41 @@ def rebuild_from_cold(
 def not_applied(candidates: DataFrame, applied: DataFrame, key: str = "event_id") -> DataFrame:
     """Replay candidates that were not applied yet, each once.
 
-    Both sides are folded to one row per id before the anti-join, so a group of
-    copies is one row by then and both use the same partitioning.
+    The anti-join comes first, so only rows that are new are folded to one per id.
     """
     known = applied.select(key).distinct()
-    return dedup_events(candidates, key).join(known, key, "left_anti")
+    return dedup_events(candidates.join(known, key, "left_anti"), key)
 
 
 def replay_late(
     hot: DataFrame, candidates: DataFrame, applied: DataFrame, width_seconds: int = 60
 ) -> DataFrame:
     """Metrics after a replay: served rows plus the counts of what is newly applied."""
-    partial = windowed_counts(not_applied(candidates, applied), width_seconds)
+    needed = ("event_id", "ingest_ts", "event_ts", *DIMENSIONS)
+    partial = windowed_counts(not_applied(candidates.select(*needed), applied), width_seconds)
     return merge_by_sum(hot, partial)
 
 
+def reconcile_tagged(tagged: DataFrame) -> DataFrame:
+    """``reconcile`` where all three come from one table with ``is_late``: a single pass."""
+    counted = (
+        with_dimensions(tagged)
+        .groupBy(window_start("event_ts").alias("window_start"), *DIMENSIONS)
+        .agg(
+            F.count_if(~F.col("is_late")).alias("hot_count"),
+            F.count("*").alias("cold_count"),
+            F.count_if("is_late").alias("late_count"),
+        )
+    )
+    return _differing(counted)
+
+
+def _differing(counted: DataFrame) -> DataFrame:
+    return counted.withColumn(
+        "unexplained", F.col("cold_count") - F.col("late_count") - F.col("hot_count")
+    ).where((F.col("cold_count") != F.col("hot_count")) | (F.col("unexplained") != 0))
+
+
 def reconcile(hot: DataFrame, cold: DataFrame, late: DataFrame) -> DataFrame:
     """Keys where served counts differ from history, and how far late rows explain it.
 
@@ -86,11 +107,8 @@ def reconcile(hot: DataFrame, cold: DataFrame, late: DataFrame) -> DataFrame:
             ],
         )
         parts = part if parts is None else parts.unionByName(part)
-    return (
-        parts.groupBy("window_start", *DIMENSIONS)
-        .agg(*[F.sum(n).alias(n) for n in ("hot_count", "cold_count", "late_count")])
-        .withColumn(
-            "unexplained", F.col("cold_count") - F.col("late_count") - F.col("hot_count")
+    return _differing(
+        parts.groupBy("window_start", *DIMENSIONS).agg(
+            *[F.sum(n).alias(n) for n in ("hot_count", "cold_count", "late_count")]
         )
-        .where((F.col("cold_count") != F.col("hot_count")) | (F.col("unexplained") != 0))
     )

@@ -18,11 +18,10 @@ from tidewindow.sinks import external
 from tidewindow.sinks.tables import Tables
 from tidewindow.sources.clickstream import (
     CLICKSTREAM_POLICY,
-    as_clickstream,
     clickstream,
     read_events,
 )
-from tidewindow.sources.tables import read_progress
+from tidewindow.sources.tables import read_cold, read_hot, read_late, read_poison, read_progress
 from tidewindow.sources.topics import file_stream
 from tidewindow.streaming.job import StreamJob
 
@@ -112,7 +111,8 @@ def poison_rows(spark, sf_dir):
     raw = events.select("event_type", text.alias("text")).select(
         F.when(kind == "error", cut).otherwise(F.col("text")).alias("value")
     )
-    return quality.split_poison(quality.parse_json_events(raw))[1]
+    poison = quality.split_poison(quality.parse_json_events(raw))[1]
+    return poison.withColumn("raw", F.col("raw").cast("string"))
 
 
 @registered
@@ -292,8 +292,7 @@ def replay_late(spark, sf_dir):
 @registered
 def reconcile_hot_cold(spark, sf_dir):
     tagged = lateness.tag_late(clickstream(spark, sf_dir), CLICKSTREAM_POLICY)
-    served = metrics.windowed_counts(tagged.where(~F.col("is_late")))
-    return repair.reconcile(served, clickstream(spark, sf_dir), tagged.where("is_late"))
+    return repair.reconcile_tagged(tagged)
 
 
 # ---- health
@@ -320,15 +319,88 @@ def ingest_latency(spark, sf_dir):
 
 
 @registered
-def batch_health(spark, sf_dir):
-    """Stream the events through the job and look at how its batches went."""
-    events = file_stream(
-        spark, sf_dir, read_events(spark, sf_dir).schema, files_per_trigger=1,
-        pattern="events.parquet",
+def ingest_latency_by_campaign(spark, sf_dir):
+    """Events without a campaign are a group of their own."""
+    return health.ingest_latency(clickstream(spark, sf_dir), ("campaign_id",))
+
+
+# ---- the streaming job
+
+WEEKS = 4
+_jobs: dict[tuple[str, str], Tables] = {}
+
+
+def stream_weeks(spark: SparkSession, sf_dir: str, root: str) -> Tables:
+    """The events through the job, one batch for each week of arrival, in three runs.
+
+    Events of type ``error`` come without a user and are poison.  The second run goes
+    on after a restart.  Before the third the commit of the last batch is taken back,
+    so that it is run once more.
+    """
+    events = clickstream(spark, sf_dir).withColumn(
+        "user_id", F.when(F.col("event_type") != "error", F.col("user_id"))
     )
-    root = run_folder(spark, "job")
-    tables = Tables(f"{root}/tables")
-    query = StreamJob(tables).start(as_clickstream(events), f"{root}/checkpoint", availableNow=True)
-    query.awaitTermination()
-    progress = health.progress_table(spark, query.recentProgress)
-    return health.batch_health(progress, read_progress(spark, tables))
+    week = F.least(
+        F.lit(WEEKS - 1), F.floor(F.datediff(F.to_date("ingest_ts"), F.to_date(F.lit("2024-01-01"))) / 7)
+    )
+    weeks = events.select(*C.EVENT_COLUMNS, week.alias("week"))
+    tables, checkpoint = Tables(f"{root}/tables"), f"{root}/checkpoint"
+
+    def run() -> None:
+        stream = file_stream(spark, f"{root}/in/*", files_per_trigger=1)
+        StreamJob(tables, CLICKSTREAM_POLICY).start(
+            stream, checkpoint, availableNow=True
+        ).awaitTermination()
+
+    for number in range(WEEKS):
+        # one file is one batch; weeks are written in turn, so files are read in turn
+        weeks.where(F.col("week") == number).drop("week").coalesce(1).write.parquet(
+            f"{root}/in/week={number}"
+        )
+        if number == 1:
+            run()
+    run()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    last = hadoop.Path(f"{checkpoint}/commits/{WEEKS - 1}")
+    last.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(last, False)
+    run()
+    return tables
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables of that job; one job serves all queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _jobs:
+        _jobs[key] = stream_weeks(spark, sf_dir, run_folder(spark, "weeks"))
+    return _jobs[key]
+
+
+@registered
+def stream_hot(spark, sf_dir):
+    return read_hot(spark, _streamed(spark, sf_dir)).select(*metrics.METRIC_COLUMNS, "batch_id")
+
+
+@registered
+def stream_late(spark, sf_dir):
+    return read_late(spark, _streamed(spark, sf_dir)).select(
+        *C.EVENT_COLUMNS, "window_end", "watermark", "late_by_ms", "payload", "batch_id"
+    )
+
+
+@registered
+def stream_cold(spark, sf_dir):
+    return read_cold(spark, _streamed(spark, sf_dir)).select(*C.COLD_COLUMNS, "batch_id")
+
+
+@registered
+def stream_poison(spark, sf_dir):
+    return read_poison(spark, _streamed(spark, sf_dir)).select(
+        F.get_json_object(F.col("raw").cast("string"), "$.event_id").alias("event_id"),
+        "reason", "batch_id",
+    )
+
+
+@registered
+def batch_health(spark, sf_dir):
+    """What the job's own table says of its batches, over all its runs."""
+    return health.batch_figures(read_progress(spark, _streamed(spark, sf_dir)))

@@ -39,6 +39,21 @@ ARRIVED = CLICKSTREAM + """, met AS (
     SELECT *, coalesce(window_end <= watermark, false) AS is_late FROM met
 )"""
 
+# The job's batches: weeks of arrival; a batch meets the watermark of those before it.
+STREAMED = CLICKSTREAM + """, sent AS (
+    SELECT *, time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end,
+           CAST(least(3, date_diff('day', DATE '2024-01-01', CAST(ingest_ts AS DATE)) // 7) AS BIGINT) AS batch_id
+    FROM clickstream
+), good AS (SELECT * FROM sent WHERE event_type <> 'error'
+), reached AS (
+    SELECT batch_id, max(max(event_ts)) OVER (ORDER BY batch_id) - INTERVAL 5 SECOND AS after,
+           max(max(event_ts)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+             - INTERVAL 5 SECOND AS watermark
+    FROM good GROUP BY batch_id
+), streamed AS (
+    SELECT *, coalesce(window_end <= watermark, false) AS is_late FROM good JOIN reached USING (batch_id)
+)"""
+
 EVENT = (
     "event_id, user_id, session_id, event_type, event_ts, ingest_ts, source, "
     "campaign_id, device, geo, schema_version"
@@ -276,4 +291,33 @@ SELECT arrival_date, count(*) AS events,
        round(quantile_cont(delay_ms, 0.99), 6) AS p99_delay_ms,
        max(delay_ms) AS max_delay_ms
 FROM delayed GROUP BY 1""",
+    "ingest_latency_by_campaign": f"""{CLICKSTREAM}, delayed AS (
+    SELECT campaign_id, epoch_ms(ingest_ts) - epoch_ms(event_ts) AS delay_ms FROM clickstream
+)
+SELECT campaign_id, count(*) AS events,
+       round(quantile_cont(delay_ms, 0.5), 6) AS p50_delay_ms,
+       round(quantile_cont(delay_ms, 0.95), 6) AS p95_delay_ms,
+       round(quantile_cont(delay_ms, 0.99), 6) AS p99_delay_ms,
+       max(delay_ms) AS max_delay_ms
+FROM delayed GROUP BY 1""",
+    "stream_hot": f"""{STREAMED}, counted AS ({counts("streamed", where="NOT is_late")})
+SELECT counted.*, (SELECT min(batch_id) FROM reached WHERE after >= counted.window_end) AS batch_id
+FROM counted WHERE window_end <= (SELECT max(after) FROM reached)""",
+    "stream_late": f"""{STREAMED}
+SELECT {EVENT}, window_end, watermark, epoch_ms(watermark) - epoch_ms(window_end) AS late_by_ms,
+       {PAYLOAD} AS payload, batch_id
+FROM streamed WHERE is_late""",
+    "stream_cold": f"{STREAMED} SELECT {COLD}, batch_id FROM streamed",
+    "stream_poison": f"""{STREAMED}
+SELECT event_id, 'null_user_id' AS reason, batch_id FROM sent WHERE event_type = 'error'""",
+    "batch_health": f"""{STREAMED}, late AS (
+    SELECT batch_id, count(*) AS n FROM streamed WHERE is_late GROUP BY 1
+), whole AS (
+    SELECT batch_id, count(*) FILTER (WHERE event_type <> 'error') AS rows,
+           count(*) FILTER (WHERE event_type = 'error') AS poison_rows
+    FROM sent GROUP BY 1
+)
+SELECT batch_id, rows, coalesce(n, 0) AS late_rows, poison_rows,
+       round(poison_rows / (rows + poison_rows), 6) AS error_rate, CAST(2 AS BIGINT) AS restarts
+FROM whole LEFT JOIN late USING (batch_id)""",
 }

@@ -7,9 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows of a per-minute or per-slice helper table that may be broadcast.  A row is
-# a few timestamps and one event id, so this stays well under 100 MB.
-BROADCAST_ROWS = 500_000
+# Bytes of a helper table that may be broadcast, as measured before the join.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(

@@ -1,4 +1,4 @@
-"""File tables of the job.  Every write replaces the partitions of its own batch."""
+"""File tables of the job.  Every write replaces the folder of its own batch."""
 
 from __future__ import annotations
 
@@ -21,8 +21,8 @@ ROWS_PER_FILE = 1_500_000
 
 HOT_SCHEMA = T.StructType([
     *METRIC_SCHEMA.fields,
-    T.StructField("window_date", T.DateType()),
     T.StructField("batch_id", T.LongType()),
+    T.StructField("window_date", T.DateType()),
 ])
 REPLAYED_SCHEMA = T.StructType([
     *EVENT_SCHEMA.fields,
@@ -56,6 +56,10 @@ class Tables:
     def progress(self) -> str:
         return f"{self.root}/progress"
 
+    @property
+    def reports(self) -> str:
+        return f"{self.root}/reports"
+
     @property
     def replayed(self) -> str:
         return f"{self.root}/replayed_events"
@@ -74,32 +78,61 @@ class Tables:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for path in (
             self.hot, self.cold, self.late, self.poison, self.progress, self.replayed,
+            self.reports,
         ):
             folder = hadoop.Path(path)
             folder.getFileSystem(conf).mkdirs(folder)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders of one batch: a few days."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)
+    return [f.getPath().getName() for f in found if f.isDirectory()]
+
+
 def create_cold_table(spark: SparkSession, name: str, location: str) -> None:
-    """Register the history as a catalog table partitioned by day and batch."""
+    """Register the history as a catalog table partitioned by batch and day.
+
+    Batches written later are added by ``register_batch``.
+    """
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in COLD_SCHEMA.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY (event_date, batch_id) LOCATION '{location}'"
+        f"PARTITIONED BY (batch_id, event_date) LOCATION '{location}'"
     )
     spark.catalog.recoverPartitions(name)
 
 
-def replace_partitions(df: DataFrame, path: str, *parts: str) -> None:
+def register_batch(spark: SparkSession, name: str, location: str, batch_id: int) -> None:
+    """Make the days of one batch known to the catalog, and no others of it."""
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
+    days = [
+        f"PARTITION (batch_id = {batch_id}, event_date = '{folder.removeprefix('event_date=')}')"
+        for folder in folders_in(spark, f"{location}/batch_id={batch_id}")
+        if folder.startswith("event_date=")
+    ]
+    if days:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(days)}")
+
+
+def replace_batch(df: DataFrame, path: str, batch_id: int, *parts: str) -> None:
+    """Replace the folder of a batch as a whole, so nothing of an earlier attempt stays."""
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*parts)
-        .parquet(path)
+        .parquet(f"{path}/batch_id={batch_id}")
     )
 
 
-def cold_rows(events: DataFrame, batch_id: int) -> DataFrame:
+def cold_rows(events: DataFrame) -> DataFrame:
     """History rows laid out for writing.
 
     Rebalancing brings the rows of a day together, splits a day that is larger than
@@ -109,29 +142,25 @@ def cold_rows(events: DataFrame, batch_id: int) -> DataFrame:
     return (
         cold_projection(events)
         .withColumn("event_date", F.to_date("event_ts"))
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "batch_id", "event_ts")
+        .sortWithinPartitions("event_date", "event_ts")
     )
 
 
 def write_cold(events: DataFrame, path: str, batch_id: int) -> None:
-    replace_partitions(cold_rows(events, batch_id), path, "event_date", "batch_id")
+    replace_batch(cold_rows(events), path, batch_id, "event_date")
 
 
 def write_hot(metrics: DataFrame, path: str, batch_id: int) -> None:
     """Metrics in table order, so that files carry bounds on the window start."""
     rows = (
         metrics.withColumn("window_date", F.to_date("window_start"))
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .hint("rebalance", "window_date")
-        .sortWithinPartitions("window_date", "batch_id", *METRIC_KEY)
+        .sortWithinPartitions("window_date", *METRIC_KEY)
     )
-    replace_partitions(rows, path, "window_date", "batch_id")
+    replace_batch(rows, path, batch_id, "window_date")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Replace the one directory of this batch, also when it has no rows."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(
-        f"{path}/batch_id={batch_id}"
-    )
+    replace_batch(df, path, batch_id)

@@ -12,6 +12,7 @@ from tidewindow.contract import (
     METRIC_SCHEMA,
     POISON_SCHEMA,
     PROGRESS_SCHEMA,
+    REPORT_SCHEMA,
 )
 from tidewindow.operators.repair import day_range
 from tidewindow.sinks.tables import HOT_SCHEMA, REPLAYED_SCHEMA, Tables
@@ -49,6 +50,11 @@ def read_progress(spark: SparkSession, tables: Tables) -> DataFrame:
     return _read(spark, tables.progress, PROGRESS_SCHEMA)
 
 
+def read_reports(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Progress reports of all runs, as JSON."""
+    return _read(spark, tables.reports, REPORT_SCHEMA)
+
+
 def read_replayed(spark: SparkSession, tables: Tables) -> DataFrame:
     return _read(spark, tables.replayed, REPLAYED_SCHEMA)
 

@@ -4,6 +4,9 @@ Within a batch every event takes exactly one way: poison, late, or counted.  All
 good events, late ones too, go to history.  A batch is judged by the watermark of the
 batches before it, which the progress table holds, so a repeated batch comes to the
 same result and replaces what its first run left behind.
+
+The progress table also holds whose batches these are.  A stream with another checkpoint
+would begin with batch 0 again and replace them one by one, so it is refused.
 """
 
 from __future__ import annotations
@@ -30,9 +33,17 @@ from tidewindow.functions.dims import late_payload, millis, window_end
 from tidewindow.operators.lateness import LatePolicy
 from tidewindow.operators.metrics import merge_by_sum, windowed_counts
 from tidewindow.operators.quality import dedup_events, json_value
-from tidewindow.operators.repair import day_range
-from tidewindow.sinks.tables import Tables, write_batch, write_cold, write_hot
-from tidewindow.sources.tables import read_cold
+from tidewindow.sinks.tables import (
+    Tables,
+    create_cold_table,
+    path_exists,
+    register_batch,
+    write_batch,
+    write_cold,
+    write_hot,
+)
+from tidewindow.sources.tables import read_cold, read_progress
+from tidewindow.streaming.reports import keep_reports
 
 MICROS = 1_000_000
 
@@ -46,6 +57,14 @@ def side_by_side(spark: SparkSession, writes: list[Callable[[], None]]) -> None:
 
 
 Sink = Callable[[DataFrame], None]
+BatchSink = Callable[[DataFrame, int], None]
+
+
+def stream_ids(spark: SparkSession) -> tuple[str | None, str | None]:
+    """Query and run that the current batch belongs to; none outside a stream."""
+    context = spark.sparkContext
+    query = context.getLocalProperty("sql.streaming.queryId")
+    return query, context.getLocalProperty("spark.jobGroup.id") if query else None
 
 
 @dataclass(frozen=True)
@@ -54,6 +73,11 @@ class StreamJob:
 
     ``hot_sinks`` get the windows a batch closes and ``late_sinks`` its late events.
     A repeated batch calls them again, so a hot sink has to replace by key.
+    ``cold_sinks`` and ``poison_sinks`` get the rows and the batch id, to guard
+    against the repetition themselves.  ``catalog_table`` names the history in the
+    catalog; each batch is added to it.
+
+    With ``dedup`` a copy is a row with the id and the event day of an earlier one.
     """
 
     tables: Tables
@@ -61,6 +85,9 @@ class StreamJob:
     dedup: bool = False
     hot_sinks: tuple[Sink, ...] = ()
     late_sinks: tuple[Sink, ...] = ()
+    cold_sinks: tuple[BatchSink, ...] = ()
+    poison_sinks: tuple[BatchSink, ...] = ()
+    catalog_table: str | None = None
 
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run ``stream`` through the job; by default one batch a minute.
@@ -71,17 +98,30 @@ class StreamJob:
         missing = [name for name in REQUIRED_COLUMNS if name not in stream.columns]
         if missing:
             raise ValueError(f"the stream lacks required columns: {', '.join(missing)}")
-        self.tables.create(stream.sparkSession)
-        return (
+        spark = stream.sparkSession
+        self.tables.create(spark)
+        if not path_exists(spark, f"{checkpoint}/metadata") and not read_progress(
+            spark, self.tables
+        ).isEmpty():
+            raise RuntimeError(
+                f"{self.tables.progress} has batches, but {checkpoint} is new: "
+                "these tables do not belong to this checkpoint"
+            )
+        if self.catalog_table:
+            create_cold_table(spark, self.catalog_table, self.tables.cold)
+        query = (
             stream.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "60 seconds"}))
             .foreachBatch(self.process)
             .start()
         )
+        keep_reports(spark, query, self.tables.reports)
+        return query
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = self._reached_before(spark, batch_id)
+        owner, run = stream_ids(spark)
+        before = self._reached_before(spark, batch_id, owner)
         tagged = self._tag(batch, before)
         if self.dedup:
             # written before history is, since it was read from history
@@ -96,9 +136,10 @@ class StreamJob:
             reached = max(known, default=None)
             good = tagged.where("reason IS NULL")
             writes = [
-                lambda: write_cold(good, self.tables.cold, batch_id),
+                lambda: self._write_cold(good, batch_id),
                 lambda: self._count(spark, good.where("NOT is_late"), reached, batch_id),
             ]
+            writes += [lambda sink=sink: sink(good, batch_id) for sink in self.cold_sinks]
             if seen["late_rows"]:
                 late = self._late_rows(good.where("is_late"), before)
                 writes.append(lambda: write_batch(late, self.tables.late, batch_id))
@@ -106,26 +147,44 @@ class StreamJob:
             if seen["poison_rows"]:
                 poison = tagged.where("reason IS NOT NULL").select("raw", "reason")
                 writes.append(lambda: write_batch(poison, self.tables.poison, batch_id))
+                writes += [lambda sink=sink: sink(poison, batch_id) for sink in self.poison_sinks]
             side_by_side(spark, writes)
-            self._commit(spark, batch_id, reached, seen)
+            self._commit(spark, batch_id, reached, seen, owner, run)
         finally:
             tagged.unpersist()
 
     # ---- watermark
 
-    def _reached_before(self, spark: SparkSession, batch_id: int) -> int | None:
+    def _write_cold(self, good: DataFrame, batch_id: int) -> None:
+        write_cold(good, self.tables.cold, batch_id)
+        if self.catalog_table:
+            register_batch(good.sparkSession, self.catalog_table, self.tables.cold, batch_id)
+
+    def _reached_before(self, spark: SparkSession, batch_id: int, owner: str | None) -> int | None:
         """Newest event time of all earlier batches, in microseconds."""
+        foreign = RuntimeError(
+            f"{self.tables.progress} holds batches of another stream: "
+            "these tables do not belong to this checkpoint"
+        )
         if batch_id == 0:
+            others = (F.col("batch_id") > 0) | ~F.col("query_id").eqNullSafe(F.lit(owner))
+            if path_exists(spark, self.tables.progress) and not read_progress(
+                spark, self.tables
+            ).where(others).isEmpty():
+                raise foreign
             return None
         path = f"{self.tables.progress}/batch_id={batch_id - 1}"
         try:
             committed = spark.read.schema(PROGRESS_SCHEMA).parquet(path)
-            return committed.select(F.unix_micros("max_event_ts").alias("t")).first()["t"]
+            last = committed.select(F.unix_micros("max_event_ts").alias("t"), "query_id").first()
         except AnalysisException as missing:
             raise RuntimeError(
                 f"batch {batch_id - 1} left no progress in {self.tables.progress}: "
                 "these tables do not belong to this checkpoint"
             ) from missing
+        if last["query_id"] != owner:
+            raise foreign
+        return last["t"]
 
     def _watermark(self, reached: int | None) -> Column:
         if reached is None:
@@ -137,11 +196,11 @@ class StreamJob:
     def _tag(self, batch: DataFrame, before: int | None) -> DataFrame:
         """Event columns, ``reason`` and ``raw`` for poison, ``window_end``, ``is_late``."""
         events = conform(batch, keep=("reason", "value"))
-        reason, raw = poison_reason(), json_value(EVENT_COLUMNS)
+        reason, raw = poison_reason(), json_value(EVENT_COLUMNS).cast("binary")
         if "reason" in events.columns:
             reason = F.coalesce(F.col("reason"), reason)
         if "value" in events.columns:
-            raw = F.col("value").cast("string")
+            raw = F.col("value").cast("binary")
         end = window_end("event_ts", self.policy.width_seconds)
         return events.select(
             *EVENT_COLUMNS,
@@ -154,20 +213,19 @@ class StreamJob:
     def _without_copies(self, tagged: DataFrame, batch_id: int) -> DataFrame:
         """Drop copies of events in this batch or in history; poison rows stay.
 
-        Copies share their event time, so only history between the oldest and the
-        newest event of the batch is read, by day and by row-group bounds.
+        A copy has the id and the event day of an earlier row, so what is dropped does
+        not depend on what else is in the batch, and of history only the batch's own
+        days are read: they prune its partitions when the query runs.
         """
         good, poison = tagged.where("reason IS NULL"), tagged.where("reason IS NOT NULL")
-        span = good.agg(
-            F.date_format(F.min("event_ts"), "yyyy-MM-dd").alias("first"),
-            F.date_format(F.max("event_ts"), "yyyy-MM-dd").alias("last"),
-        ).first()
-        if span["first"] is None:
-            return tagged
+        dated = good.withColumn("event_date", F.to_date("event_ts"))
+        days = dated.select("event_date").distinct()
         stored = read_cold(tagged.sparkSession, self.tables).where(F.col("batch_id") < batch_id)
-        known = day_range(stored, span["first"], span["last"]).select("event_id").distinct()
-        once = dedup_events(good).join(known, "event_id", "left_anti")
-        return once.unionByName(poison)
+        known = stored.select("event_id", "event_date").join(days, "event_date", "left_semi")
+        once = dedup_events(dated, ["event_date", "event_id"]).join(
+            known, ["event_date", "event_id"], "left_anti"
+        )
+        return once.select(*tagged.columns).unionByName(poison)
 
     def _late_rows(self, late: DataFrame, before: int | None) -> DataFrame:
         return (
@@ -214,7 +272,8 @@ class StreamJob:
             counts.unpersist()
 
     def _commit(
-        self, spark: SparkSession, batch_id: int, reached: int | None, seen: Row
+        self, spark: SparkSession, batch_id: int, reached: int | None, seen: Row,
+        owner: str | None, run: str | None,
     ) -> None:
         """One progress row, written last: a batch counts as done when it is there."""
         row = spark.range(1, numPartitions=1).select(
@@ -223,5 +282,7 @@ class StreamJob:
                 F.lit(seen[name]).cast("long").alias(name)
                 for name in ("rows", "late_rows", "poison_rows")
             ],
+            F.lit(owner).cast("string").alias("query_id"),
+            F.lit(run).cast("string").alias("run_id"),
         )
         write_batch(row, self.tables.progress, batch_id)
