@@ -62,15 +62,19 @@ def meeting_rows(keyed: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_meeting, ordered.schema)
 
 
-def grouped(rows: DataFrame, limit: int = BLOCK_ROWS) -> DataFrame:
+def grouped(rows: DataFrame, limit: int = BLOCK_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``_group`` and ``_block``, dealt out and sorted by group.
 
+    ``sizes``: ``_key`` and its number of rows ``_n``, if known; else ``rows`` are counted,
+    and read twice.
+
     ``_block`` is 0 in a small bucket.  In a pair of different blocks it tells the two
     apart, and only pairs across them need to be compared.
     """
     spark = rows.sparkSession
-    sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    heavy = pin(sizes.withColumn("_blocks", F.ceil(F.col("_n") / limit)).drop("_n"))
+    if sizes is None:
+        sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = pin(sizes.filter(F.col("_n") > limit).withColumn("_blocks", F.ceil(F.col("_n") / limit)).drop("_n"))
     same = rows.withColumn("_group", F.struct(F.col("_key"), F.lit(0).alias("a"), F.lit(0).alias("b")))
     out = same.withColumn("_block", F.lit(0))
     if not heavy.isEmpty():

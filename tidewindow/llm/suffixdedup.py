@@ -291,38 +291,44 @@ def remove_repeats(
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` of every
     document; with ``with_text`` also ``kept_bytes``, what is left of the text."""
     width = shuffle_width(docs.sparkSession)
+    key, unique = row_key(docs, doc_id, text)
+    name = [] if unique else [F.col(doc_id).alias("_name")]
+    # Both joins with the texts ask for the same rows and columns, and share one exchange.
     plain = docs.select(
-        F.col(doc_id).alias("_name"), row_key(docs, doc_id, text)[0].alias("_doc"),
-        F.col(text).cast("binary").alias("_text"),
-    )
-    kinds = {f.name: f.dataType.simpleString() for f in plain.schema}
-    fields = f"_anchor long, _body long, _doc {kinds['_doc']}, _at long"
+        *name, key.alias("_doc"), F.col(text).cast("binary").alias("_text")
+    ).filter(F.col("_doc").isNotNull())
+    kind = plain.schema["_doc"].dataType.simpleString()
+    fields = f"_anchor long, _body long, _doc {kind}, _at long"
     dealt = plain.select("_doc", "_text").mapInArrow(_anchors, f"_key long, _kind tinyint, {fields}")
     met = pin(
         dealt.repartition(width, "_key").sortWithinPartitions("_key").mapInArrow(_meeting, fields)
     )
-    folded = met.groupBy("_anchor", "_body").agg(
+    folded = pin(met.groupBy("_anchor", "_body").agg(
         F.count(F.lit(1)).alias("_times"), F.min(F.struct("_doc", "_at")).alias("_sample")
-    )
-    folded = pin(folded)
-    several = folded.groupBy("_anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_anchor")
+    ))
+    several = folded.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     sample = folded.join(several, "_anchor", "left_semi").select(
         "_anchor", "_body", F.col("_sample._doc").alias("_doc"), F.col("_sample._at").alias("_at")
     )
-    cut = sample.join(plain.select("_doc", "_text"), "_doc").select("_anchor", "_body", "_at", "_text")
-    bodies = cut.mapInArrow(_cut_out, "_key long, _id long, _bytes binary").dropDuplicates(["_key", "_id"])
-    marks = grouped(pin(bodies), BLOCK_STRETCHES).mapInArrow(
+    cut = sample.join(plain, "_doc").select("_anchor", "_body", "_at", "_text")
+    bodies = cut.mapInArrow(_cut_out, "_key long, _id long, _bytes binary")
+    if not unique:
+        bodies = bodies.dropDuplicates(["_key", "_id"])
+    sizes = several.withColumnRenamed("_anchor", "_key")
+    marks = grouped(bodies, BLOCK_STRETCHES, sizes).mapInArrow(
         _sort_groups, "_anchor long, _body long, _marks binary"
     )
     judged = folded.select("_anchor", "_body", "_times").join(marks, ["_anchor", "_body"], "left").filter(
         (F.col("_times") > 1) | F.col("_marks").isNotNull()
     )
     found = met.join(judged, ["_anchor", "_body"]).select("_doc", "_at", "_times", "_marks")
-    spans = found.mapInArrow(_spans, f"_doc {kinds['_doc']}, s long, e long").groupBy("_doc").agg(
+    spans = found.mapInArrow(_spans, f"_doc {kind}, s long, e long").groupBy("_doc").agg(
         F.collect_list(F.struct("s", "e")).alias("_spans")
     )
-    whole = plain.join(spans, "_doc", "left").select(F.col("_name").alias(doc_id), "_text", "_spans")
-    out = f"`{doc_id}` {kinds['_name']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return whole.mapInArrow(
-        _cut_texts([doc_id], with_text), out + (", kept_bytes binary" if with_text else "")
+    own = "_doc" if unique else "_name"
+    whole = plain.join(spans, "_doc", "left").select(own, "_text", "_spans")
+    out = (
+        f"{own} {plain.schema[own].dataType.simpleString()}, n_bytes long, n_removed long, "
+        "n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text
     )
+    return whole.mapInArrow(_cut_texts([own], with_text), out).withColumnRenamed(own, doc_id)
