@@ -48,6 +48,8 @@ PART = 16 << 20
 SORT_BYTES = 2 << 20
 #: Stretches of a block, where an anchor has more.
 BLOCK_STRETCHES = 2048
+#: Bound on the stretches that are broadcast because they are met so often.
+HEAVY = 50_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _PLACE_BITS = 28
@@ -223,6 +225,10 @@ def _sort_groups(batches):
     for group in groups(batches):
         part = group.column("_bytes").to_pylist()
         keys = list(zip(group.column("_key").to_pylist(), group.column("_id").to_pylist()))
+        # Pairs of blocks of one anchor hold the same stretches and must not meet.
+        if pending and pending[-1][0][0][0] == keys[0][0]:
+            yield found(pending)
+            pending, size = [], 0
         pending.append((keys, part))
         size += sum(map(len, part))
         if size >= SORT_BYTES:
@@ -321,7 +327,15 @@ def remove_repeats(
     judged = folded.select("_anchor", "_body", "_times").join(marks, ["_anchor", "_body"], "left").filter(
         (F.col("_times") > 1) | F.col("_marks").isNotNull()
     )
-    found = met.join(judged, ["_anchor", "_body"]).select("_doc", "_at", "_times", "_marks")
+    # At most HEAVY stretches can be met more than a HEAVYth of all times.  All their strings
+    # are repeats, so their rows need no marks and are not dealt out by stretch.
+    rows = folded.agg(F.sum("_times")).first()[0] or 0
+    heavy = F.broadcast(folded.filter(F.col("_times") > max(1, rows // HEAVY)).select("_anchor", "_body"))
+    sure = met.join(heavy, ["_anchor", "_body"], "left_semi").select(
+        "_doc", "_at", F.lit(2).cast("long").alias("_times"), F.lit(None).cast("binary").alias("_marks")
+    )
+    light = met.join(heavy, ["_anchor", "_body"], "left_anti")
+    found = light.join(judged, ["_anchor", "_body"]).select("_doc", "_at", "_times", "_marks").unionByName(sure)
     spans = found.mapInArrow(_spans, f"_doc {kind}, s long, e long").groupBy("_doc").agg(
         F.collect_list(F.struct("s", "e")).alias("_spans")
     )
