@@ -130,3 +130,45 @@ def test_dedup_keeps_rows_without_a_key(events_of):
 def test_dedup_picks_one_of_a_tie(events_of):
     rows = [event("a", 5, 7, geo=g) for g in ("US", "EU", None)]
     assert quality.dedup_events(events_of(rows)).count() == 1
+
+
+def test_writer_schema_is_chosen_by_id(spark):
+    """Each id is decoded by its own writer schema; other ids are poison."""
+    from tidewindow.sources.topics import decode_avro_topic
+
+    def decoder(body, writer, reader):
+        assert reader == "reader"
+        kind = "event_id string, user_id string, event_ts long, ingest_ts long"
+        parsed = F.from_json(body.cast("string"), kind)
+        return parsed if writer == "new" else parsed.withField("user_id", F.lit("unknown"))
+
+    text = '{"event_id": "e", "user_id": "u", "event_ts": 1000, "ingest_ts": 2000}'
+    cases = [(1, text), (2, text), (3, text), (2, "no json")]
+    raw = None
+    for number, body in cases:
+        row = spark.range(1).select(envelope.wrap(F.lit(body.encode()), number).alias("value"))
+        raw = row if raw is None else raw.unionByName(row)
+    raw = raw.unionByName(spark.range(1).select(F.lit(b"x").alias("value")))
+    out = decode_avro_topic(raw, "reader", {1: "old", 2: "new"}, decoder).collect()
+    assert [(r.user_id, r.reason) for r in out][:4] == [
+        ("unknown", None), ("u", None), (None, "unknown_schema"), (None, "malformed"),
+    ]
+    assert out[4].reason not in (None, "unknown_schema") and out[0].event_ts is not None
+
+
+def test_iceberg_batches_replace_themselves():
+    from unittest.mock import MagicMock
+
+    from tidewindow.sinks import external
+
+    df = MagicMock()
+    writer = df.withColumn.return_value.writeTo.return_value
+    external.F, held = MagicMock(), external.F
+    try:
+        external.write_iceberg(df, "c.t", 3)
+        external.write_iceberg(df, "c.t", 0, create=True)
+    finally:
+        external.F = held
+    writer.overwrite.assert_called_once()
+    writer.append.assert_not_called()
+    writer.using.assert_called_once_with("iceberg")

@@ -17,7 +17,7 @@ from tidewindow.sources.clickstream import CLICKSTREAM_POLICY, clickstream
 from tidewindow.sources.topics import file_stream
 from tidewindow.streaming import main, native
 from tidewindow.streaming.job import StreamJob
-from tidewindow.streaming.replay import replay_late_table, served_metrics
+from tidewindow.streaming.replay import replay_late_table, reread_poison, served_metrics
 
 ARROW = pa.schema([
     (f.name, pa.timestamp("us", tz="UTC") if f.name.endswith("_ts") else pa.string())
@@ -345,6 +345,31 @@ def test_copies_count_twice_unless_dropped(spark, run, dedup, expected):
     assert reads.read_cold(spark, run.tables).count() == expected + 1
 
 
+def test_poison_is_kept_as_bytes_and_read_again(spark, run):
+    """Messages that a decoder could not read yet go through a better one later."""
+    from pyspark.sql import functions as F
+
+    from tidewindow.operators.quality import json_value, parse_json_events
+
+    raw = bytes([0, 0, 0, 0, 9, 255])
+    events = run.stream().select(
+        json_value(EVENT_COLUMNS).alias("text")
+    ).withColumn("value", F.concat(F.lit(raw), F.col("text").cast("binary")))
+    run.add([event(1, 0), event(2, 200)])
+    decoded = parse_json_events(events.select("value"))
+    StreamJob(run.tables).start(decoded, f"{run.folder}/checkpoint", availableNow=True).awaitTermination(300)
+    stored = reads.read_poison(spark, run.tables).collect()
+    assert len(stored) == 2 and all(bytes(r.raw).startswith(raw) for r in stored)
+
+    def better(messages):
+        return parse_json_events(messages.withColumn("value", F.expr("substring(value, 7)")))
+
+    good, left = reread_poison(spark, run.tables, better)
+    assert sorted(r.event_id for r in good.collect()) == ["1", "2"] and left.isEmpty()
+    replay_late_table(spark, run.tables, 1, good)
+    assert sum(counted(served_metrics(spark, run.tables)).values()) == 2
+
+
 def test_as_of_and_rebuild(spark, run):
     from tidewindow.operators import repair
 
@@ -380,7 +405,10 @@ def test_command_line(spark, run):
     ])
     main.start(spark, args).awaitTermination(300)
     assert run.hot() == closed
-    assert main.arguments(["--tables", "t", "--checkpoint", "c"]).topic == "events.raw.v1"
+    topic = ["--tables", "t", "--checkpoint", "c", "--servers", "b:1", "--writer-schema", "1=x.avsc"]
+    assert main.arguments(topic).topic == "events.raw.v1"
+    with pytest.raises(SystemExit):
+        main.arguments(["--tables", "t", "--checkpoint", "c"])
 
 
 def test_native_sessions(spark, run):

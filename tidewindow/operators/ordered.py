@@ -85,13 +85,18 @@ def running_over_time(
     )
 
 
-def even_ranges(df: DataFrame, order: Sequence[str], number: str = "_number") -> DataFrame:
+def even_ranges(
+    df: DataFrame, order: Sequence[str], number: str = "_number", pinned: bool = True
+) -> DataFrame:
     """Range partitions of even size, also when a third of all rows are exact copies.
 
     Rows equal in ``order`` are told apart by a number given to each row.  The
-    numbered rows are pinned, so a task that is run again finds the same numbers.
+    numbered rows are pinned, so a task that is run again finds the same numbers;
+    rows that come from files in their own order are numbered alike without it.
     """
-    numbered = pin(df.withColumn(number, F.monotonically_increasing_id()))
+    numbered = df.withColumn(number, F.monotonically_increasing_id())
+    if pinned:
+        numbered = pin(numbered)
     return numbered.repartitionByRange(shuffle_width(df.sparkSession), *order, number)
 
 

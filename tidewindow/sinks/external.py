@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewindow.functions.dims import cold_projection
 from tidewindow.operators.ordered import even_ranges
 from tidewindow.operators.quality import json_value
 
@@ -23,10 +26,14 @@ def publish_keyed(events: DataFrame, columns: list[str]) -> DataFrame:
     """Messages in user order, and in time order within a user.
 
     Ranges of (user, time) keep a user's events in order across consecutive files
-    and split a user that is too large for one task.
+    and split a user that is too large for one task.  The order across files is that of
+    their names; a topic gets the order within a task only, so a consumer that needs
+    the whole order of a user sorts by the event time in the message.
+
+    ``events`` are read from files; from elsewhere they should be pinned first.
     """
     order = ["key", "event_ts", "event_id"]
-    ranged = even_ranges(keyed_messages(events, columns), order)
+    ranged = even_ranges(keyed_messages(events, columns), order, pinned=False)
     return ranged.sortWithinPartitions(*order).select("key", "value")
 
 
@@ -44,6 +51,7 @@ def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
     messages.write.format("kafka").options(**kafka_sink_options(servers, topic)).save()
 
 
+# Fixed values below: statement size, and file properties of the history table.
 def jdbc_sink_options(url: str, table: str, **options: str) -> dict[str, str]:
     """100 rows per statement; failed tasks are retried by Spark."""
     return {"url": url, "dbtable": table, "batchsize": "100", "isolationLevel": "NONE", **options}
@@ -58,9 +66,13 @@ def write_jdbc(metrics: DataFrame, url: str, table: str, writers: int = 8, **opt
     metrics.coalesce(writers).write.format("jdbc").mode("append").options(**options).save()
 
 
-def write_iceberg(df: DataFrame, table: str, create: bool = False) -> None:
-    """Append to a table of an Iceberg catalog, partitioned by day, 128 MB files."""
-    writer = df.writeTo(table)
+def write_iceberg(df: DataFrame, table: str, batch_id: int, create: bool = False) -> None:
+    """Write a batch to a table of an Iceberg catalog, partitioned by day, 128 MB files.
+
+    Rows carry their batch.  A repeated batch replaces the rows it wrote before, in one
+    commit of the table, so nothing is doubled.
+    """
+    writer = df.withColumn("batch_id", F.lit(batch_id).cast("long")).writeTo(table)
     if create:
         (
             writer.using("iceberg")
@@ -71,4 +83,14 @@ def write_iceberg(df: DataFrame, table: str, create: bool = False) -> None:
             .create()
         )
     else:
-        writer.append()
+        writer.overwrite(F.col("batch_id") == batch_id)
+
+
+def iceberg_history(table: str) -> Callable[[DataFrame, int], None]:
+    """Sink of the job that keeps history in an Iceberg table; made with the first batch."""
+
+    def write(good: DataFrame, batch_id: int) -> None:
+        create = not good.sparkSession.catalog.tableExists(table)
+        write_iceberg(cold_projection(good), table, batch_id, create)
+
+    return write

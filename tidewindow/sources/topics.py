@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,28 +60,47 @@ def file_stream(
     return reader.parquet(path)
 
 
-def avro_event(body: str | Column, schema_json: str) -> Column:
-    """Decode an Avro body; a body that cannot be decoded becomes null.
+def avro_event(body: str | Column, writer: str, reader: str) -> Column:
+    """Decode an Avro body written by one schema and read by another.
 
-    Needs the Avro module on the class path.  Times arrive as longs.
+    A body that cannot be decoded becomes null.  Needs the Avro module on the class
+    path.  Times arrive as longs.
     """
     from pyspark.sql.avro.functions import from_avro
 
-    return from_avro(body, schema_json, {"mode": "PERMISSIVE"})
+    return from_avro(body, writer, {"mode": "PERMISSIVE", "avroSchema": reader})
+
+
+Decoder = Callable[[Column, str, str], Column]
 
 
-def decode_avro_topic(raw: DataFrame, schema_json: str) -> DataFrame:
-    """Envelope and Avro body to event columns plus ``reason``, null for a good row."""
+def decode_avro_topic(
+    raw: DataFrame, reader: str, writers: Mapping[int, str], decoder: Decoder = avro_event
+) -> DataFrame:
+    """Envelope and Avro body to event columns plus ``reason``, null for a good row.
+
+    ``writers`` has the schema of each id that producers use.  A message of another id
+    is poison with the reason ``unknown_schema``: read by a guess it would be misread.
+    """
+    if not writers:
+        raise ValueError("no writer schema is known")
     opened = unwrap(raw, "value")
+    event = None
+    for number, writer in writers.items():
+        decoded = decoder(F.col("body"), writer, reader)
+        chosen = F.col("schema_id") == number
+        event = F.when(chosen, decoded) if event is None else event.when(chosen, decoded)
     # inline() keeps the decoder from being repeated for every column that uses it
     events = opened.select(
-        "value", "envelope_status", F.inline(F.array(avro_event("body", schema_json)))
+        "value", "envelope_status", "schema_id", F.inline(F.array(event))
     )
-    reason = F.when(F.col("envelope_status") != "ok", F.col("envelope_status")).when(
-        F.col("event_id").isNull(), "malformed"
+    reason = (
+        F.when(F.col("envelope_status") != "ok", F.col("envelope_status"))
+        .when(~F.col("schema_id").isin(*writers), "unknown_schema")
+        .when(F.col("event_id").isNull(), "malformed")
     )
     return events.withColumns({
         "reason": reason,
         "event_ts": F.timestamp_millis("event_ts"),
         "ingest_ts": F.timestamp_millis("ingest_ts"),
-    }).drop("envelope_status")
+    }).drop("envelope_status", "schema_id")

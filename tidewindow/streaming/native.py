@@ -22,6 +22,8 @@ def stateful_session(spark: SparkSession) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
+    # sessions of a user are merged where they are read, before they meet in one task
+    session.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewindow.contract import EVENT_COLUMNS
 from tidewindow.operators.metrics import merge_by_sum, windowed_counts
+from tidewindow.operators.quality import parse_json_events, split_poison
 from tidewindow.operators.repair import not_applied
 from tidewindow.sinks.tables import Tables
-from tidewindow.sources.tables import read_hot, read_late, read_replayed
+from tidewindow.sources.tables import read_hot, read_late, read_poison, read_replayed
 
 
 def replay_late_table(
@@ -28,6 +31,23 @@ def replay_late_table(
     )
 
 
+def late_from_topic(messages: DataFrame) -> DataFrame:
+    """Late events from the JSON messages of their topic (``kafka_table``)."""
+    return parse_json_events(messages).where("reason IS NULL").select(*EVENT_COLUMNS)
+
+
+def reread_poison(
+    spark: SparkSession, tables: Tables, decode: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """``(good, poison)``: stored poison through a decoder that may know more by now.
+
+    ``decode`` gets the raw bytes as ``value`` and adds event columns and ``reason``.
+    The good rows can be given to ``replay_late_table`` as ``late``.
+    """
+    raw = read_poison(spark, tables).select(F.col("raw").alias("value"))
+    return split_poison(decode(raw))
+
+
 def served_metrics(spark: SparkSession, tables: Tables) -> DataFrame:
     """Closed windows of the job plus the counts of everything replayed."""
     return merge_by_sum(
