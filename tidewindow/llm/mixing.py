@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidewindow.llm.texts import whole, word_count
+from tidewindow.llm.texts import small, whole, word_count
 from tidewindow.session import pin
 
 WEIGHTS = (3, 1, 2)
@@ -112,14 +112,14 @@ def plan_sources(sized: DataFrame, **fill) -> DataFrame:
         F.col("_name").eqNullSafe(F.col("_s")) & (F.col("_at") == F.col("_a")), "left",
     ).select("_name", F.coalesce("_last", F.col("_at")).alias("_cut"))
     # Without a cut the rest is 0: no key is smaller than the empty text.
-    return filled.join(cuts, same, "left").select(
+    return pin(filled.join(cuts, same, "left").select(
         "_source", "source_size", "target", "epochs", F.coalesce("_cut", F.lit("")).alias("_cut")
-    )
+    ))
 
 
 def repetitions(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` with its source's figures and ``copies``, the times each row is taken."""
-    by = plan.withColumnRenamed("_source", "_name")
+    by = small(plan).withColumnRenamed("_source", "_name")
     return (
         sized.join(by, F.col("_source").eqNullSafe(F.col("_name")))
         .withColumn("copies", F.col("epochs") + (F.col("_key") <= F.col("_cut")).cast("long"))

@@ -8,8 +8,8 @@ bad text.  A document stays if it passes itself and its host is not rejected.
 
 Everything is built-in column functions: one pass over the texts yields a row of numbers
 for each document, hosts are a partial aggregate of those, and the verdicts are joined back
-on the host (null-safe; the planner broadcasts the hosts if their measured size allows,
-else splits a hot host).
+on the host, null-safe: the hosts are counted and broadcast if they are few, else a shuffle
+splits a hot host.
 
 Defined results: a null text is an empty text and fails; a null host is a host of its own;
 repeated rows count and return as often as they occur; no documents give no rows.  Only the
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewindow.llm.texts import WHITE_SPACE, let, total, whole, words
+from tidewindow.llm.texts import WHITE_SPACE, let, small, total, whole, words
 from tidewindow.session import pin
 
 WINDOW = 8
@@ -114,7 +114,7 @@ def host_verdicts(judged: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFra
     if strength <= 0:
         strength = 1.0
     shrunk = (F.col("failed") + mean * strength) / (F.col("n") + strength)
-    return hosts.select("_host", (shrunk > max_rate).alias("_rejected"))
+    return small(hosts).select("_host", (shrunk > max_rate).alias("_rejected"))
 
 
 def with_verdicts(rows: DataFrame, verdicts: DataFrame) -> DataFrame:

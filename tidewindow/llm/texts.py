@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 # Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE_SPACE = " \t\n\x0b\x0c\r"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = UPPER.lower()
+#: Rows of a table of sources or hosts that may be broadcast; a row is a name and a few numbers.
+SMALL_ROWS = 100_000
 
 
 def whole(text: str) -> Column:
@@ -37,6 +37,12 @@ def total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, b: a + b)
 
 
+def small(table: DataFrame) -> DataFrame:
+    """A pinned table, to be broadcast if it has few rows; else it is joined by a shuffle,
+    in which adaptive execution splits a hot key."""
+    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
+
+
 def row_key(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, bool]:
     """The id, and true, if it names one row; else the id with the text, and false.
 
