@@ -135,6 +135,16 @@ def test_latest_by_key(spark):
     ]
 
 
+def test_latest_by_key_takes_whole_rows(spark):
+    """Two rows of one version: all columns come from the same one."""
+    rows = [(1, "c", "g", "d", n, -n, 7) for n in range(20)]
+    df = spark.createDataFrame(
+        rows, "window_start int, campaign_id string, geo string, device string, n int, m int, batch_id long"
+    ).repartition(5)
+    row = serving.latest_by_key(df).first()
+    assert row.n == -row.m
+
+
 def test_late_rate_alert(events_of):
     slow = [event(f"s{i}", -4000 + i, 10 + i) for i in range(7)]
     df = events_of([event("a", 0, 0), *slow])

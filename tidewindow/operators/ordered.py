@@ -51,6 +51,16 @@ def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     return left.join(right.withColumnsRenamed(own), matches, how).drop(*own.values())
 
 
+def total_order(first: Column, names: Sequence[str]) -> Column:
+    """A number that orders rows by ``first``, a long, and then by a hash of ``names``.
+
+    It has a fixed width, so a minimum or maximum over it is a hash aggregate, and only
+    equal rows have equal numbers.
+    """
+    place = F.coalesce(first, F.lit(-1)).cast("decimal(18,0)")
+    return (place * F.expr(f"{2**64}BD") + F.xxhash64(*names)).cast("decimal(38,0)")
+
+
 def by_day(table: DataFrame, at: str) -> DataFrame:
     """Bring the rows of a day together; meant for tables of a few rows per minute."""
     return table.withColumn("_day", F.unix_date(F.to_date(at))).repartition("_day")

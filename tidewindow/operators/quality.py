@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewindow.contract import REQUIRED_COLUMNS, poison_reason
+from tidewindow.operators.ordered import total_order
 
 # Wire form of an event in JSON: times are epoch milliseconds.
 JSON_EVENT = (
@@ -29,9 +30,7 @@ def dedup_events(
     """
     keys = [key] if isinstance(key, str) else list(key)
     names = events.columns
-    # 2^64 rows of one microsecond lie between two arrivals
-    place = F.coalesce(F.unix_micros(arrival), F.lit(-1)).cast("decimal(18,0)")
-    number = (place * F.expr(f"{2**64}BD") + F.xxhash64(*names)).cast("decimal(38,0)")
+    number = total_order(F.unix_micros(arrival), names)
     with_key = F.lit(True)
     for name in keys:
         with_key = with_key & F.col(name).isNotNull()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewindow.contract import DIMENSIONS, METRIC_KEY
+from tidewindow.operators.ordered import total_order
 
 
 def latest_by_key(
@@ -15,11 +16,14 @@ def latest_by_key(
 ) -> DataFrame:
     """The row of the highest ``version`` per key: replace-by-key at read time.
 
-    One ``max_by`` per column keeps fixed-width buffers, hence hash aggregation.
+    One ``max_by`` per column keeps fixed-width buffers, hence hash aggregation.  All
+    columns follow one total order, so they come from one row, also if two rows of a key
+    have the same version.
     """
     rest = [name for name in rows.columns if name not in key and name != version]
+    order = total_order(F.col(version), rest)
     return rows.groupBy(*key).agg(
-        *[F.max_by(name, version).alias(name) for name in rest],
+        *[F.max_by(name, order).alias(name) for name in rest],
         F.max(version).alias(version),
     )
 
