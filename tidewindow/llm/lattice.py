@@ -9,10 +9,11 @@ segmentations.  Pieces do not cross white space, so the lattice of a text falls
 its words, each with a mark before it, and a forward recursion in log space over a word's
 bytes gives its share.
 
-*Size.*  Learning sees each distinct word once, with its count.  Scoring looks up at most
-``frequent`` words in a broadcast table.  Of the other words a document emits each one once,
-to be joined with the counts of all words; its lattice is computed on the spot.  So neither
-the vocabulary of the corpus nor a document's tokens are ever in one place.
+*Size.*  All words are counted once, those of held-out documents as 0.  Learning and the
+lattices see each distinct word once.  Documents look up at most ``frequent`` words in a
+broadcast table; each of its other words a document emits once, to be joined with the table
+of all words.  So neither the vocabulary of the corpus nor a document's tokens are ever in one
+place.
 
 Defined results: a null or empty text is one end token; without training documents all
 counts are 0 and all pieces are equally likely; a null id counts as the empty string for the
@@ -62,7 +63,7 @@ class Pieces:
             self.number_of.append(spelled.setdefault(spelling, len(spelled)))
         self.spelled = spelled
         self.model_file = model_file
-        self.prefixes = {s[:n] for s in spelled for n in range(1, len(s))}
+        self.tree = spelling_tree(spelled)
         self.end = len(spelled)  # number of the end of a text
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
@@ -70,64 +71,71 @@ class Pieces:
         return np.log(counts + 1.0) - math.log(counts.sum() + len(counts))
 
 
-def edges(pieces: Pieces, word: bytes):
-    """Start, end and number of all pieces in a marked word, by start."""
-    spelled, prefixes, n = pieces.spelled, pieces.prefixes, len(word)
-    for start in range(n):
-        stop = start + 1
-        while True:
-            part = word[start:stop]
-            number = spelled.get(part)
-            if number is not None:
-                yield start, stop, number
-            if stop == n or part not in prefixes:
-                break
-            stop += 1
+def spelling_tree(spelled: dict[bytes, int]) -> dict:
+    """Spellings by their bytes; a piece's number lies under -1 of its last node."""
+    tree: dict = {}
+    for spelling, number in spelled.items():
+        node = tree
+        for byte in spelling:
+            node = node.setdefault(byte, {})
+        node[-1] = number
+    return tree
+
 
+def _add(x: float, y: float) -> float:
+    """Log of the sum of two numbers given by their logs."""
+    return x + math.log1p(math.exp(y - x)) if x > y else y + math.log1p(math.exp(x - y))
 
-def _log_sum(values: list[float]) -> float:
-    most = max(values)
-    return most + math.log(sum(math.exp(v - most) for v in values)) if len(values) > 1 else most
 
+def log_probability(tree: dict, scores: list[float], word: bytes) -> float:
+    """Natural log of the sum over all segmentations of a word.
 
-def log_probability(pieces: Pieces, scores: list[float], word: bytes) -> float:
-    """Natural log of the sum over all segmentations of a word."""
+    Every single byte is a piece, so every place in the word is reached.
+    """
     word = MARK + word
-    reached: list[list[float]] = [[] for _ in range(len(word) + 1)]
-    reached[0].append(0.0)
-    at, here = -1, 0.0
-    for start, stop, number in edges(pieces, word):
-        if start != at:
-            at, here = start, _log_sum(reached[start])
-        reached[stop].append(here + scores[number])
-    return _log_sum(reached[-1])
+    n = len(word)
+    reached: list[float | None] = [None] * (n + 1)
+    reached[0] = 0.0
+    for start in range(n):
+        here, node = reached[start], tree
+        for stop in range(start, n):
+            node = node.get(word[stop])
+            if node is None:
+                break
+            number = node.get(-1)
+            if number is not None:
+                way, known = here + scores[number], reached[stop + 1]
+                reached[stop + 1] = way if known is None else _add(known, way)
+    return reached[n]
 
 
-def expected_counts(pieces: Pieces, scores: list[float], word: bytes, times: int, into: np.ndarray) -> None:
+def expected_counts(tree: dict, scores: list[float], word: bytes, times: int, into) -> None:
     """Add the expected numbers of the pieces in a word."""
     word = MARK + word
-    path = list(edges(pieces, word))
     n = len(word)
-    forward: list[list[float]] = [[] for _ in range(n + 1)]
-    forward[0].append(0.0)
-    alpha = [0.0] * (n + 1)
-    at = -1
-    for start, stop, number in path:
-        if start != at:
-            at, alpha[start] = start, _log_sum(forward[start])
-        forward[stop].append(alpha[start] + scores[number])
-    total = _log_sum(forward[n])
-    backward: list[list[float]] = [[] for _ in range(n + 1)]
-    backward[n].append(0.0)
-    beta = [0.0] * (n + 1)
-    at = n + 1
-    for start, stop, number in reversed(path):
-        # Edges come by descending start, so all that leave ``stop`` have been seen.
-        if beta[stop] == 0.0 and stop < n:
-            beta[stop] = _log_sum(backward[stop])
-        weight = scores[number] + beta[stop]
-        backward[start].append(weight)
-        into[number] += times * math.exp(alpha[start] + weight - total)
+    reached: list[float | None] = [None] * (n + 1)
+    reached[0] = 0.0
+    edges = []
+    for start in range(n):
+        here, node = reached[start], tree
+        for stop in range(start, n):
+            node = node.get(word[stop])
+            if node is None:
+                break
+            number = node.get(-1)
+            if number is not None:
+                way, known = here + scores[number], reached[stop + 1]
+                reached[stop + 1] = way if known is None else _add(known, way)
+                edges.append((start, stop + 1, number, way))
+    total = reached[n]
+    left: list[float | None] = [None] * (n + 1)  # from a place to the end
+    left[n] = 0.0
+    # By descending start, so all that begin where an edge ends have been seen.
+    for start, stop, number, way in reversed(edges):
+        rest = left[stop]
+        into[number] += times * math.exp(way + rest - total)
+        way, known = scores[number] + rest, left[start]
+        left[start] = way if known is None else _add(known, way)
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -135,7 +143,8 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def _word_counts(batches):
-    """Counts of words within a task; the column ``n`` of no word counts the texts."""
+    """Counts of words within a task, 0 for those of held-out texts only; the row of no word
+    counts the texts learned from."""
     counts: Counter[bytes] = Counter()
     docs = 0
 
@@ -146,9 +155,12 @@ def _word_counts(batches):
         )
 
     for batch in slices(batches, "_text"):
-        for text in texts(batch, "_text"):
-            counts.update(tokens(text))
-            docs += 1
+        for text, held in zip(texts(batch, "_text"), batch.column("_held").to_pylist()):
+            if held:
+                counts.update(dict.fromkeys(tokens(text), 0))
+            else:
+                counts.update(tokens(text))
+                docs += 1
         if len(counts) >= REMEMBERED:
             yield out()
             counts.clear()
@@ -156,6 +168,18 @@ def _word_counts(batches):
     yield out()
 
 
+def _word_scores(shared, scores):
+    def run(batches):
+        tree, table = shared.value.tree, scores.value
+        for batch in batches:
+            found = [log_probability(tree, table, w) for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), batch.column("c"), pa.array(found, pa.float64())], ["word", "c", "own"]
+            )
+
+    return run
+
+
 def _segmented(shared):
     """Piece counts of the tokenizer's own segmentation of counted words."""
 
@@ -183,11 +207,11 @@ def _segmented(shared):
 def _expected(shared, scores):
     def run(batches):
         pieces, table = shared.value, scores.value
-        counts = np.zeros(pieces.end + 1)
+        counts = [0.0] * (pieces.end + 1)
         for batch in batches:
             for word, times in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                expected_counts(pieces, table, word, times, counts)
-        yield _piece_rows(counts)
+                expected_counts(pieces.tree, table, word, times, counts)
+        yield _piece_rows(np.array(counts))
 
     return run
 
@@ -215,61 +239,52 @@ def learn(words: DataFrame, docs: int, pieces: Pieces, shared, rounds: int = ROU
     return scores.tolist()
 
 
-def _scored(shared, table, common):
+def _scored(common):
     """A row of sums for each text, and a row for each of its words that is not frequent."""
 
     def run(batches):
-        pieces, scores, frequent = shared.value, table.value, common.value
-        remembered: dict[bytes, float] = {}
+        frequent = common.value
         number = 0
         end_log, end_score = frequent[b""]
         for batch in slices(batches, "_text", 1 << 20):
-            rows, words, times, n_tokens, known, logs, scored = [], [], [], [], [], [], []
+            rows, words, times, sums = [], [], [], []
             for row, text in enumerate(texts(batch, "_text")):
                 count = Counter(tokens(text))
                 n, k, base, score = 1, int(end_log > 0), end_log, end_score
                 for word, t in count.items():
                     n += t
                     found = frequent.get(word)
-                    if found is not None:
+                    if found is None:
+                        rows.append(row)
+                        words.append(word)
+                        times.append(t)
+                    else:
                         k += t
                         base += t * found[0]
                         score += t * found[1]
-                        continue
-                    own = remembered.get(word)
-                    if own is None:
-                        if len(remembered) >= REMEMBERED:
-                            remembered.clear()
-                        own = remembered[word] = log_probability(pieces, scores, word)
-                    score += t * own
-                    rows.append(row)
-                    words.append(word)
-                    times.append(t)
-                    n_tokens.append(None)
-                    known.append(None)
-                    logs.append(None)
-                    scored.append(None)
-                rows.append(row)
+                sums += [None] * (len(rows) - len(sums))
                 # A word cannot hold a space: this one is joined with nothing, and spread.
+                rows.append(row)
                 words.append(b" %d" % number)
-                number += 1
                 times.append(0)
-                n_tokens.append(n)
-                known.append(k)
-                logs.append(base)
-                scored.append(score)
+                sums.append({"n_tokens": n, "n_known": k, "base": base, "score": score})
+                number += 1
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_doc").take(pa.array(rows, pa.int64())), pa.array(words, pa.binary()),
-                    pa.array(times, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                    pa.array(logs, pa.float64()), pa.array(scored, pa.float64()),
+                    pa.array(times, pa.int64()), pa.array(sums, _SUMS),
                 ],
-                ["_doc", "word", "t", "n_tokens", "n_known", "base", "score"],
+                ["_doc", "word", "t", "sums"],
             )
 
     return run
 
 
+_SUMS = pa.struct([
+    ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
+])
+
+
 def _frequent(words: DataFrame, most: int) -> dict[bytes, int]:
     """All words above the smallest count that not more than ``most`` words reach."""
     sizes = words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("n").desc())
@@ -297,9 +312,9 @@ def score_documents(
     )
     name = F.coalesce(F.col("_name").cast("string"), F.lit(""))
     held_out = F.crc32(name.cast("binary")) % FOLDS == HELD_OUT
-    counted = plain.filter(~held_out).select("_text").mapInArrow(_word_counts, "word binary, n long")
+    counted = plain.select("_text", held_out.alias("_held")).mapInArrow(_word_counts, "word binary, n long")
     every = pin(counted.groupBy("word").agg(F.sum("n").alias("n")))
-    words = every.filter(F.col("word").isNotNull())
+    words = every.filter(F.col("word").isNotNull() & (F.col("n") > 0))
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = every.filter(F.col("word").isNull()).first()
     ends = ends["n"] if ends else 0
@@ -308,21 +323,24 @@ def score_documents(
     shared = context.broadcast(pieces)
     scores = learn(words, ends, pieces, shared, rounds)
     common = {
-        w: (math.log10(n + 1), log_probability(pieces, scores, w)) for w, n in _frequent(words, frequent).items()
+        w: (math.log10(n + 1), log_probability(pieces.tree, scores, w)) for w, n in _frequent(words, frequent).items()
     }
     common[b""] = (math.log10(ends + 1), scores[pieces.end])
     once = plain.select("_doc", "_text")
     parts = (once if unique else once.dropDuplicates(["_doc"])).mapInArrow(
-        _scored(shared, context.broadcast(scores), context.broadcast(common)),
-        f"_doc {plain.schema['_doc'].dataType.simpleString()}, word binary, t long, n_tokens long, "
-        "n_known long, base double, score double",
+        _scored(context.broadcast(common)),
+        f"_doc {plain.schema['_doc'].dataType.simpleString()}, word binary, t long, "
+        "sums struct<n_tokens:long,n_known:long,base:double,score:double>",
+    )
+    of_words = every.filter(F.col("word").isNotNull()).withColumnRenamed("n", "c").mapInArrow(
+        _word_scores(shared, context.broadcast(scores)), "word binary, c long, own double"
     )
-    met = F.when(F.col("c").isNotNull(), F.col("t")).otherwise(0)
-    summed = parts.join(words.withColumnRenamed("n", "c"), "word", "left").groupBy("_doc").agg(
-        F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("n_known") + F.sum(met)).alias("n_known"),
-        (F.sum("base") + F.sum(F.col("t") * F.coalesce(F.log10(F.col("c") + 1), F.lit(0.0)))).alias("base"),
-        F.sum("score").alias("score"),
+    met = F.when(F.col("c") > 0, F.col("t")).otherwise(0)
+    summed = parts.join(of_words, "word", "left").groupBy("_doc").agg(
+        F.sum("sums.n_tokens").alias("n_tokens"),
+        (F.sum("sums.n_known") + F.sum(met)).alias("n_known"),
+        (F.sum("sums.base") + F.sum(F.col("t") * F.coalesce(F.log10(F.col("c") + 1), F.lit(0.0)))).alias("base"),
+        (F.sum("sums.score") + F.sum(F.col("t") * F.coalesce("own", F.lit(0.0)))).alias("score"),
     )
     named = summed.withColumn("_name", F.col("_doc")) if unique else plain.select("_name", "_doc").join(summed, "_doc")
     return named.select(
