@@ -8,8 +8,8 @@ above the level that the rest of the budget allows fixes the level for it and al
 A source gives each document ``floor(target / size)`` whole times.  The words still missing
 are filled with documents in the order of a seeded hash, up to the one that brings the sum
 nearest to the target.  To find that cut without sorting a source in one task, sizes are
-added up in 65,536 ranges of the hash, running sums go over the ranges, and only the
-documents of the range with the cut are put in order.  Each document is then decided by
+added up in 256 ranges of the hash, those of the range with the cut in 256 finer ones, and
+only the documents of the last range are put in order.  Each document is then decided by
 comparing its hash with its source's cut, so wide rows are never shuffled for the decision.
 
 Defined results: a null text has size 0 and is taken 0 times its words; a null source is a
@@ -32,7 +32,8 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MAX_EPOCHS = 2
 SEED = 17
-RANGE_DIGITS = 4
+#: Hexadecimal digits of the hash that tell its ranges apart, and those added in a level.
+RANGE_DIGITS, LEVEL_DIGITS = 4, 2
 
 
 def seeded_key(doc_id: str, seed: int) -> Column:
@@ -83,27 +84,35 @@ def plan_sources(sized: DataFrame, **fill) -> DataFrame:
     filled = pin(filled)
     name = filled.withColumnRenamed("_source", "_name")
     same = F.col("_source").eqNullSafe(F.col("_name"))
+    running = W.partitionBy("_source").orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
+    # The range of each source that holds its cut, and the words before it; narrowed in levels.
+    cut = name.select("_name", F.lit("").alias("_at"), F.lit(0).cast("long").alias("_start"), "rest")
+    for digits in range(LEVEL_DIGITS, RANGE_DIGITS + 1, LEVEL_DIGITS):
+        at = F.substring("_key", 1, digits - LEVEL_DIGITS) == F.col("_at")
+        ranges = (
+            sized.join(small(cut), same & at)
+            .groupBy("_source", F.substring("_key", 1, digits).alias("_range"))
+            .agg(F.sum("_size").alias("_words"), F.first("_start").alias("_start"), F.first("rest").alias("rest"))
+        )
+        upto = F.col("_start") + F.sum("_words").over(running)
+        cut = pin(
+            ranges.withColumn("_upto", upto)
+            .withColumn("_before", F.col("_upto") - F.col("_words"))
+            .filter((F.col("_before") < F.col("rest")) & (F.col("_upto") >= F.col("rest")))
+            .select(F.col("_source").alias("_name"), F.col("_range").alias("_at"), F.col("_before").alias("_start"), "rest")
+        )
     spread = F.substring("_key", 1, RANGE_DIGITS)
-    ranges = sized.groupBy("_source", spread.alias("_range")).agg(F.sum("_size").alias("_words"))
-    running = W.partitionBy("_source").orderBy("_range")
-    cut = (
-        ranges.withColumn("_upto", F.sum("_words").over(running.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_before", F.col("_upto") - F.col("_words"))
-        .join(name, same)
-        .filter((F.col("_before") < F.col("rest")) & (F.col("_upto") >= F.col("rest")))
-        .select(F.col("_source").alias("_name"), F.col("_range").alias("_at"), "_before", "rest")
-    )
     # Equal ids have equal keys and are taken together.
     inside = (
-        sized.join(cut, same & (spread == F.col("_at")), "inner")
+        sized.join(small(cut), same & (spread == F.col("_at")))
         .groupBy("_source", "_at", "_key")
-        .agg(F.sum("_size").alias("_words"), F.first("_before").alias("_before"), F.first("rest").alias("rest"))
+        .agg(F.sum("_size").alias("_words"), F.first("_start").alias("_start"), F.first("rest").alias("rest"))
     )
     upto = F.sum("_words").over(
         W.partitionBy("_source", "_at").orderBy("_key").rowsBetween(W.unboundedPreceding, 0)
     )
     last = (
-        inside.withColumn("_upto", F.col("_before") + upto)
+        inside.withColumn("_upto", F.col("_start") + upto)
         .filter(F.col("_upto") - F.col("_words") / 2 <= F.col("rest"))
         .groupBy("_source", "_at").agg(F.max("_key").alias("_last"))
     )
