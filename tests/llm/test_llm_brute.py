@@ -424,6 +424,19 @@ def test_page_text(spark):
     assert all(got[i]["text"] == "same text" for i in range(8, 20))
 
 
+@pytest.mark.parametrize("body, text", [
+    ("<aside><article>teaser</article></aside><article>own</article>", "own"),
+    ("<div class='content-with-sidebar'><article class='post no-comments'>own</article></div>", "own"),
+    ("<div class='content-with-sidebar'><p>own</p></div><div id='left_sidebar'>no</div>", "own"),
+    ("<main><p>a</p><section id=comments><p>no</p></section></main><div>no</div>", "a"),
+    ("<div class='comments'><article>only one</article></div>", "only one"),
+    ("<article><table><tr><td>1<td>2<tr><td>3</table>x &lt;b&gt; y<script>var a='</p>'</script></article>", "1\n2\n3\nx <b> y"),
+    ("<article><p>a<br>b</p><pre>c\n d</pre></article", "a b\nc d"),
+])
+def test_main_text_of(body, text):
+    assert htmltext.main_text(htmltext.read_page(f"<html><body>{body}"), set()) == text
+
+
 def test_pages_of_the_table(spark):
     """In these pages the main text is the heading and the paragraphs of the one article."""
     import html

@@ -54,21 +54,37 @@ MARKED = re.compile(
     r"socials?|related|recommended|subscribe|newsletter|pop-?ups?|modals?|overlay|masthead|toolbar|"
     r"complementary|contentinfo|search"
 )
+#: After these the rest of a name says what a page is without or has beside it.
+BESIDE = frozenset("no not has with without hide".split())
 # An opening paragraph or item ends one that is still open.
 CLOSED_BY_BLOCK = frozenset(["p"])
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
 STOPS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
 
+def marked(names: str) -> bool:
+    """Whether a class, id or role says that an element is no main text."""
+    for name in names.split():
+        if MARKED.fullmatch(name):
+            return True
+        for part in re.split(r"[-_]+", name):
+            if part in BESIDE:
+                break
+            if MARKED.fullmatch(part):
+                return True
+    return False
+
+
 class Node:
-    __slots__ = ("tag", "names", "children", "inside", "dropped")
+    __slots__ = ("tag", "names", "children", "inside", "dropped", "under")
 
-    def __init__(self, tag: str, names: str, inside: bool, dropped: bool):
+    def __init__(self, tag: str, names: str, inside: bool, dropped: bool, under: bool = False):
         self.tag = tag
         self.names = names
         self.children: list[Node | str] = []
         self.inside = inside  # in an article
         self.dropped = dropped  # no main text by its own tag or names
+        self.under = under  # in an element that is no main text
 
 
 class TreeReader(HTMLParser):
@@ -94,15 +110,14 @@ class TreeReader(HTMLParser):
         found = {k: v or "" for k, v in attrs if k in ("class", "id", "role")}
         names = " ".join(found.values()).lower()
         parent = self.open[-1]
-        dropped = tag in NO_TEXT or any(
-            MARKED.fullmatch(word) or any(MARKED.fullmatch(w) for w in re.split(r"[-_]", word))
-            for word in names.split()
-        ) or any(k == "hidden" for k, _ in attrs)
-        if tag in ("html", "body", "article", "main"):
-            dropped = dropped and tag == "article"
+        dropped = tag in NO_TEXT or marked(names) or any(k == "hidden" for k, _ in attrs)
+        if tag in ("html", "body", "main"):
+            dropped = False
         if tag == "header" and not parent.inside:
             dropped = True
-        node = Node(tag, names, parent.inside or tag in ("article", "main"), dropped)
+        node = Node(
+            tag, names, parent.inside or tag in ("article", "main"), dropped, parent.under or parent.dropped
+        )
         parent.children.append(node)
         self.nodes.append(node)
         self.open.append(node)
@@ -131,7 +146,13 @@ class TreeReader(HTMLParser):
 
 
 def read_page(html: str) -> list[Node]:
-    """The nodes of a page; the first one holds all others."""
+    """The nodes of a page; the first one holds all others.
+
+    A tag that the page breaks off in is no text.
+    """
+    last = html.rfind("<")
+    if last > html.rfind(">") and re.match(r"[/!?A-Za-z]", html[last + 1 : last + 2]):
+        html = html[:last]
     reader = TreeReader()
     reader.feed(html)
     reader.close()
@@ -166,6 +187,7 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
     deleted = {id(nodes[n]) for n in template}
     for wanted in ("article", "main"):
         roots = [n for n in nodes if n.tag == wanted and not n.dropped]
+        roots = [n for n in roots if not n.under] or roots
         if roots:
             break
     else:
