@@ -312,7 +312,8 @@ def remove_repeats(
     folded = pin(met.groupBy("_anchor", "_body").agg(
         F.count(F.lit(1)).alias("_times"), F.min(F.struct("_doc", "_at")).alias("_sample")
     ))
-    several = folded.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    # Pinned, so that the join has plain exchanges and an anchor of many stretches is split.
+    several = pin(folded.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
     sample = folded.join(several, "_anchor", "left_semi").select(
         "_anchor", "_body", F.col("_sample._doc").alias("_doc"), F.col("_sample._at").alias("_at")
     )
