@@ -158,7 +158,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.col("_print"), "_least", F.coalesce("root", "_print").alias("_root")
     )
     roots = named.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    component = named.join(roots, "_root").select(F.col("_print").alias("_p"), "component_id")
+    # Pinned, so that the last join has plain exchanges and a print of many copies is split.
+    component = pin(named.join(roots, "_root").select(F.col("_print").alias("_p"), "component_id"))
     return prints.join(component, F.col("_print") == F.col("_p")).select(
         F.col("_doc").alias(doc_id),
         F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"),
