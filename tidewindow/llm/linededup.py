@@ -340,17 +340,22 @@ def line_classes(
     kind = docs.schema[doc_id].dataType.simpleString()
     places = pin(plain.mapInArrow(_places(min_bytes), f"_doc {kind}, _place int, _line binary"))
     found = components(line_links(plain, distance, min_bytes))
-    first = places.groupBy("_line").agg(F.min(F.struct("_doc", "_place")).alias("_first"))
-    named = first.join(found, first["_line"] == found["node"], "left").select(
-        F.col("_line").alias("_name"), "_first", F.coalesce("root", "_line").alias("_root")
+    first = places.groupBy("_line").agg(
+        F.min(F.struct("_doc", "_place")).alias("_first"), F.count(F.lit(1)).alias("_times")
     )
+    # A line met once and without links is its own class and needs no row here.
+    named = first.join(found, first["_line"] == found["node"], "left").filter(
+        (F.col("_times") > 1) | F.col("root").isNotNull()
+    ).select(F.col("_line").alias("_name"), "_first", F.coalesce("root", "_line").alias("_root"))
     heads = named.groupBy("_root").agg(F.min("_first").alias("_head"))
-    classes = named.join(heads, "_root").select("_name", "_head")
+    # Pinned, so that the last join has plain exchanges and a line of many copies is split.
+    classes = pin(named.join(heads, "_root").select("_name", "_head"))
     here = F.struct("_doc", "_place")
-    return places.join(classes, F.col("_line") == F.col("_name")).select(
+    head = F.coalesce(F.col("_head"), here)
+    return places.join(classes, F.col("_line") == F.col("_name"), "left").select(
         F.col("_doc").alias(doc_id), F.col("_place").cast("long").alias("line"),
-        F.col("_head._doc").alias("class_doc"), F.col("_head._place").cast("long").alias("class_line"),
-        here.eqNullSafe(F.col("_head")).alias("kept"),
+        head["_doc"].alias("class_doc"), head["_place"].cast("long").alias("class_line"),
+        here.eqNullSafe(head).alias("kept"),
     )
 
 
