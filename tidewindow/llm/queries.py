@@ -94,7 +94,10 @@ def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     upgrades = counted.filter(revised).select(
         image(first, "_first").alias("before"), image(second, "_second").alias("after")
     )
-    kept = counted.groupBy("_same").agg(F.min("_doc").alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    # Pinned, so that the join has plain exchanges and a text of many copies is split.
+    kept = pin(counted.groupBy("_same").agg(
+        F.min("_doc").alias("_least"), F.count(F.lit(1)).alias("_n")
+    ).filter("_n > 1"))
     copies = counted.join(kept, "_same").filter(F.col("_doc") > F.col("_least")).select(
         F.when(revised, image(second, "_second")).otherwise(image(first, "_first")).alias("before"),
         nothing.alias("after"),
