@@ -25,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return linededup.without_repeated_lines(docs, length="n_chars")
+    return linededup.without_repeated_lines(docs, length="n_chars", min_bytes=linededup.ALL_LINES)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

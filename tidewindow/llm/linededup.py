@@ -1,22 +1,25 @@
 """Line deduplication by a segment-partition edit join.
 
-Lines of at least ``min_bytes`` bytes take part, without white space at their ends.  Two
-lines are links if their edit distance, counted in bytes, is at most ``distance``; lines
-joined by a chain of links are one class, and of a class only the first line stays: that of
-the smallest document id, then of the smallest place in the text.
-
-A line is cut into ``distance + 1`` segments of nearly equal length.  ``distance`` edits leave
+Lines of at least ``min_bytes`` bytes take part, without white space at their ends; op6 and the
+pipeline let every line take part that is not blank.  Two lines are links if their edit distance,
+counted in bytes, is at most the budget of the shorter one: an edit for each ``EDIT_LENGTH`` of
+its length, and ``distance`` at most.  The shortest lines have a budget of 0 and are like their
+exact copies alone; those need no keys.  Lines joined by a chain of links are one class, and of
+a class only the first line stays: that of the smallest document id, then of the smallest place
+in the text.
+
+A line is cut into one segment more than its budget, of nearly equal length.  So many edits leave
 one of them untouched, so a similar line that is not shorter holds that segment near its
 place.  The index key is the line's length, the segment's number and its bytes; a line probes
-the keys of lines up to ``distance`` bytes shorter at the few places that are possible.  Only
+the keys of lines shorter by up to their budget at the few places that are possible.  Only
 lines that meet another line under a key are read again and compared, with a banded
 bit-parallel edit distance over many pairs at once.
 
 Keys, and then the lines themselves, are made once per task for repeated lines, so copies
 of a line are folded before any shuffle.  Exact copies are one class and are never compared.
 
-Defined results: null and empty texts have no lines that take part; shorter lines, also
-empty ones, are kept; lines of documents without an id come first, as nulls do; of rows with
+Defined results: null and empty texts have no lines that take part; blank lines, and those
+shorter than ``min_bytes``, are kept; lines of documents without an id come first, as nulls do; of rows with
 the same id the lines are told apart by their place only, so repeated rows keep or lose the
 same lines.  Only the named columns are read.
 """
@@ -38,6 +41,10 @@ from tidewindow.session import pin
 
 DISTANCE = 2
 MIN_BYTES = 40
+#: Smallest size of a line that takes part in op6 and in the pipeline: any that is not blank.
+ALL_LINES = 1
+#: A line has an edit for each so much of its length.
+EDIT_LENGTH = 20
 #: Lines that a task remembers to fold repeated ones.
 REMEMBERED = 1 << 18
 #: Lines that meet others, above which they are joined by a shuffle.
@@ -58,6 +65,11 @@ def lines_of(text: bytes, min_bytes: int) -> Iterator[tuple[int, bytes]]:
             yield place, bare
 
 
+def budget(length: int, distance: int) -> int:
+    """Edits that a line of this length and one that is not shorter may differ in."""
+    return min(distance, length // EDIT_LENGTH)
+
+
 def segments(length: int, distance: int) -> list[tuple[int, int]]:
     """Start and size of the segments; the later ones are longer by one where needed."""
     size, longer = divmod(length, distance + 1)
@@ -74,17 +86,19 @@ def probes(length: int, distance: int) -> list[tuple[int, int, int, int]]:
     """
     out = []
     for indexed in range(max(1, length - distance), length + 1):
-        moved = length - indexed
-        for i, (start, size) in enumerate(segments(indexed, distance)):
-            low = max(0, start - i, start + moved - (distance - i))
-            high = min(length - size, start + i, start + moved + (distance - i))
+        moved, edits = length - indexed, budget(indexed, distance)
+        if not edits or moved > edits:
+            continue
+        for i, (start, size) in enumerate(segments(indexed, edits)):
+            low = max(0, start - i, start + moved - (edits - i))
+            high = min(length - size, start + i, start + moved + (edits - i))
             out += [(indexed, i, at, size) for at in range(low, high + 1)]
     return out
 
 
 def line_keys(line: bytes, plan: list[tuple[int, int, int, int]], distance: int) -> dict[int, bool]:
     """Keys of a line; true for those under which it is indexed."""
-    own = segments(len(line), distance)
+    own = segments(len(line), budget(len(line), distance))
     keys: dict[int, bool] = {}
     for indexed, i, at, size in plan:
         key = xxhash.xxh64_intdigest(line[at : at + size], indexed * (distance + 1) + i)
@@ -269,10 +283,12 @@ def _line_links(distance: int):
         left, right, waiting, size = [], [], [], 0
 
         def settle():
-            near = within([w[0] for w in waiting], [w[1] for w in waiting], distance)
-            for at in np.flatnonzero(near):
-                left.append(waiting[at][2])
-                right.append(waiting[at][3])
+            for edits in range(1, distance + 1):
+                some = [w for w in waiting if w[4] == edits]
+                near = within([w[0] for w in some], [w[1] for w in some], edits)
+                for at in np.flatnonzero(near):
+                    left.append(some[at][2])
+                    right.append(some[at][3])
             waiting.clear()
 
         for group in groups(batches):
@@ -283,7 +299,8 @@ def _line_links(distance: int):
             length = np.fromiter(map(len, lines), np.int64, len(lines))
             two, forest = block[0] != block[-1], Forest(len(lines))
             for row in np.flatnonzero(first):
-                fits = (length >= length[row]) & (length <= length[row] + distance)
+                edits = budget(int(length[row]), distance)
+                fits = (length >= length[row]) & (length <= length[row] + edits)
                 # Two indexed lines of one length meet once.
                 fits[:row] &= ~first[:row] | (length[:row] != length[row])
                 fits[row] = False
@@ -291,13 +308,13 @@ def _line_links(distance: int):
                     fits &= block != block[row]
                 rest = np.flatnonzero(fits & (forest.root != forest.root[row]))
                 if len(lines) <= SMALL_GROUP:
-                    waiting += [(lines[row], lines[j], names[row], names[j]) for j in rest]
+                    waiting += [(lines[row], lines[j], names[row], names[j], edits) for j in rest]
                     size += len(lines[row]) * len(rest)
                     continue
-                many = max(1, BYTES_AT_ONCE // int(length[row] + distance))
+                many = max(1, BYTES_AT_ONCE // int(length[row] + edits))
                 for at in range(0, len(rest), many):
                     part = rest[at : at + many]
-                    near = within([lines[row]] * len(part), [lines[j] for j in part], distance)
+                    near = within([lines[row]] * len(part), [lines[j] for j in part], edits)
                     for other in forest.link(row, part[near]):
                         left.append(names[row])
                         right.append(names[other])

@@ -66,7 +66,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.line_classes(table(spark, sf_dir, "documents"))
+    return linededup.line_classes(table(spark, sf_dir, "documents"), min_bytes=linededup.ALL_LINES)
 
 
 @registered
