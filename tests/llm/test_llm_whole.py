@@ -35,7 +35,8 @@ def test_lines_of_any_length(spark, monkeypatch, block):
     base = [bytes(rng.choice(b"abcdef") for _ in range(n)) for n in (1, 2, 5, 12, 19, 20, 21, 22, 30, 38, 39, 40, 41, 50)]
     lines = list(base)
     for i in range(200):
-        lines.append(changed(rng, rng.choice(lines), rng.randrange(3)) or b"x")
+        line = rng.choice(lines)
+        lines.append(changed(rng, line, rng.randrange(min(3, len(line)))))
     texts = ["\n".join(x.decode() for x in lines[i : i + 4]) + "\n  \n" for i in range(0, len(lines), 4)]
     monkeypatch.setattr(linededup, "BLOCK_LINES", block)
     monkeypatch.setattr(linededup, "SMALL_GROUP", 2)
@@ -51,3 +52,15 @@ def test_lines_of_any_length(spark, monkeypatch, block):
 def test_stage_removes_short_copies(spark):
     out = corpus_pipeline.line_stage(spark, table_of(spark, ["menu\nown a", "menu\nown b", "menu"]), "")
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {0: "menu\nown a", 1: "own b"}
+
+
+def test_edits_are_characters(spark):
+    rest = " and then some more words of it to fill up this line"
+    texts = ["un été" + rest, "un ete" + rest, "漢字" + rest, "漢子" + rest, "漫子" + rest, "ñandú élé" + rest, "nandu ele" + rest]
+    rows = linededup.line_classes(table_of(spark, texts), min_bytes=linededup.ALL_LINES).collect()
+    assert {r["doc_id"]: r["class_doc"] for r in rows} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 2, 5: 5, 6: 6}
+    broken = b"\xe9\xff caf\xc3\xa9 \xf0\x9f\x98\x80"
+    chars = linededup.characters(broken)
+    ends = linededup.offsets(chars)
+    assert ends[-1] == len(broken)
+    assert [broken[a:b] for a, b in zip(ends, ends[1:])] == [c.encode("utf-8", "surrogateescape") for c in chars]

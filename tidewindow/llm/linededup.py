@@ -2,7 +2,7 @@
 
 Lines of at least ``min_bytes`` bytes take part, without white space at their ends; op6 and the
 pipeline let every line take part that is not blank.  Two lines are links if their edit distance,
-counted in bytes, is at most the budget of the shorter one: an edit for each ``EDIT_LENGTH`` of
+counted in characters, is at most the budget of the shorter one: an edit for each ``EDIT_LENGTH`` of
 its length, and ``distance`` at most.  The shortest lines have a budget of 0 and are like their
 exact copies alone; those need no keys.  Lines joined by a chain of links are one class, and of
 a class only the first line stays: that of the smallest document id, then of the smallest place
@@ -10,7 +10,8 @@ in the text.
 
 A line is cut into one segment more than its budget, of nearly equal length.  So many edits leave
 one of them untouched, so a similar line that is not shorter holds that segment near its
-place.  The index key is the line's length, the segment's number and its bytes; a line probes
+place.  Lengths and places count characters; a byte that is not
+part of one counts as one.  The index key is the line's length, the segment's number and its bytes; a line probes
 the keys of lines shorter by up to their budget at the few places that are possible.  Only
 lines that meet another line under a key are read again and compared, with a banded
 bit-parallel edit distance over many pairs at once.
@@ -96,13 +97,35 @@ def probes(length: int, distance: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def characters(line: bytes) -> bytes | str:
+    """A line as a sequence of characters; the bytes themselves if they are ASCII."""
+    return line if line.isascii() else line.decode("utf-8", "surrogateescape")
+
+
+def code_points(line: bytes | str) -> np.ndarray:
+    if isinstance(line, bytes):
+        return np.frombuffer(line, np.uint8)
+    return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def offsets(line: str) -> list[int]:
+    """Places of the characters in the bytes of a line, and their end."""
+    points = code_points(line)
+    sizes = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    sizes[(points >= 0xDC80) & (points <= 0xDCFF)] = 1
+    return [0, *np.cumsum(sizes).tolist()]
+
+
 def line_keys(line: bytes, plan: list[tuple[int, int, int, int]], distance: int) -> dict[int, bool]:
     """Keys of a line; true for those under which it is indexed."""
-    own = segments(len(line), budget(len(line), distance))
+    chars = characters(line)
+    length = len(chars)
+    starts = range(length + 1) if chars is line else offsets(chars)
+    own = segments(length, budget(length, distance))
     keys: dict[int, bool] = {}
     for indexed, i, at, size in plan:
-        key = xxhash.xxh64_intdigest(line[at : at + size], indexed * (distance + 1) + i)
-        keys[key] = keys.get(key, False) or (indexed == len(line) and at == own[i][0])
+        key = xxhash.xxh64_intdigest(line[starts[at] : starts[at + size]], indexed * (distance + 1) + i)
+        keys[key] = keys.get(key, False) or (indexed == length and at == own[i][0])
     return keys
 
 
@@ -154,9 +177,10 @@ def _keys(min_bytes: int, distance: int):
                     digest = xxhash.xxh3_128_digest(line)
                     if seen(digest):
                         continue
-                    if len(line) not in plans:
-                        plans[len(line)] = probes(len(line), distance)
-                    made = line_keys(line, plans[len(line)], distance)
+                    length = len(characters(line))
+                    if length not in plans:
+                        plans[length] = probes(length, distance)
+                    made = line_keys(line, plans[length], distance)
                     keys += made.keys()
                     first += made.values()
                     ids += [int.from_bytes(digest[:8], "little")] * len(made)
@@ -187,7 +211,7 @@ def _whole_lines(min_bytes: int):
     return run
 
 
-def trimmed(x: bytes, y: bytes) -> tuple[bytes, bytes]:
+def trimmed(x: bytes | str, y: bytes | str) -> tuple[bytes | str, bytes | str]:
     """Two lines without what they share at their ends; the edit distance stays the same."""
     low, high = 0, min(len(x), len(y))
     while low < high:
@@ -203,11 +227,16 @@ def trimmed(x: bytes, y: bytes) -> tuple[bytes, bytes]:
 
 
 def within(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
-    """Which pairs have an edit distance of at most ``distance``; ``short`` is not longer.
+    """Which pairs have an edit distance of at most ``distance`` characters; ``short`` is not
+    longer.
 
     Pairs are compared without their equal ends, those of like length together.
     """
-    cut = [trimmed(x, y) for x, y in zip(short, long)]
+    cut = []
+    for x, y in zip(short, long):
+        if not (x.isascii() and y.isascii()):
+            x, y = (z.decode("utf-8", "surrogateescape") for z in (x, y))
+        cut.append(trimmed(x, y))
     size = np.fromiter((len(y) for _, y in cut), np.int64, len(cut))
     order = np.argsort(size, kind="stable")
     ok = np.zeros(len(cut), bool)
@@ -222,7 +251,7 @@ def within(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
     return ok
 
 
-def _banded(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
+def _banded(short: list[bytes | str], long: list[bytes | str], distance: int) -> np.ndarray:
     """Bit-parallel on a band: bit ``b`` of a pair's words stands for the diagonal ``b`` places
     from the lowest one, so each pair needs one machine word, and one step of a few word
     operations serves all pairs.
@@ -232,12 +261,12 @@ def _banded(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
     m = np.fromiter(map(len, long), np.int64, count)
     ok = np.zeros(count, bool)
     width, steps = 2 * distance + 1, int(n.max())
-    # Rows of ``long`` begin with ``distance`` bytes that match nothing.
-    a = np.full((count, steps), 256, np.int16)
-    b = np.full((count, steps + width + 1), 257, np.int16)
+    # Rows of ``long`` begin with ``distance`` places that match nothing.
+    a = np.full((count, steps), -1, np.int32)
+    b = np.full((count, steps + width + 1), -2, np.int32)
     for i, (x, y) in enumerate(zip(short, long)):
-        a[i, : len(x)] = np.frombuffer(x, np.uint8)
-        b[i, distance : distance + len(y)] = np.frombuffer(y, np.uint8)
+        a[i, : len(x)] = code_points(x)
+        b[i, distance : distance + len(y)] = code_points(y)
     # reach[e]: diagonals that can be reached with e edits up to the current row.
     mask = np.uint32((1 << width) - 1)
     reach = [
@@ -296,7 +325,7 @@ def _line_links(distance: int):
             names = group.column("_line").to_pylist()
             block = group.column("_block").to_numpy()
             first = group.column("_first").to_numpy()
-            length = np.fromiter(map(len, lines), np.int64, len(lines))
+            length = np.fromiter((len(characters(x)) for x in lines), np.int64, len(lines))
             two, forest = block[0] != block[-1], Forest(len(lines))
             for row in np.flatnonzero(first):
                 edits = budget(int(length[row]), distance)
