@@ -64,3 +64,29 @@ def test_edits_are_characters(spark):
     ends = linededup.offsets(chars)
     assert ends[-1] == len(broken)
     assert [broken[a:b] for a, b in zip(ends, ends[1:])] == [c.encode("utf-8", "surrogateescape") for c in chars]
+
+
+# ---- rows that share an id, or have none
+
+
+def test_lines_of_rows_without_an_id(spark):
+    same = "a line that several of the documents have in common"
+    rows = [(None, f"{same}\nown one"), (None, f"own two\n{same}"), (None, f"{same}\nown three"),
+            (7, f"own four\n{same}"), (7, "own five\nanother line that stands in here only"), (8, "own six")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    out = [r["text"] for r in linededup.without_repeated_lines(docs, length="n_chars", min_bytes=1).collect()]
+    own = ["own four", "own five\nanother line that stands in here only", "own six"]
+    assert sum(same in t for t in out) == 1 and {t for t in out if same not in t} >= set(own)
+    assert sorted(x for t in out for x in t.split("\n") if x != same) == sorted(
+        x for _, t in rows for x in t.split("\n") if x != same
+    )
+
+
+def test_representatives_of_rows_that_share_an_id(spark):
+    def text(n):
+        return " ".join(f"w{n}x{k}" for k in range(40))
+
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (4, text(2)), (4, text(3)), (4, text(3)), (5, text(2)), (None, text(2))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    out = sorted((str(r["doc_id"]), r["text"]) for r in simhash.representatives(docs).collect())
+    assert out == sorted([("None", text(0)), ("None", text(1)), ("4", text(2)), ("4", text(3))])

@@ -20,9 +20,9 @@ Keys, and then the lines themselves, are made once per task for repeated lines,
 of a line are folded before any shuffle.  Exact copies are one class and are never compared.
 
 Defined results: null and empty texts have no lines that take part; blank lines, and those
-shorter than ``min_bytes``, are kept; lines of documents without an id come first, as nulls do; of rows with
-the same id the lines are told apart by their place only, so repeated rows keep or lose the
-same lines.  Only the named columns are read.
+shorter than ``min_bytes``, are kept; lines of documents without an id come first, as nulls do; where an
+id is missing or names several rows, a document is its id and text, so different texts are
+different documents, and repeated rows keep or lose the same lines.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -32,12 +32,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewindow.llm.arrow import slices, texts
 from tidewindow.llm.buckets import Forest, grouped, groups, meeting_rows
 from tidewindow.llm.links import components
+from tidewindow.llm.texts import row_key
 from tidewindow.session import pin
 
 DISTANCE = 2
@@ -150,7 +151,7 @@ def _signed(numbers: list[int]) -> pa.Array:
     return pa.array(np.array(numbers, np.uint64).view(np.int64))
 
 
-def _places(min_bytes: int):
+def _places(min_bytes: int, names: list[str]):
     def run(batches):
         for batch in slices(batches, "_text"):
             rows, places, digests = [], [], []
@@ -160,9 +161,9 @@ def _places(min_bytes: int):
                     places.append(place)
                     digests.append(xxhash.xxh3_128_digest(line))
             yield pa.RecordBatch.from_arrays([
-                batch.column("_doc").take(pa.array(rows, pa.int64())),
+                *(batch.column(c).take(pa.array(rows, pa.int64())) for c in names),
                 pa.array(places, pa.int32()), pa.array(digests, pa.binary()),
-            ], ["_doc", "_place", "_line"])
+            ], [*names, "_place", "_line"])
 
     return run
 
@@ -227,8 +228,7 @@ def trimmed(x: bytes | str, y: bytes | str) -> tuple[bytes | str, bytes | str]:
 
 
 def within(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
-    """Which pairs have an edit distance of at most ``distance`` characters; ``short`` is not
-    longer.
+    """Which pairs have an edit distance of at most ``distance`` characters.
 
     Pairs are compared without their equal ends, those of like length together.
     """
@@ -236,9 +236,11 @@ def within(short: list[bytes], long: list[bytes], distance: int) -> np.ndarray:
     for x, y in zip(short, long):
         if not (x.isascii() and y.isascii()):
             x, y = (z.decode("utf-8", "surrogateescape") for z in (x, y))
-        cut.append(trimmed(x, y))
+        cut.append(trimmed(*sorted((x, y), key=len)))
     size = np.fromiter((len(y) for _, y in cut), np.int64, len(cut))
+    apart = size - np.fromiter((len(x) for x, _ in cut), np.int64, len(cut))
     order = np.argsort(size, kind="stable")
+    order = order[apart[order] <= distance]
     ok = np.zeros(len(cut), bool)
     at = 0
     while at < len(order):
@@ -376,19 +378,26 @@ def line_links(plain: DataFrame, distance: int = DISTANCE, min_bytes: int = MIN_
     return grouped(rows, BLOCK_LINES).mapInArrow(_line_links(distance), "a binary, b binary")
 
 
-def line_classes(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    distance: int = DISTANCE, min_bytes: int = MIN_BYTES,
-) -> DataFrame:
-    """One row for each line that takes part: ``doc_id``, ``line``, ``class_doc``,
-    ``class_line`` (the first line of its class) and ``kept``."""
-    plain = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("binary").alias("_text"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    places = pin(plain.mapInArrow(_places(min_bytes), f"_doc {kind}, _place int, _line binary"))
-    found = components(line_links(plain, distance, min_bytes))
-    first = places.groupBy("_line").agg(
-        F.min(F.struct("_doc", "_place")).alias("_first"), F.count(F.lit(1)).alias("_times")
+def _text_digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text.cast("binary"), F.lit(b"")), 256)
+
+
+def _placed(
+    docs: DataFrame, doc_id: str, text: str, distance: int, min_bytes: int
+) -> tuple[DataFrame, list[str]]:
+    """The lines with ``_here`` and ``_head``, the first of their class, and the fields of both
+    that name a document: ``_doc``, and ``_same`` where ids do not name one row each."""
+    single = row_key(docs, doc_id, text)[1]
+    names = ["_doc"] if single else ["_doc", "_same"]
+    plain = docs.select(
+        F.col(doc_id).alias("_doc"), *([] if single else [_text_digest(F.col(text)).alias("_same")]),
+        F.col(text).cast("binary").alias("_text"),
     )
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema if f.name in names)
+    places = pin(plain.mapInArrow(_places(min_bytes, names), f"{kinds}, _place int, _line binary"))
+    found = components(line_links(plain, distance, min_bytes))
+    here = F.struct(*names, "_place")
+    first = places.groupBy("_line").agg(F.min(here).alias("_first"), F.count(F.lit(1)).alias("_times"))
     # A line met once and without links is its own class and needs no row here.
     named = first.join(found, first["_line"] == found["node"], "left").filter(
         (F.col("_times") > 1) | F.col("root").isNotNull()
@@ -396,10 +405,20 @@ def line_classes(
     heads = named.groupBy("_root").agg(F.min("_first").alias("_head"))
     # Pinned, so that the last join has plain exchanges and a line of many copies is split.
     classes = pin(named.join(heads, "_root").select("_name", "_head"))
-    here = F.struct("_doc", "_place")
-    head = F.coalesce(F.col("_head"), here)
     return places.join(classes, F.col("_line") == F.col("_name"), "left").select(
-        F.col("_doc").alias(doc_id), F.col("_place").cast("long").alias("line"),
+        here.alias("_here"), F.coalesce(F.col("_head"), here).alias("_head")
+    ), names
+
+
+def line_classes(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    distance: int = DISTANCE, min_bytes: int = MIN_BYTES,
+) -> DataFrame:
+    """One row for each line that takes part: ``doc_id``, ``line``, ``class_doc``,
+    ``class_line`` (the first line of its class) and ``kept``."""
+    here, head = F.col("_here"), F.col("_head")
+    return _placed(docs, doc_id, text, distance, min_bytes)[0].select(
+        here["_doc"].alias(doc_id), here["_place"].cast("long").alias("line"),
         head["_doc"].alias("class_doc"), head["_place"].cast("long").alias("class_line"),
         here.eqNullSafe(head).alias("kept"),
     )
@@ -412,13 +431,17 @@ def without_repeated_lines(
     """``docs`` without the lines that are not kept; ``length`` names a column for the new
     number of characters.  Documents of which nothing but white space is left are dropped if
     they have lost a line; all others stay, with all their columns."""
-    classes = line_classes(docs, doc_id, text, distance, min_bytes)
-    lost = classes.filter(~F.col("kept")).groupBy(F.col(doc_id).alias("_id")).agg(
-        F.collect_set("line").alias("_lost")
-    )
+    placed, known = _placed(docs, doc_id, text, distance, min_bytes)
+    lost = placed.filter(~F.col("_here").eqNullSafe(F.col("_head"))).groupBy(
+        *(F.col("_here")[c].alias(c) for c in known)
+    ).agg(F.collect_set(F.col("_here")["_place"].cast("long")).alias("_lost"))
     names = [f.name for f in docs.schema]
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"))
-    joined = held.join(lost, F.col(f"_row.`{doc_id}`").eqNullSafe(F.col("_id")), "left")
+    same = F.col(f"_row.`{doc_id}`").eqNullSafe(F.col("_doc"))
+    if "_same" in known:
+        held = held.withColumn("_digest", _text_digest(F.col(f"_row.`{text}`")))
+        same &= F.col("_digest") == F.col("_same")
+    joined = held.join(lost, same, "left")
     old = F.col(f"_row.`{text}`")
     lines = F.filter(F.split(old, "\n", -1), lambda _, i: ~F.array_contains("_lost", i.cast("long")))
     untouched = F.col("_lost").isNull()

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tidewindow.llm.arrow import slices, texts
 from tidewindow.llm.buckets import Forest, grouped, groups, meeting_rows
 from tidewindow.llm.links import components
+from tidewindow.llm.texts import row_key
 from tidewindow.session import pin
 
 SHINGLE = 3
@@ -170,12 +171,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each component: that of the smallest id.
 
-    Of rows with the same id one stays.  Rows without an id cannot be named as copies and
-    stay as they are.
+    Where an id is missing or names several rows, a document is its id and text: rows with
+    the same id and text are one document, of which one row stays, and of a component's texts
+    under one id, or without one, the one with the smallest digest.  An id comes before none.
     """
-    known = docs.filter(F.col(doc_id).isNotNull())
-    ids = near_duplicates(known, doc_id, text).filter(F.col(doc_id) == F.col("component_id"))
-    kept = known.join(ids.select(doc_id).distinct(), doc_id, "left_semi").dropDuplicates([doc_id])
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(
-        docs.filter(F.col(doc_id).isNull())
+    key, single = row_key(docs, doc_id, text)
+    if single:
+        ids = near_duplicates(docs, doc_id, text).filter(F.col(doc_id) == F.col("component_id"))
+        kept = docs.join(ids.select(doc_id), doc_id, "left_semi")
+        return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    named = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key.alias("_name"),
+        F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), key.alias("name")).alias("_order"), F.col(text).alias("_words"),
     )
+    found = near_duplicates(named, "_order", "_words")
+    first = found.filter(F.col("_order").eqNullSafe(F.col("component_id"))).select(
+        F.col("_order").getField("name").alias("_name")
+    )
+    kept = named.join(first.distinct(), "_name", "left_semi").dropDuplicates(["_name"])
+    return kept.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
