@@ -90,3 +90,32 @@ def test_representatives_of_rows_that_share_an_id(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
     out = sorted((str(r["doc_id"]), r["text"]) for r in simhash.representatives(docs).collect())
     assert out == sorted([("None", text(0)), ("None", text(1)), ("4", text(2)), ("4", text(3))])
+
+
+# ---- op7
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame(
+        [(i, f"https://{host}/{i}", f"<html><body>{body}</body></html>") for i, (host, body) in enumerate(rows)],
+        "page_id long, url string, html string",
+    )
+
+
+def test_boxes_within_articles(spark):
+    box = "<div class='x9'>Get our letter</div>"
+    rows = [("h.org", f"<article><p>own text of page {i}</p>{box}<p>in all</p></article>") for i in range(4)]
+    rows += [("near.org", f"<article><div>a long part that all the copies share</div><p>{i}</p></article>") for i in range(4)]
+    rows += [("copies.org", f"<article><p>the same</p>{box}</article>")] * 4
+    text = {r["page_id"]: r["text"] for r in htmltext.extract_text(pages_of(spark, rows)).collect()}
+    assert all(text[i] == f"own text of page {i}\nin all" for i in range(4))
+    assert all(text[4 + i] == f"a long part that all the copies share\n{i}" for i in range(4))
+    assert all(text[8 + i] == "the same\nGet our letter" for i in range(4))
+
+
+def test_copies_are_no_template_and_large_hosts_have_one(spark):
+    rows = [("copies.org", "<div><p>one</p><p>two</p></div>")] * 5
+    rows += [("large.org", f"<div>menu</div><p>own {i}</p>" if i < 5 else f"<p>own {i}</p>") for i in range(400)]
+    text = {r["page_id"]: r["text"] for r in htmltext.extract_text(pages_of(spark, rows)).collect()}
+    assert all(text[i] == "one\ntwo" for i in range(5))
+    assert all(text[5 + i] == f"own {i}" for i in range(400))

@@ -1,13 +1,17 @@
 """Main text of web pages: site template removal by repeated element subtrees.
 
-A page is read into a tree of elements.  Every subtree outside the article is hashed with its
-tag, class and id, and all of its text.  Spark counts on how many pages of the same host each
-hash occurs; subtrees on many pages are the site's template and are deleted.  So are elements
+A page is read into a tree of elements.  Its subtrees are hashed with their tag, class and id,
+and all of their text.  Spark counts in how many different page bodies of the same host each
+hash occurs; subtrees in ``MIN_PAGES`` of them are the site's template and are deleted, however
+large the host is.  A body is the text that a page has by tags and names alone, so copies of a
+page count once and do not make their own text a template.  So are deleted elements
 that say themselves that they are no main text: by their tag (menus, footers, asides, forms,
 scripts, styles) or by a word of their class, id or role (advert, sidebar, comments, notice).
 
-A page with ``article`` elements, or else a ``main`` element, is read from those.  What lies
-in them is never deleted for occurring often: a copied article is no template.
+A page with ``article`` elements, or else a ``main`` element, is read from those.  In them the
+boxes count: block elements, but paragraphs and headings only with a class, id or role, since
+those without are the text itself.  Where more than half of an article's text would go, it is a
+near copy of others, not a text with boxes, and nothing is deleted in it.
 
 Text is split at block elements.  White space inside a block becomes one space, blocks are
 joined by a line break in page order, and nothing else is dropped.
@@ -32,10 +36,9 @@ from tidewindow.llm.arrow import slices, texts
 from tidewindow.llm.texts import row_key
 from tidewindow.session import pin
 
-#: A subtree is template on so many pages of its host, and so large a share of them.
+#: A subtree is template in so many different page bodies of its host.
 MIN_PAGES = 3
-MIN_SHARE = 0.02
-#: Template hashes that may be broadcast; a row is a host and a number.
+#: Template hashes that may be broadcast; a row is a number.
 BROADCAST_HASHES = 100_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,6 +47,8 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre "
     "search section summary table tbody td tfoot th thead tr ul".split()
 )
+#: In an article these are boxes only if they have a class, id or role.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 hgroup header li dt dd tr td th tbody thead tfoot caption pre".split())
 NO_TEXT = frozenset(
     "head title script style noscript template svg math canvas iframe object embed audio video map "
     "nav footer aside form button select option textarea input label fieldset dialog menu".split()
@@ -160,7 +165,8 @@ def read_page(html: str) -> list[Node]:
 
 
 def subtree_hashes(nodes: list[Node]) -> dict[int, int]:
-    """Signed hashes of the subtrees outside the article that hold text, by node number."""
+    """Signed hashes of subtrees that hold text, by node number: those outside the article,
+    and the boxes in it."""
     hashes: dict[int, tuple[int, bool]] = {}
     out = {}
     for number in range(len(nodes) - 1, 0, -1):
@@ -177,7 +183,11 @@ def subtree_hashes(nodes: list[Node]) -> dict[int, int]:
                 filled |= some
         value = xxhash.xxh3_64_intdigest("\x1f".join(parts))
         hashes[id(node)] = value, filled
-        if filled and not node.inside and node.tag not in ("html", "body", "head", "title", "script", "style"):
+        if node.inside and (
+            node.tag in ("article", "main") or node.tag not in BLOCK or node.tag in PROSE and not node.names
+        ):
+            continue
+        if filled and node.tag not in ("html", "body", "head", "title", "script", "style"):
             out[number] = value - (1 << 64) if value >> 63 else value
     return out
 
@@ -221,6 +231,18 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
     return "\n".join(line for line in lines if line)
 
 
+def text_without(nodes: list[Node], template: set[int]) -> str:
+    """The main text without the template, but with all of an article of which that is more
+    than half."""
+    rest = main_text(nodes, template)
+    boxes = {n for n in template if nodes[n].inside}
+    if boxes:
+        whole = main_text(nodes, template - boxes)
+        if 2 * len(rest) < len(whole):
+            return whole
+    return rest
+
+
 def host_of(url: str) -> Column:
     """Host of an address, in lower case and without user and port; empty where null."""
     authority = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)", 1)
@@ -231,17 +253,26 @@ def _decoded(batch, column: str) -> list[str]:
     return [t.decode("utf-8", "replace") for t in texts(batch, column)]
 
 
+def _salted(host: str, value: int) -> int:
+    """A subtree's hash on its host, signed."""
+    value = xxhash.xxh3_64_intdigest(f"{value}\x1f{host}")
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _hashes(batches):
     for batch in slices(batches, "_html"):
-        rows, hashes = [], []
-        for row, html in enumerate(_decoded(batch, "_html")):
-            found = set(subtree_hashes(read_page(html)).values())
+        rows, hashes, bodies = [], [], []
+        for row, (html, host) in enumerate(zip(_decoded(batch, "_html"), batch.column("_host").to_pylist())):
+            nodes = read_page(html)
+            found = {_salted(host, h) for h in subtree_hashes(nodes).values()}
+            body = xxhash.xxh3_64_intdigest(main_text(nodes, set()))
             rows += [row] * len(found)
             hashes += found
+            bodies += [body - (1 << 64) if body >> 63 else body] * len(found)
         at = pa.array(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_page").take(at), batch.column("_host").take(at), pa.array(hashes, pa.int64())],
-            ["_page", "_host", "_hash"],
+            [batch.column("_page").take(at), pa.array(hashes, pa.int64()), pa.array(bodies, pa.int64())],
+            ["_page", "_hash", "_body"],
         )
 
 
@@ -249,11 +280,12 @@ def _extract(carried: list[str]):
     def run(batches):
         for batch in slices(batches, "_html"):
             out = []
-            for html, known in zip(_decoded(batch, "_html"), batch.column("_template").to_pylist()):
+            columns = _decoded(batch, "_html"), batch.column("_host").to_pylist(), batch.column("_template").to_pylist()
+            for html, host, known in zip(*columns):
                 nodes = read_page(html)
                 known = set(known or ())
-                numbers = {n for n, h in subtree_hashes(nodes).items() if h in known} if known else set()
-                out.append(main_text(nodes, numbers))
+                numbers = {n for n, h in subtree_hashes(nodes).items() if _salted(host, h) in known} if known else set()
+                out.append(text_without(nodes, numbers))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in carried] + [pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],
                 [*carried, "text", "n_chars"],
@@ -262,16 +294,16 @@ def _extract(carried: list[str]):
     return run
 
 
-def template_hashes(found: DataFrame, pages: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """``_host`` and ``_hash`` of subtrees on many pages of their host."""
-    sizes = pages.groupBy("_host").agg(F.count(F.lit(1)).alias("_of"))
-    counted = found.groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_on")).filter(F.col("_on") >= min_pages)
-    return counted.join(sizes, "_host").filter(F.col("_on") >= min_share * F.col("_of")).select("_host", "_hash")
+def template_hashes(found: DataFrame, min_pages: int) -> DataFrame:
+    """``_hash`` of subtrees in many different page bodies of their host."""
+    different = found.groupBy("_hash", "_body").agg(F.lit(1).alias("_one"))
+    counted = different.groupBy("_hash").agg(F.count(F.lit(1)).alias("_in"))
+    return counted.filter(F.col("_in") >= min_pages).select("_hash")
 
 
 def extract_text(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
+    min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
     plain = pages.select(
@@ -280,13 +312,13 @@ def extract_text(
     )
     kinds = {f.name: f.dataType.simpleString() for f in plain.schema}
     found = pin(plain.select("_page", "_host", "_html").mapInArrow(
-        _hashes, f"_page {kinds['_page']}, _host string, _hash long"
+        _hashes, f"_page {kinds['_page']}, _hash long, _body long"
     ))
-    template = pin(template_hashes(found, plain, min_pages, min_share))
+    template = pin(template_hashes(found, min_pages))
     few = template.count() <= BROADCAST_HASHES
-    own = found.join(F.broadcast(template) if few else template, ["_host", "_hash"])
+    own = found.join(F.broadcast(template) if few else template, "_hash")
     deleted = own.groupBy("_page").agg(F.collect_set("_hash").alias("_template"))
-    whole = plain.select("_id", "_url", "_page", "_html").join(deleted, "_page", "left")
-    return whole.select("_id", "_url", "_html", "_template").mapInArrow(
+    whole = plain.select("_id", "_url", "_host", "_page", "_html").join(deleted, "_page", "left")
+    return whole.select("_id", "_url", "_host", "_html", "_template").mapInArrow(
         _extract(["_id", "_url"]), f"_id {kinds['_id']}, _url {kinds['_url']}, text string, n_chars long"
     ).withColumnsRenamed({"_id": page_id, "_url": url})
