@@ -150,10 +150,22 @@ def test_writer_schema_is_chosen_by_id(spark):
         raw = row if raw is None else raw.unionByName(row)
     raw = raw.unionByName(spark.range(1).select(F.lit(b"x").alias("value")))
     out = decode_avro_topic(raw, "reader", {1: "old", 2: "new"}, decoder).collect()
-    assert [(r.user_id, r.reason) for r in out][:4] == [
+    reasons = [r[C.DECODED].reason for r in out]
+    assert [(r.user_id, why) for r, why in zip(out, reasons)][:4] == [
         ("unknown", None), ("u", None), (None, "unknown_schema"), (None, "malformed"),
     ]
-    assert out[4].reason not in (None, "unknown_schema") and out[0].event_ts is not None
+    assert reasons[4] not in (None, "unknown_schema") and out[0].event_ts is not None
+    assert bytes(out[4][C.DECODED].raw) == b"x"
+
+
+def test_json_beside_columns_of_the_same_names(spark):
+    """Columns of a table of messages stay, also those a decoder has a word for."""
+    raw = spark.createDataFrame(
+        [('{"event_id": ', "paid", "r1", "x")], "value string, reason string, body string, event_id string"
+    )
+    out = quality.parse_json_events(raw).first()
+    assert (out.reason, out.body, out.event_id) == ("paid", "r1", None)
+    assert out[C.DECODED].reason == "malformed" and bytes(out[C.DECODED].raw) == b'{"event_id": '
 
 
 def test_iceberg_batches_replace_themselves():

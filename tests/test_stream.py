@@ -8,8 +8,9 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL, at, event, offset
+from pyspark.sql import types as T
 
-from tidewindow.contract import EVENT_COLUMNS, EVENT_SCHEMA
+from tidewindow.contract import DECODED, EVENT_COLUMNS, EVENT_SCHEMA
 from tidewindow.operators import health, metrics
 from tidewindow.sinks.tables import Tables
 from tidewindow.sources import tables as reads
@@ -327,6 +328,35 @@ def test_poison_goes_its_own_way(spark, run):
     assert [(p.rows, p.poison_rows) for p in run.progress()] == [(2, 2)]
 
 
+@pytest.mark.parametrize("name, values", [
+    ("value", [1.5, None, 2.0]),
+    ("value", ["domain", "domain", None]),
+    ("reason", ["refund", None, "gift"]),
+])
+def test_columns_named_like_parts_of_a_message(spark, run, name, values):
+    """A business column ``value`` or ``reason`` is neither the message nor its error."""
+    kind = "double" if isinstance(values[0], float) else "string"
+    rows = [event(1, 0), event(2, 1, user_id=None), event(3, 2)]
+    stated = T.StructType([*EVENT_SCHEMA.fields]).add(name, kind)
+    data = [tuple(r[n] for n in EVENT_COLUMNS) + (v,) for r, v in zip(rows, values)]
+    spark.createDataFrame(data, stated).coalesce(1).write.mode("overwrite").parquet(run.input)
+    stream = file_stream(spark, run.input, stated)
+    StreamJob(run.tables).start(stream, f"{run.folder}/checkpoint", availableNow=True).awaitTermination(300)
+    poison = reads.read_poison(spark, run.tables).collect()
+    assert [r.reason for r in poison] == ["null_user_id"]
+    assert b'"event_id":"2"' in bytes(poison[0].raw)
+    assert {r.event_id for r in reads.read_cold(spark, run.tables).collect()} == {"1", "3"}
+
+
+def test_decoded_column_of_another_kind_is_refused(spark, run):
+    run.add([event(1, 0)])
+    from pyspark.sql import functions as F
+
+    stream = run.stream().withColumn(DECODED, F.lit("x"))
+    with pytest.raises(ValueError, match=DECODED):
+        StreamJob(run.tables).start(stream, f"{run.folder}/checkpoint")
+
+
 def test_batch_of_poison_keeps_the_watermark(spark, run):
     run.add([event(1, 200)])
     run.add([event(2, 900, event_type=None)])

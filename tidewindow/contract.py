@@ -44,6 +44,13 @@ METRIC_KEY = ["window_start", *DIMENSIONS]
 COLD_COLUMNS = [
     "event_id", "user_id", "event_type", "event_ts", "campaign_id", "geo", "device",
 ]
+#: What a decoder says of a message, beside the event columns.  One column under a name that
+#: no event column has, so that business columns like ``value`` or ``reason`` stay what they are.
+DECODED = "_decoded"
+DECODED_TYPE = T.StructType([
+    T.StructField("raw", T.BinaryType()),
+    T.StructField("reason", T.StringType()),
+])
 
 EVENT_SCHEMA = T.StructType([T.StructField(f.name, f.dtype) for f in CLICK_EVENT])
 METRIC_SCHEMA = T.StructType([

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewindow.contract import REQUIRED_COLUMNS, poison_reason
+from tidewindow.contract import DECODED, REQUIRED_COLUMNS, poison_reason
 from tidewindow.operators.ordered import total_order
 
 # Wire form of an event in JSON: times are epoch milliseconds.
@@ -40,24 +40,35 @@ def dedup_events(
     return once.unionByName(events.where(~with_key))
 
 
+def decoded(raw: Column, reason: Column) -> Column:
+    """The column a decoder adds: the message as bytes, and why it is poison or null."""
+    return F.struct(raw.cast("binary").alias("raw"), reason.alias("reason")).alias(DECODED)
+
+
 def parse_json_events(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Decode JSON text to event columns plus ``reason``, null for a good row."""
+    """Decode JSON text to event columns and the ``decoded`` column; other columns stay.
+
+    A column of ``raw`` that has the name of an event column gives way to it.
+    """
     event = F.from_json(
         F.col(value).cast("string"),
         JSON_EVENT,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
+    names = [part.split()[0] for part in JSON_EVENT.split(", ")]
+    message = F.col(value).cast("binary").alias("_message")
+    others = [F.col(name) for name in raw.columns if name not in (value, DECODED, *names)]
     # inline() keeps the parser from being repeated for every column that uses it
-    opened = raw.select("*", F.inline(F.array(event))).withColumns({
+    opened = raw.select(*others, message, F.inline(F.array(event))).withColumns({
         "event_ts": F.timestamp_millis("event_ts"),
         "ingest_ts": F.timestamp_millis("ingest_ts"),
     })
     reason = (
-        F.when(F.col(value).isNull(), "missing")
+        F.when(F.col("_message").isNull(), "missing")
         .when(F.col("_corrupt").isNotNull(), "malformed")
         .otherwise(poison_reason(REQUIRED_COLUMNS))
     )
-    return opened.withColumn("reason", reason).drop("_corrupt")
+    return opened.withColumn(DECODED, decoded(F.col("_message"), reason)).drop("_corrupt", "_message")
 
 
 def json_value(columns: list[str]) -> Column:
@@ -69,11 +80,8 @@ def json_value(columns: list[str]) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def split_poison(
-    tagged: DataFrame, raw: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """``(good, poison)``; a poison row keeps its raw bytes and the reason."""
-    poison = tagged.where(F.col("reason").isNotNull()).select(
-        F.col(raw).cast("binary").alias("raw"), "reason"
-    )
-    return tagged.where(F.col("reason").isNull()).drop("reason"), poison
+def split_poison(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, poison)`` of what a decoder gave; a poison row is its raw bytes and the reason."""
+    reason = F.col(f"{DECODED}.reason")
+    poison = tagged.where(reason.isNotNull()).select(f"{DECODED}.raw", f"{DECODED}.reason")
+    return tagged.where(reason.isNull()).drop(DECODED), poison

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewindow.contract import EVENT_SCHEMA
+from tidewindow.contract import DECODED, EVENT_SCHEMA
 from tidewindow.functions.envelope import unwrap
+from tidewindow.operators.quality import decoded as decoded_column
 
 # Topic names of the event contract.
 RAW_TOPIC = "events.raw.v1"
@@ -77,7 +78,7 @@ Decoder = Callable[[Column, str, str], Column]
 def decode_avro_topic(
     raw: DataFrame, reader: str, writers: Mapping[int, str], decoder: Decoder = avro_event
 ) -> DataFrame:
-    """Envelope and Avro body to event columns plus ``reason``, null for a good row.
+    """Envelope and Avro body to event columns and the ``decoded`` column.
 
     ``writers`` has the schema of each id that producers use.  A message of another id
     is poison with the reason ``unknown_schema``: read by a guess it would be misread.
@@ -92,15 +93,19 @@ def decode_avro_topic(
         event = F.when(chosen, decoded) if event is None else event.when(chosen, decoded)
     # inline() keeps the decoder from being repeated for every column that uses it
     events = opened.select(
-        "value", "envelope_status", "schema_id", F.inline(F.array(event))
+        F.struct(
+            F.col("value").alias("raw"), F.col("envelope_status").alias("status"),
+            F.col("schema_id").alias("schema"),
+        ).alias("_message"),
+        F.inline(F.array(event)),
     )
     reason = (
-        F.when(F.col("envelope_status") != "ok", F.col("envelope_status"))
-        .when(~F.col("schema_id").isin(*writers), "unknown_schema")
+        F.when(F.col("_message.status") != "ok", F.col("_message.status"))
+        .when(~F.col("_message.schema").isin(*writers), "unknown_schema")
         .when(F.col("event_id").isNull(), "malformed")
     )
     return events.withColumns({
-        "reason": reason,
+        DECODED: decoded_column(F.col("_message.raw"), reason),
         "event_ts": F.timestamp_millis("event_ts"),
         "ingest_ts": F.timestamp_millis("ingest_ts"),
-    }).drop("envelope_status", "schema_id")
+    }).drop("_message")

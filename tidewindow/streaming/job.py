@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewindow.contract import (
+    DECODED,
+    DECODED_TYPE,
     EVENT_COLUMNS,
     METRIC_SCHEMA,
     PROGRESS_SCHEMA,
@@ -67,6 +69,14 @@ def stream_ids(spark: SparkSession) -> tuple[str | None, str | None]:
     return query, context.getLocalProperty("spark.jobGroup.id") if query else None
 
 
+def check_decoded(stream: DataFrame) -> None:
+    """Refuse a stream whose column ``DECODED`` is not what a decoder of the library adds."""
+    if DECODED in stream.columns:
+        kind = stream.schema[DECODED].dataType
+        if kind.simpleString() != DECODED_TYPE.simpleString():
+            raise ValueError(f"{DECODED} is {kind.simpleString()}, not what a decoder adds")
+
+
 @dataclass(frozen=True)
 class StreamJob:
     """Tables to write, rules to apply, and sinks beside the tables.
@@ -92,9 +102,10 @@ class StreamJob:
     def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         """Run ``stream`` through the job; by default one batch a minute.
 
-        ``stream`` has event columns.  A decoder may add ``reason``, null for a good
-        row, and ``value``, the raw message.
+        ``stream`` has event columns, and from a decoder the column ``DECODED``, with
+        the raw message and the reason, null for a good row.  Other columns are left out.
         """
+        check_decoded(stream)
         missing = [name for name in REQUIRED_COLUMNS if name not in stream.columns]
         if missing:
             raise ValueError(f"the stream lacks required columns: {', '.join(missing)}")
@@ -195,12 +206,11 @@ class StreamJob:
 
     def _tag(self, batch: DataFrame, before: int | None) -> DataFrame:
         """Event columns, ``reason`` and ``raw`` for poison, ``window_end``, ``is_late``."""
-        events = conform(batch, keep=("reason", "value"))
+        events = conform(batch, keep=(DECODED,))
         reason, raw = poison_reason(), json_value(EVENT_COLUMNS).cast("binary")
-        if "reason" in events.columns:
-            reason = F.coalesce(F.col("reason"), reason)
-        if "value" in events.columns:
-            raw = F.col("value").cast("binary")
+        if DECODED in events.columns:
+            reason = F.coalesce(F.col(f"{DECODED}.reason"), reason)
+            raw = F.col(f"{DECODED}.raw")
         end = window_end("event_ts", self.policy.width_seconds)
         return events.select(
             *EVENT_COLUMNS,

@@ -33,7 +33,7 @@ def replay_late_table(
 
 def late_from_topic(messages: DataFrame) -> DataFrame:
     """Late events from the JSON messages of their topic (``kafka_table``)."""
-    return parse_json_events(messages).where("reason IS NULL").select(*EVENT_COLUMNS)
+    return split_poison(parse_json_events(messages))[0].select(*EVENT_COLUMNS)
 
 
 def reread_poison(
@@ -41,7 +41,8 @@ def reread_poison(
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, poison)``: stored poison through a decoder that may know more by now.
 
-    ``decode`` gets the raw bytes as ``value`` and adds event columns and ``reason``.
+    ``decode`` gets the raw bytes as ``value`` and gives event columns and the
+    ``decoded`` column of ``operators.quality``.
     The good rows can be given to ``replay_late_table`` as ``late``.
     """
     raw = read_poison(spark, tables).select(F.col("raw").alias("value"))
