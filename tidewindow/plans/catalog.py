@@ -326,44 +326,30 @@ def ingest_latency_by_campaign(spark, sf_dir):
 
 # ---- the streaming job
 
-WEEKS = 4
 _jobs: dict[tuple[str, str], Tables] = {}
 
 
 def stream_weeks(spark: SparkSession, sf_dir: str, root: str) -> Tables:
-    """The events through the job, one batch for each week of arrival, in three runs.
+    """The events through the job, one batch for each week, each in a run of its own.
 
-    Events of type ``error`` come without a user and are poison.  The second run goes
-    on after a restart.  Before the third the commit of the last batch is taken back,
-    so that it is run once more.
+    Events that took time to arrive were held back by their producer and come with the
+    batch of the next week, so most of them are late.  Events of type ``error`` come
+    without a user and are poison.
     """
     events = clickstream(spark, sf_dir).withColumn(
         "user_id", F.when(F.col("event_type") != "error", F.col("user_id"))
     )
-    week = F.least(
-        F.lit(WEEKS - 1), F.floor(F.datediff(F.to_date("ingest_ts"), F.to_date(F.lit("2024-01-01"))) / 7)
-    )
-    weeks = events.select(*C.EVENT_COLUMNS, week.alias("week"))
-    tables, checkpoint = Tables(f"{root}/tables"), f"{root}/checkpoint"
-
-    def run() -> None:
-        stream = file_stream(spark, f"{root}/in/*", files_per_trigger=1)
+    held_back = F.col("ingest_ts") > F.col("event_ts")
+    days = F.datediff(F.to_date("ingest_ts"), F.to_date(F.lit("2024-01-01")))
+    week = F.floor(days / 7) + F.when(held_back, 1).otherwise(0)
+    sent = events.select(*C.EVENT_COLUMNS, week.alias("week"))
+    tables = Tables(f"{root}/tables")
+    for (number,) in sorted(sent.select("week").distinct().collect()):  # a row for each week
+        sent.where(F.col("week") == number).drop("week").write.parquet(f"{root}/in/week={number}")
+        # all files that are new since the last run are one batch
         StreamJob(tables, CLICKSTREAM_POLICY).start(
-            stream, checkpoint, availableNow=True
+            file_stream(spark, f"{root}/in/*"), f"{root}/checkpoint", availableNow=True
         ).awaitTermination()
-
-    for number in range(WEEKS):
-        # one file is one batch; weeks are written in turn, so files are read in turn
-        weeks.where(F.col("week") == number).drop("week").coalesce(1).write.parquet(
-            f"{root}/in/week={number}"
-        )
-        if number == 1:
-            run()
-    run()
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    last = hadoop.Path(f"{checkpoint}/commits/{WEEKS - 1}")
-    last.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(last, False)
-    run()
     return tables
 
 

@@ -39,11 +39,15 @@ ARRIVED = CLICKSTREAM + """, met AS (
     SELECT *, coalesce(window_end <= watermark, false) AS is_late FROM met
 )"""
 
-# The job's batches: weeks of arrival; a batch meets the watermark of those before it.
-STREAMED = CLICKSTREAM + """, sent AS (
+# The job's batches: weeks, events that took time a week later; a batch meets the watermark
+# of those before it.
+STREAMED = CLICKSTREAM + """, dealt AS (
     SELECT *, time_bucket(INTERVAL 1 MINUTE, event_ts) + INTERVAL 1 MINUTE AS window_end,
-           CAST(least(3, date_diff('day', DATE '2024-01-01', CAST(ingest_ts AS DATE)) // 7) AS BIGINT) AS batch_id
+           date_diff('day', DATE '2024-01-01', CAST(ingest_ts AS DATE)) // 7
+             + CASE WHEN ingest_ts > event_ts THEN 1 ELSE 0 END AS week
     FROM clickstream
+), sent AS (
+    SELECT * EXCLUDE (week), dense_rank() OVER (ORDER BY week) - 1 AS batch_id FROM dealt
 ), good AS (SELECT * FROM sent WHERE event_type <> 'error'
 ), reached AS (
     SELECT batch_id, max(max(event_ts)) OVER (ORDER BY batch_id) - INTERVAL 5 SECOND AS after,
@@ -318,6 +322,7 @@ SELECT event_id, 'null_user_id' AS reason, batch_id FROM sent WHERE event_type =
     FROM sent GROUP BY 1
 )
 SELECT batch_id, rows, coalesce(n, 0) AS late_rows, poison_rows,
-       round(poison_rows / (rows + poison_rows), 6) AS error_rate, CAST(2 AS BIGINT) AS restarts
+       round(poison_rows / (rows + poison_rows), 6) AS error_rate,
+       (SELECT max(batch_id) FROM sent) AS restarts
 FROM whole LEFT JOIN late USING (batch_id)""",
 }
