@@ -30,7 +30,7 @@ from tidewindow.llm import (
 from tidewindow.llm.oracle import ORACLE
 from tidewindow.llm.queries import QUERIES
 
-KINDS = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 DOCS = "doc_id long, text string, lang string, source string, n_chars int"
 
 
@@ -514,31 +514,45 @@ def test_blocks_of_items(spark):
 # ---- the pipeline
 
 
+def few_edits(a, b, edits):
+    """Whether ``a`` can be made ``b`` by so many edits of a character: past what is equal, try each."""
+    at = 0
+    while at < min(len(a), len(b)) and a[at] == b[at]:
+        at += 1
+    a, b = a[at:], b[at:]
+    if not a or not b:
+        return len(a) + len(b) <= edits
+    return edits > 0 and (
+        few_edits(a[1:], b[1:], edits - 1) or few_edits(a[1:], b, edits - 1) or few_edits(a, b[1:], edits - 1)
+    )
+
+
 def test_pipeline_against_plain_stages(spark):
     """Each stage's decisions, taken from its operator's own tested result or from SQL."""
     docs = documents(spark)
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     judged = {r[0]: r[-1] for r in database(SF_SMALL).execute(ORACLE["op9_quality_rules"]).fetchall()}
     left = {d: t for d, t in texts.items() if judged[d]}
-    heads, sets = {}, None
     lines = defaultdict(list)
     for d, t in sorted(left.items()):
-        for at, line in enumerate(t.encode().split(b"\n")):
-            if len(line.strip(b" \t\n\r\x0b\x0c")) >= 40:
-                lines[line.strip(b" \t\n\r\x0b\x0c")].append((d, at))
+        for at, line in enumerate(t.split("\n")):
+            bare = line.strip(" \t\n\r\x0b\x0c")
+            if bare:
+                lines[bare].append((d, at))
     sets = Sets(lines)
     by_length = defaultdict(list)
     for line in lines:
         by_length[len(line)].append(line)
     for n, some in by_length.items():
+        edits = min(2, n // 20)
+        if not edits:
+            continue
         for i, a in enumerate(some):
-            rest = some[i + 1 :] + by_length.get(n + 1, []) + by_length.get(n + 2, [])
+            rest = some[i + 1 :] + [b for k in range(1, edits + 1) for b in by_length.get(n + k, [])]
             for b in rest:
-                x, y = linededup.trimmed(a, b)
-                if len(y) < 60 and edit_distance(x, y) <= 2 or (
-                    len(y) >= 60 and linededup.within([a], [b], 2)[0]
-                ):
+                if few_edits(a, b, edits):
                     sets.join(a, b)
+    heads = {}
     for line, at in lines.items():
         root = sets.find(line)
         heads[root] = min([heads.get(root, at[0]), *at])

@@ -104,4 +104,73 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)"""
 
-ORACLE = {"op4_mix_sources": OP4, "op9_quality_rules": OP9, "op10_decontaminate": OP10}
+def _centroid_round(n: int) -> str:
+    """Assignment ``a{n}`` of all vectors to the centroids ``c{n}``."""
+    return f"""
+a{n} AS MATERIALIZED (
+  SELECT r, min(d) AS d, arg_min(c, d * 1000 + c) AS c
+  FROM (SELECT r, c, list_sum(list_transform(list_zip(v.q, k.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM vectors v, c{n} k) GROUP BY r)"""
+
+
+def _next_centroids(n: int) -> str:
+    """Centroids ``c{n + 1}``: floors of the means; ``//`` rounds towards zero."""
+    return f""",
+c{n + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.q, k.q) AS q FROM c{n} k LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY p) AS q FROM (
+      SELECT c, p, sum(q[p])::BIGINT AS s, count(*) AS n
+      FROM a{n} JOIN vectors USING (r), range(1, 65) AS t(p) GROUP BY c, p) GROUP BY c) m USING (c)),"""
+
+
+OP11 = f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q
+  FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, q FROM vectors ORDER BY h, q LIMIT 16)),
+{_centroid_round(0)}{_next_centroids(0)}{_centroid_round(1)}{_next_centroids(1)}{_centroid_round(2)}{_next_centroids(2)}{_centroid_round(3)},
+digests AS (SELECT c, sha256(array_to_string(q, ',')) AS centroid_sha256 FROM c3)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance,
+  (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a3 JOIN vectors USING (r) JOIN digests USING (c)"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(text: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"regexp_extract_all(translate({text}, '{upper}', '{upper.lower()}'), '{_TERM}')"
+
+
+OP12 = f"""
+WITH docs AS (
+  SELECT r, doc_id, t, len(t) AS n
+  FROM (SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS t FROM documents) WHERE len(t) > 0),
+size AS (SELECT count(*)::HUGEINT AS docs, sum(n)::HUGEINT AS terms FROM docs),
+normed AS (SELECT r, doc_id, t, (10 + (90 * n * size.docs) // size.terms)::BIGINT AS m FROM docs, size),
+postings AS (
+  SELECT r, doc_id, m, term, count(*) AS tf FROM (SELECT r, doc_id, m, unnest(t) AS term FROM normed) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * size.docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, size GROUP BY term, size.docs),
+asked AS (
+  SELECT q, item_id, unnest(list_distinct({_terms('text')})) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, text FROM benchmark)),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+ORACLE = {
+    "op4_mix_sources": OP4,
+    "op9_quality_rules": OP9,
+    "op10_decontaminate": OP10,
+    "op11_centroids": OP11,
+    "op12_lexical_search": OP12,
+}

@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewindow.llm import (
+    centroids,
     chat,
     decontaminate,
     htmltext,
     lattice,
+    lexical,
     linededup,
     mixing,
     quality,
     rollups,
     simhash,
     suffixdedup,
+    wordbpe,
 )
 from tidewindow.session import pin, run_folder
 
@@ -120,6 +123,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_digests(*centroids.cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
+@registered
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item of the benchmark as a query against all documents."""
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = wordbpe.read_vocabulary(f"{wordbpe.FOLDER}/word_bpe_49k.json")
+    encoded = wordbpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary, ["doc_id"])
+    return wordbpe.token_digests(wordbpe.decode_documents(encoded, vocabulary))
+
+
 @registered
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
