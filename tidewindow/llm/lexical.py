@@ -45,20 +45,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewindow.llm.arrow import slices
 from tidewindow.operators.ordered import measured
 from tidewindow.session import pin, run_folder, shuffle_width
 
 TOP = 10
 #: About as many terms are a part of a large stratum.
-PART_TERMS = 1 << 18
+PART_TERMS = 1 << 16
 #: Bytes of terms of a block of items, counted with 16 more for each term.
 BLOCK_BYTES = 4 << 20
 #: Bytes of index rows that are written out together.
 WRITTEN_BYTES = 4 << 20
 
 # A term is a run of ASCII letters and digits and of anything beyond ASCII.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 LOWERED = re.compile(rb"[0-9a-z\x80-\xff]+")
+IN_TERM = np.array([chr(b).isalnum() or b >= 0x80 for b in range(256)])
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -66,6 +67,19 @@ def terms_of(text: bytes) -> list[bytes]:
     return LOWERED.findall(text.lower())
 
 
+def term_counts(texts: pa.Array) -> np.ndarray:
+    """Number of terms of each text of a binary column."""
+    ends = np.asarray(texts.offsets, np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    inside = IN_TERM[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    # A term that begins a text may stand right behind one that ends the text before.
+    begins = ends[:-1][np.diff(ends) > 0] - ends[0]
+    first[begins] = inside[begins]
+    return np.diff(np.searchsorted(np.flatnonzero(first), ends - ends[0]))
+
+
 def impacts(tf: np.ndarray, m: int) -> np.ndarray:
     return 1_000_000_000 * tf // (1000 * tf + 8 * m)
 
@@ -73,6 +87,26 @@ def impacts(tf: np.ndarray, m: int) -> np.ndarray:
 # ---- index
 
 
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of this task have how many terms, of those that have any."""
+    found: Counter[int] = Counter()
+    for part in slices(batches, "_text"):
+        number, times = np.unique(term_counts(part.column("_text")), return_counts=True)
+        found.update(dict(zip(number.tolist(), times.tolist())))
+    found.pop(0, None)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(found.keys(), pa.int64()), pa.array(found.values(), pa.int64())], ["_n", "_docs"]
+    )
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts that have terms, with their number."""
+    for part in slices(batches, "_text"):
+        number = term_counts(part.column("_text"))
+        some = pa.array(np.flatnonzero(number))
+        yield part.append_column("_n", pa.array(number.astype(np.int64))).take(some)
+
+
 def _part_row(m: int, part: int, texts: list[bytes]) -> tuple[dict[str, np.ndarray | list], int]:
     """Posting runs of one part; documents are named by their places."""
     numbers: dict[bytes, int] = {}
@@ -176,9 +210,11 @@ def build_index(
     spark = docs.sparkSession
     whole = docs.select(
         F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").cast("binary").alias("_text"),
-        F.regexp_count(F.col(f"`{text}`").cast("string"), F.lit(TERM)).cast("long").alias("_n"),
-    ).where("_n > 0")
-    lengths = pin(whole.groupBy("_n").agg(F.count(F.lit(1)).alias("_docs")))
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    lengths = pin(whole.select("_text").mapInArrow(_lengths, "_n long, _docs long").groupBy("_n").agg(
+        F.sum("_docs").alias("_docs")
+    ))
     n_docs, n_terms = lengths.agg(F.sum("_docs"), F.sum(F.col("_n") * F.col("_docs"))).first()
     if not n_docs:
         return None
@@ -190,8 +226,8 @@ def build_index(
     strata = lengths.groupBy(normaliser("_n").alias("m")).agg(
         F.ceil(F.sum(F.col("_n") * F.col("_docs")) / part_terms).cast("long").alias("_parts")
     )
-    numbered = whole.withColumn("_row", F.monotonically_increasing_id()).withColumn("m", normaliser("_n"))
-    dealt = numbered.join(measured(pin(strata)), "m").select(
+    counted = whole.mapInArrow(_counted, T.StructType([*whole.schema.fields]).add("_n", "long"))
+    dealt = counted.withColumn("m", normaliser("_n")).join(measured(pin(strata)), "m").select(
         "m", F.pmod(F.xxhash64("_row"), F.col("_parts")).alias("part"), "_id", "_row", "_text"
     )
     ordered = dealt.repartition(shuffle_width(spark), "m", "part").sortWithinPartitions("m", "part", "_id", "_row")
