@@ -69,8 +69,10 @@ def terms_of(text: bytes) -> list[bytes]:
 
 def term_counts(texts: pa.Array) -> np.ndarray:
     """Number of terms of each text of a binary column."""
-    ends = np.asarray(texts.offsets, np.int64)
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    _, ends, data = texts.buffers()
+    wide = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    ends = np.frombuffer(ends, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
     inside = IN_TERM[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
