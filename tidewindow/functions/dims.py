@@ -24,10 +24,10 @@ def with_dimensions(df: DataFrame) -> DataFrame:
     return df.withColumns({name: dimension(name) for name in DIMENSION_DEFAULTS})
 
 
-def cold_projection(df: DataFrame) -> DataFrame:
-    """The seven history columns.  A null campaign stays null; geo and device do not."""
+def cold_projection(df: DataFrame, *more: Column) -> DataFrame:
+    """The seven history columns, and ``more``.  A null campaign stays null; geo and device do not."""
     kept = df.withColumns({name: dimension(name) for name in ("geo", "device")})
-    return kept.select(*COLD_COLUMNS)
+    return kept.select(*COLD_COLUMNS, *more)
 
 
 def window_start(ts: str | Column, seconds: int = 60) -> Column:

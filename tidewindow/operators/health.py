@@ -100,14 +100,14 @@ def ingest_latency(events: DataFrame, by: Sequence[str] = ("arrival_date",)) ->
 
 
 def file_stats(table: DataFrame, ts: str = "event_ts") -> DataFrame:
-    """Data files and rows per event day of a file-based table.
+    """Data files and rows per event day of a file-based table, or of rows with ``file_path``.
 
     On a stored history the day is a partition value, and no data column is read.
     """
     day = "event_date" if "event_date" in table.columns else ts
     per_file = table.groupBy(
         F.date_format(day, "yyyy-MM-dd").alias("event_date"),
-        F.col("_metadata.file_path").alias("file_path"),
+        F.col("file_path" if "file_path" in table.columns else "_metadata.file_path").alias("file_path"),
     ).agg(F.count("*").alias("n"))
     return per_file.groupBy("event_date").agg(
         F.count("file_path").alias("data_files"), F.sum("n").alias("rows")

@@ -14,8 +14,8 @@ from tidewindow import contract as C
 from tidewindow.functions import dims, envelope
 from tidewindow.operators import health, lateness, metrics, quality, repair, serving, sessions
 from tidewindow.session import run_folder
-from tidewindow.sinks import external
-from tidewindow.sinks.tables import Tables
+from tidewindow.sinks import compaction, external
+from tidewindow.sinks.tables import Tables, cold_rows
 from tidewindow.sources.clickstream import (
     CLICKSTREAM_POLICY,
     clickstream,
@@ -267,6 +267,34 @@ def cold_file_stats(spark, sf_dir):
     return health.file_stats(read_events(spark, sf_dir), "ts")
 
 
+def _packed_history(spark: SparkSession, sf_dir: str) -> Tables:
+    """History of daily loads whose first weeks were compacted in two goes, and removed."""
+    tables = Tables(run_folder(spark, "packed"))
+    tables.create(spark)
+    load = F.datediff(F.to_date("ingest_ts"), F.to_date(F.lit("2024-01-01"))).cast("long")
+    loaded = cold_rows(clickstream(spark, sf_dir), load.alias("batch_id"))
+    loaded.write.partitionBy("batch_id", "event_date").parquet(tables.cold, mode="append")
+    for part in ("batch_id <= 9", "batch_id <= 19"):
+        done = loaded.where(part).agg(
+            F.max("event_ts").alias("max_event_ts"), F.max("batch_id").alias("batch_id")
+        )
+        done.write.partitionBy("batch_id").parquet(tables.progress, mode="append")
+        compaction.compact(spark, tables)
+    compaction.vacuum(spark, tables)
+    return tables
+
+
+@registered
+def cold_packed(spark, sf_dir):
+    return read_cold(spark, _packed_history(spark, sf_dir)).select(*C.COLD_COLUMNS, "batch_id")
+
+
+@registered
+def cold_packed_files(spark, sf_dir):
+    """Days that were packed have a file for each time they were, others one for each load."""
+    return health.file_stats(read_cold(spark, _packed_history(spark, sf_dir), files=True))
+
+
 @registered
 def rebuild_from_cold(spark, sf_dir):
     cold = dims.cold_projection(clickstream(spark, sf_dir, REBUILD_DAYS))

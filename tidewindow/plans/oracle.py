@@ -219,6 +219,24 @@ FROM clickstream WHERE ingest_ts < TIMESTAMP '2024-01-11'""",
 SELECT strftime(ts, '%Y-%m-%d') AS event_date, CAST(1 AS BIGINT) AS data_files,
        count(*) AS rows
 FROM events GROUP BY 1""",
+    "cold_packed": f"""{CLICKSTREAM}
+SELECT {COLD}, date_diff('day', DATE '2024-01-01', CAST(ingest_ts AS DATE)) AS batch_id FROM clickstream""",
+    # Loads 0-9 and 10-19 were packed, each up to the day before the newest event of them.
+    "cold_packed_files": f"""{CLICKSTREAM}, loaded AS (
+    SELECT CAST(event_ts AS DATE) AS day, date_diff('day', DATE '2024-01-01', CAST(ingest_ts AS DATE)) AS load,
+           event_ts
+    FROM clickstream
+), closed AS (
+    SELECT CAST(max(event_ts) FILTER (WHERE load <= 9) - INTERVAL 5 SECOND AS DATE) - 1 AS first,
+           CAST(max(event_ts) FILTER (WHERE load <= 19) - INTERVAL 5 SECOND AS DATE) - 1 AS second
+    FROM loaded
+), placed AS (
+    SELECT day, CASE WHEN day <= first AND load <= 9 THEN -1 WHEN day <= second AND load <= 19 THEN -2
+                     ELSE load END AS file
+    FROM loaded, closed
+)
+SELECT strftime(day, '%Y-%m-%d') AS event_date, count(DISTINCT file) AS data_files, count(*) AS rows
+FROM placed GROUP BY day""",
     "rebuild_from_cold": CLICKSTREAM + counts(
         "clickstream",
         where="event_ts >= TIMESTAMP '2024-01-05' AND event_ts < TIMESTAMP '2024-01-12'",

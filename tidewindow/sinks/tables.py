@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,16 @@ class Tables:
     def cold(self) -> str:
         return f"{self.root}/cold_events"
 
+    @property
+    def packed(self) -> str:
+        """Days of the history that were compacted."""
+        return f"{self.root}/cold_packed"
+
+    @property
+    def cold_list(self) -> str:
+        """What of the history is packed."""
+        return f"{self.root}/cold_list"
+
     @property
     def late(self) -> str:
         return f"{self.root}/late_events"
@@ -132,15 +142,15 @@ def replace_batch(df: DataFrame, path: str, batch_id: int, *parts: str) -> None:
     )
 
 
-def cold_rows(events: DataFrame) -> DataFrame:
-    """History rows laid out for writing.
+def cold_rows(events: DataFrame, *more: Column) -> DataFrame:
+    """History rows laid out for writing, with ``more`` columns.
 
     Rebalancing brings the rows of a day together, splits a day that is larger than
     the advised partition size, and joins small ones; sorting inside a file gives
     row-group bounds on event time.
     """
     return (
-        cold_projection(events)
+        cold_projection(events, *more)
         .withColumn("event_date", F.to_date("event_ts"))
         .hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "event_ts")

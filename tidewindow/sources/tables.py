@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewindow.contract import (
-    COLD_SCHEMA,
     LATE_SCHEMA,
     METRIC_SCHEMA,
     POISON_SCHEMA,
@@ -15,6 +14,7 @@ from tidewindow.contract import (
     REPORT_SCHEMA,
 )
 from tidewindow.operators.repair import day_range
+from tidewindow.sinks.compaction import read_live
 from tidewindow.sinks.tables import HOT_SCHEMA, REPLAYED_SCHEMA, Tables
 
 
@@ -22,8 +22,9 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_cold(spark: SparkSession, tables: Tables) -> DataFrame:
-    return _read(spark, tables.cold, COLD_SCHEMA)
+def read_cold(spark: SparkSession, tables: Tables, files: bool = False) -> DataFrame:
+    """The whole history, packed or not; with ``files`` also the ``file_path`` of each row."""
+    return read_live(spark, tables, files)
 
 
 def read_cold_days(
