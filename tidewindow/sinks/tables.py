@@ -54,6 +54,11 @@ class Tables:
         """What of the history is packed."""
         return f"{self.root}/cold_list"
 
+    @property
+    def seen(self) -> str:
+        """Index of the ids in the history, of a job that drops copies."""
+        return f"{self.root}/seen_ids"
+
     @property
     def late(self) -> str:
         return f"{self.root}/late_events"

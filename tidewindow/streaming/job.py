@@ -44,8 +44,9 @@ from tidewindow.sinks.tables import (
     write_cold,
     write_hot,
 )
-from tidewindow.sources.tables import read_cold, read_progress
+from tidewindow.sources.tables import read_progress
 from tidewindow.streaming.reports import keep_reports
+from tidewindow.streaming.seen import SeenIds
 
 MICROS = 1_000_000
 
@@ -135,7 +136,7 @@ class StreamJob:
         before = self._reached_before(spark, batch_id, owner)
         tagged = self._tag(batch, before)
         if self.dedup:
-            # written before history is, since it was read from history
+            # written before the index of ids is, since that was read for it
             place = self.tables.without_copies(batch_id)
             once = self._without_copies(tagged, batch_id)
             once.write.mode("overwrite").parquet(place)
@@ -151,6 +152,8 @@ class StreamJob:
                 lambda: self._count(spark, good.where("NOT is_late"), reached, batch_id),
             ]
             writes += [lambda sink=sink: sink(good, batch_id) for sink in self.cold_sinks]
+            if self.dedup:
+                writes.append(lambda: SeenIds(spark, self.tables).add(good, batch_id))
             if seen["late_rows"]:
                 late = self._late_rows(good.where("is_late"), before)
                 writes.append(lambda: write_batch(late, self.tables.late, batch_id))
@@ -224,16 +227,15 @@ class StreamJob:
         """Drop copies of events in this batch or in history; poison rows stay.
 
         A copy has the id and the event day of an earlier row, so what is dropped does
-        not depend on what else is in the batch, and of history only the batch's own
-        days are read: they prune its partitions when the query runs.
+        not depend on what else is in the batch.  Of the index of ids only the buckets
+        that ids of the batch fall into are read.
         """
         good, poison = tagged.where("reason IS NULL"), tagged.where("reason IS NOT NULL")
         dated = good.withColumn("event_date", F.to_date("event_ts"))
-        days = dated.select("event_date").distinct()
-        stored = read_cold(tagged.sparkSession, self.tables).where(F.col("batch_id") < batch_id)
-        known = stored.select("event_id", "event_date").join(days, "event_date", "left_semi")
+        seen = SeenIds(tagged.sparkSession, self.tables)
+        seen.fold(batch_id)
         once = dedup_events(dated, ["event_date", "event_id"]).join(
-            known, ["event_date", "event_id"], "left_anti"
+            seen.known(dated, batch_id), ["event_date", "event_id"], "left_anti"
         )
         return once.select(*tagged.columns).unionByName(poison)
 
