@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from conftest import at, event, offset
 from pyspark.sql import functions as F
 
@@ -187,3 +188,62 @@ def test_replay_applies_once(events_of):
 def test_policy_key_ends_with_event_time():
     assert LatePolicy(arrival=("a", "b")).key_columns == ["a", "b", "event_ts"]
     assert at(0).year == 2024
+
+
+# ---- running maximum by slices
+
+
+def plain_running_max(rows):
+    """``rows``: order columns, then the value; ties go by a number, so any of them comes first."""
+    best, out = None, []
+    for *order, value in sorted(rows, key=lambda r: [(x is not None, x) for x in r[:-1]]):
+        out.append((*order, value, best))
+        if value is not None and (best is None or value > best):
+            best = value
+    return out
+
+
+@pytest.mark.parametrize("fan", [2, 32])
+@pytest.mark.parametrize("size", [5, 40, 10_000])
+def test_running_max_by_slices(spark, monkeypatch, size, fan):
+    """Hot instants, nulls and groups of exact copies over slices of a few rows each."""
+    monkeypatch.setattr(ordered, "SLICE_ROWS", size)
+    monkeypatch.setattr(ordered, "SAMPLES", 2)
+    monkeypatch.setattr(ordered, "FAN", fan)
+    rng = random.Random(size)
+    rows = [(rng.choice([None, *range(40), 7, 7, 7]), f"s{rng.randrange(500)}", i) for i in range(600)]
+    rows = [(t, s, (hash((t, s)) % 1000) if t != 3 else None) for t, s, _ in rows]  # copies are equal as a whole
+    rows += [(7, "hot", 990)] * 300
+    df = spark.createDataFrame(rows, "t int, s string, v int").repartition(4)
+    found = ordered.running_max_before(df, ["t", "s"], "v", "m").collect()
+
+    def sort_key(r):
+        return [(x is not None, x) for x in r]
+
+    got = sorted((tuple(r) for r in found), key=lambda r: (sort_key(r[:2]), sort_key(r[3:])))
+    want = sorted(plain_running_max(rows), key=lambda r: (sort_key(r[:2]), sort_key(r[3:])))
+    assert got == want
+
+
+def test_slices_are_even(spark, monkeypatch):
+    """Neither a hot instant nor a third of all rows in exact copies makes a large slice."""
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 500)
+    rows = [(1, f"{i:05d}") for i in range(3000)] + [(2, "copy")] * 3000 + [(3 + i, "x") for i in range(3000)]
+    df = spark.createDataFrame(rows, "t int, s string").withColumn("_number", F.monotonically_increasing_id())
+    sizes = [r["count"] for r in df.groupBy(ordered.slice_of(df, ["t", "s"], "_number", 9000)).count().collect()]
+    assert sum(sizes) == 9000 and len(sizes) >= 14 and max(sizes) <= 3 * 500
+
+
+def test_running_max_moves_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 100)
+    df = spark.range(1000).selectExpr("id AS t", "id % 7 AS v")
+    out = ordered.running_max_before(df, ["t"], "v", "m")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan
+    whole = out._jdf.queryExecution().sparkPlan().toString()
+    assert whole.count("Window [max(v") == 1 and whole.count("Scan ExistingRDD") == 2
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in final.split("Initial Plan")[0].splitlines() if "Exchange hashpartitioning(_slice" in x]
+    # the rows themselves, and the maxima of the slices
+    assert len(moved) == 2, final

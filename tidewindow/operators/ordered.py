@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -110,16 +111,108 @@ def even_ranges(
     return numbered.repartitionByRange(shuffle_width(df.sparkSession), *order, number)
 
 
+#: Rows of a slice of an order; more of them only beyond so many slices.
+SLICE_ROWS, MOST_SLICES = 1 << 20, 1 << 16
+#: Rows that are sampled for each slice.
+SAMPLES = 8
+#: Keys of a block of the search for a slice.
+FAN = 32
+
+
+def _search_key(df: DataFrame, order: Sequence[str]) -> tuple[Column, str]:
+    """A struct that orders rows as the columns do, of numbers and strings, and its type."""
+    kinds = dict(df.dtypes)
+    plain, types = [], []
+    for i, name in enumerate(order):
+        kind = kinds[name]
+        if kind == "timestamp":
+            column, kind = F.unix_micros(name), "bigint"
+        elif kind == "timestamp_ntz":
+            column, kind = F.col(name).cast("string"), "string"  # orders alike
+        elif kind == "date":
+            column, kind = F.unix_date(name), "int"
+        else:
+            column = F.col(name)
+        plain.append(column.alias(f"k{i}"))
+        types.append(f"k{i}:{kind}")
+    return F.struct(*plain), f"struct<{','.join(types)}>"
+
+
+def _constant(value, kind: str) -> Column:
+    """A nested value as one literal of the plan."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def keys_below(key: Column, keys: list[dict], kind: str) -> Column:
+    """How many of the sorted ``keys`` are less than ``key``: a search through blocks of blocks."""
+    levels = [keys]
+    while len(levels[-1]) > FAN:
+        levels.append([*levels[-1][FAN - 1 :: FAN]])  # the last key of each whole block
+    def search(table: Column):
+        def within_block(at: Column) -> Column:
+            block = F.coalesce(F.get(table, at), F.array().cast(f"array<{kind}>"))
+            return at * FAN + F.size(F.filter(block, lambda k: k < key))
+
+        return within_block
+
+    place = F.lit(0)
+    for level in reversed(levels):
+        blocks = [level[i : i + FAN] for i in range(0, len(level), FAN)]
+        # in a lambda, so that the place of the level above is computed once
+        table = _constant(blocks, f"array<array<{kind}>>")
+        place = F.get(F.transform(F.array(place), search(table)), 0)
+    return F.least(place, F.lit(len(keys)))
+
+
+def slice_of(numbered: DataFrame, order: Sequence[str], number: str, rows: int) -> Column:
+    """The slice of each row, as an expression: slices follow one another in the order.
+
+    Bounds come from one sorted sample.  A key that fills several slices, of exact copies, is a
+    bound several times; its rows are dealt to those slices by their number.
+    """
+    size = max(SLICE_ROWS, -(-rows // MOST_SLICES))
+    if rows <= size:
+        return F.lit(0)
+    key, kind = _search_key(numbered, order)
+    some = F.pmod(F.xxhash64(number), F.lit(max(1, size // SAMPLES))) == 0
+    # so many rows for each slice
+    sample = numbered.where(some).select(key.alias("k")).orderBy("k").collect()
+    bounds = [r["k"].asDict() for r in sample[SAMPLES - 1 :: SAMPLES]]
+    keys, first, times = [], [], []
+    for at, bound in enumerate(bounds):
+        if keys and keys[-1] == bound:
+            times[-1] += 1
+        else:
+            keys.append(bound)
+            first.append(at)
+            times.append(1)
+    if not keys:
+        return F.lit(0)
+    blocks = [keys[i : i + FAN] for i in range(0, len(keys), FAN)]
+    table = _constant(blocks, f"array<array<{kind}>>")
+
+    def dealt(place: Column) -> Column:
+        bound = F.get(F.get(table, F.floor(place / FAN).cast("int")), place % FAN)
+        start = F.get(_constant([*first, len(bounds)], "array<int>"), place)
+        spread = F.get(_constant([*times, 0], "array<int>"), place) + 1
+        return start + F.when(bound == key, F.pmod(F.xxhash64(number), spread)).otherwise(0).cast("int")
+
+    return F.get(F.transform(F.array(keys_below(key, keys, kind)), dealt), 0)
+
+
 def running_max_before(
     points: DataFrame, order: Sequence[str], value: str, out: str
 ) -> DataFrame:
     """For each row the largest ``value`` of all rows before it in ``order``.
 
     Rows are cut into even slices of the order, so one hot instant spreads over many
-    slices.  The slices are pinned because range bounds are sampled: both uses below
-    must see the same ones.  What is carried from slice to slice is one row per slice.
+    slices, and so does a group of exact copies.  The slice is an expression on the row, so
+    the rows cross the network once, to be ordered within their slice; what is carried
+    from slice to slice is one row per slice.  Rows equal in the order are told apart by a
+    number; the numbered rows are pinned, so that all passes see the same ones.
     """
-    sliced = pin(even_ranges(points, order).withColumn("_slice", F.spark_partition_id()))
+    numbered = pin(points.withColumn("_number", F.monotonically_increasing_id()))
+    sliced = numbered.withColumn("_slice", slice_of(numbered, order, "_number", numbered.count()))
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         sliced.groupBy("_slice")
@@ -131,11 +224,12 @@ def running_max_before(
         .orderBy(*order, "_number")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # at most one row per shuffle partition
+    # one row per slice, at most MOST_SLICES and a few
     return (
-        sliced.join(F.broadcast(carried), "_slice")
-        .withColumn(out, F.greatest(F.col("_carried"), F.max(value).over(within)))
-        .drop("_slice", "_carried", "_number")
+        sliced.withColumn("_within", F.max(value).over(within))
+        .join(F.broadcast(carried), "_slice")
+        .withColumn(out, F.greatest(F.col("_carried"), F.col("_within")))
+        .drop("_slice", "_carried", "_within", "_number")
     )
 
 
