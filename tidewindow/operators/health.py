@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewindow.functions.dims import millis, shift, window_start
@@ -45,12 +45,14 @@ def throughput(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> DataFr
     )
 
 
-def late_rate(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> DataFrame:
+def late_rate(
+    events: DataFrame, policy: LatePolicy = DEFAULT_POLICY, limit: float = LATE_RATE_ALERT
+) -> DataFrame:
     return _by_arrival_minute(events, policy).select(
         "arrival_minute",
         "late_out",
         _per_second("late_out").alias("late_per_s"),
-        (F.col("late_out") / 60 > LATE_RATE_ALERT).alias("alert"),
+        (F.col("late_out") / 60 > limit).alias("alert"),
     )
 
 
@@ -89,6 +91,52 @@ def watermark_lag(events: DataFrame, policy: LatePolicy = DEFAULT_POLICY) -> Dat
     )
 
 
+def episodes(
+    samples: DataFrame, at: str, value: str, alert: str = "alert",
+    gap_seconds: int = 300, hold_seconds: int = 0,
+) -> DataFrame:
+    """Runs of alerting samples: start, end, samples, peak, and whether the run is still open.
+
+    ``samples`` has one row per minute at most.  A run goes on over minutes without a sample, but
+    not over ``gap_seconds`` of them, and ends before a sample that does not alert.  Runs
+    shorter than ``hold_seconds``, from the first minute to the end of the last, are left out.
+    A run is open if its last sample is the newest one.
+
+    Runs are numbered within each day; what is ordered as a whole is one row per day, with its
+    last sample and its number of runs.
+    """
+    dated = by_day(samples.select(at, value, F.coalesce(alert, F.lit(False)).alias("_on")), at)
+    in_day = Window.partitionBy("_day").orderBy(at)
+    before = F.struct(F.col(at).alias("at"), F.col("_on").alias("on"))
+    told = dated.withColumn("_own", F.lag(before).over(in_day))
+    days = Window.orderBy("_day")
+    last = dated.groupBy("_day").agg(F.max_by(before, at).alias("_last"))
+    carried = last.select("_day", F.lag("_last").over(days).alias("_earlier"))
+    previous = F.coalesce("_own", "_earlier")
+    goes_on = (
+        F.coalesce(previous["on"], F.lit(False))
+        & (millis(at) - millis(previous["at"]) <= gap_seconds * 1000)
+    )
+    begun = told.join(carried, "_day").where("_on").withColumn(
+        "_begins", F.when(goes_on, 0).otherwise(1)
+    )
+    numbered = begun.withColumn("_run", F.sum("_begins").over(in_day))
+    upto = numbered.groupBy("_day").agg(F.sum("_begins").alias("_runs")).select(
+        "_day",
+        F.coalesce(F.sum("_runs").over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+    )
+    newest = last.agg(F.max("_last.at").alias("_newest"))
+    runs = numbered.join(upto, "_day").groupBy((F.col("_offset") + F.col("_run")).alias("_number")).agg(
+        F.min(at).alias("started"), F.max(at).alias("ended"),
+        F.count("*").alias("samples"), F.max(value).alias("peak"),
+    )
+    lasted = millis("ended") - millis("started") + F.lit(60_000)
+    # one row
+    return runs.crossJoin(F.broadcast(newest)).where(lasted >= hold_seconds * 1000).select(
+        "started", "ended", "samples", "peak", (F.col("ended") == F.col("_newest")).alias("is_open")
+    )
+
+
 def ingest_latency(events: DataFrame, by: Sequence[str] = ("arrival_date",)) -> DataFrame:
     """Median, p95 and p99 of arrival time minus event time, per arrival day."""
     delayed = events.select(

@@ -85,6 +85,39 @@ FROM {table} WHERE {where}
 GROUP BY ALL"""
 
 
+LAG = CLICKSTREAM + """, minutes AS (
+    SELECT time_bucket(INTERVAL 1 MINUTE, ingest_ts) AS arrival_minute,
+           max(event_ts) AS newest
+    FROM clickstream GROUP BY 1
+), sampled AS (
+    SELECT arrival_minute,
+           max(newest) OVER (ORDER BY arrival_minute) - INTERVAL 5 SECOND AS watermark
+    FROM minutes
+), lagged AS (
+    SELECT *, epoch_ms(arrival_minute + INTERVAL 1 MINUTE) - epoch_ms(watermark) AS lag_ms
+    FROM sampled
+), averaged AS (
+    SELECT *, round(avg(lag_ms) OVER (
+        ORDER BY arrival_minute
+        RANGE BETWEEN INTERVAL 4 MINUTE PRECEDING AND CURRENT ROW), 6) AS avg_lag_5m_ms
+    FROM lagged
+)"""
+
+
+def episodes(gap: int, hold: int) -> str:
+    """Runs of alerting ``samples`` (t, value, alert), numbered by the breaks between them."""
+    return f""", told AS (
+    SELECT *, lag(t) OVER (ORDER BY t) AS previous, lag(alert) OVER (ORDER BY t) AS before FROM samples
+), numbered AS (
+    SELECT *, sum(CASE WHEN before AND epoch(t) - epoch(previous) <= {gap} THEN 0 ELSE 1 END)
+                OVER (ORDER BY t) AS run
+    FROM told WHERE alert
+)
+SELECT min(t) AS started, max(t) AS ended, count(*) AS samples, max(value) AS peak,
+       max(t) = (SELECT max(t) FROM samples) AS is_open
+FROM numbered GROUP BY run HAVING epoch(max(t)) - epoch(min(t)) + 60 >= {hold}"""
+
+
 MESSAGE = """
     json_object(
         'event_id', event_id, 'user_id', {user}, 'session_id', session_id,
@@ -275,6 +308,26 @@ compared AS (
 )
 SELECT *, cold_count - late_count - hot_count AS unexplained FROM compared
 WHERE cold_count <> hot_count OR cold_count - late_count - hot_count <> 0""",
+    "reconcile_changed": f"""{ARRIVED},
+served AS ({counts("tagged", where="NOT is_late")}),
+hot AS (
+    SELECT * REPLACE (event_count + CASE WHEN campaign_id = 'camp_3' AND minute(window_start) % 5 = 0
+                                         THEN 1 ELSE 0 END AS event_count)
+    FROM served WHERE NOT (geo = 'EU' AND CAST(window_start AS DATE) = DATE '2024-01-10')
+),
+cold AS ({counts("clickstream")}),
+late AS ({counts("tagged", where="is_late")}),
+compared AS (
+    SELECT window_start, campaign_id, geo, device,
+           CAST(coalesce(hot.event_count, 0) AS BIGINT) AS hot_count,
+           coalesce(cold.event_count, 0) AS cold_count,
+           coalesce(late.event_count, 0) AS late_count
+    FROM hot
+    FULL JOIN cold USING (window_start, campaign_id, geo, device)
+    FULL JOIN late USING (window_start, campaign_id, geo, device)
+)
+SELECT *, cold_count - late_count - hot_count AS unexplained FROM compared
+WHERE cold_count - late_count - hot_count <> 0""",
     "throughput_1m": f"""{BY_MINUTE}
 SELECT arrival_minute, records_in, CAST(records_in - late_out AS BIGINT) AS records_out,
        round(records_in / 60, 6) AS in_per_s,
@@ -284,24 +337,14 @@ FROM by_minute""",
 SELECT arrival_minute, CAST(late_out AS BIGINT) AS late_out,
        round(late_out / 60, 6) AS late_per_s, late_out / 60 > 0.1 AS alert
 FROM by_minute""",
-    "watermark_lag_1m": f"""{CLICKSTREAM}, minutes AS (
-    SELECT time_bucket(INTERVAL 1 MINUTE, ingest_ts) AS arrival_minute,
-           max(event_ts) AS newest
-    FROM clickstream GROUP BY 1
-), sampled AS (
-    SELECT arrival_minute,
-           max(newest) OVER (ORDER BY arrival_minute) - INTERVAL 5 SECOND AS watermark
-    FROM minutes
-), lagged AS (
-    SELECT *, epoch_ms(arrival_minute + INTERVAL 1 MINUTE) - epoch_ms(watermark) AS lag_ms
-    FROM sampled
-), averaged AS (
-    SELECT *, round(avg(lag_ms) OVER (
-        ORDER BY arrival_minute
-        RANGE BETWEEN INTERVAL 4 MINUTE PRECEDING AND CURRENT ROW), 6) AS avg_lag_5m_ms
-    FROM lagged
-)
+    "late_rate_episodes": f"""{BY_MINUTE}, samples AS (
+    SELECT arrival_minute AS t, round(late_out / 60, 6) AS value, late_out > 0 AS alert FROM by_minute
+){episodes(3600, 0)}""",
+    "watermark_lag_1m": f"""{LAG}
 SELECT *, avg_lag_5m_ms > 60000 AS alert FROM averaged""",
+    "watermark_lag_episodes": f"""{LAG}, samples AS (
+    SELECT arrival_minute AS t, avg_lag_5m_ms AS value, avg_lag_5m_ms > 60000 AS alert FROM averaged
+){episodes(600, 300)}""",
     "ingest_latency": f"""{CLICKSTREAM}, delayed AS (
     SELECT strftime(ingest_ts, '%Y-%m-%d') AS arrival_date,
            epoch_ms(ingest_ts) - epoch_ms(event_ts) AS delay_ms
@@ -325,6 +368,10 @@ FROM delayed GROUP BY 1""",
     "stream_hot": f"""{STREAMED}, counted AS ({counts("streamed", where="NOT is_late")})
 SELECT counted.*, (SELECT min(batch_id) FROM reached WHERE after >= counted.window_end) AS batch_id
 FROM counted WHERE window_end <= (SELECT max(after) FROM reached)""",
+    "latest_windows_stored": f"""{STREAMED}, counted AS ({counts("streamed", where="NOT is_late")})
+SELECT counted.*, (SELECT min(batch_id) FROM reached WHERE after >= counted.window_end) AS batch_id
+FROM counted WHERE window_end <= (SELECT max(after) FROM reached)
+ORDER BY window_start DESC, campaign_id, geo, device LIMIT 5""",
     "stream_late": f"""{STREAMED}
 SELECT {EVENT}, window_end, watermark, epoch_ms(watermark) - epoch_ms(window_end) AS late_by_ms,
        {PAYLOAD} AS payload, batch_id

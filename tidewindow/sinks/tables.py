@@ -59,6 +59,16 @@ class Tables:
         """Index of the ids in the history, of a job that drops copies."""
         return f"{self.root}/seen_ids"
 
+    @property
+    def digests(self) -> str:
+        """Digests by minute of hot, late and history rows of committed batches."""
+        return f"{self.root}/digests"
+
+    @property
+    def ledger(self) -> str:
+        """Topic positions that replays have read."""
+        return f"{self.root}/replay_ledger"
+
     @property
     def late(self) -> str:
         return f"{self.root}/late_events"
@@ -79,6 +89,11 @@ class Tables:
     def replayed(self) -> str:
         return f"{self.root}/replayed_events"
 
+    @property
+    def topic_replays(self) -> str:
+        """Events replayed from topics, which have ids of their own."""
+        return f"{self.root}/topic_replays"
+
     def open_windows(self, batch_id: int) -> str:
         """Two places in turn: a batch reads one and replaces the other."""
         return f"{self.root}/open_windows/{batch_id % 2}"

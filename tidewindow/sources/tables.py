@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewindow.contract import (
     LATE_SCHEMA,
@@ -14,8 +15,9 @@ from tidewindow.contract import (
     REPORT_SCHEMA,
 )
 from tidewindow.operators.repair import day_range
+from tidewindow.operators.serving import latest_windows
 from tidewindow.sinks.compaction import read_live
-from tidewindow.sinks.tables import HOT_SCHEMA, REPLAYED_SCHEMA, Tables
+from tidewindow.sinks.tables import HOT_SCHEMA, REPLAYED_SCHEMA, Tables, folders_in, path_exists
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -39,6 +41,27 @@ def read_hot(spark: SparkSession, tables: Tables) -> DataFrame:
     return _read(spark, tables.hot, HOT_SCHEMA)
 
 
+def read_latest_windows(
+    spark: SparkSession, tables: Tables, n: int = 5, folders: int = 8
+) -> DataFrame:
+    """The ``n`` newest closed windows, from the newest batch folders alone.
+
+    A batch closes windows that end after the watermark of the batch before it, so no window of
+    an older folder is newer than one of a later folder.  Folders are read from the newest one
+    on, ``folders`` at a time, until they hold ``n`` rows.
+    """
+    numbers = sorted(
+        (int(f.removeprefix("batch_id=")) for f in folders_in(spark, tables.hot) if f.startswith("batch_id=")),
+        reverse=True,
+    )
+    some = spark.createDataFrame([], HOT_SCHEMA)
+    for upto in range(folders, len(numbers) + folders, folders):
+        some = read_hot(spark, tables).where(F.col("batch_id") >= numbers[min(upto, len(numbers)) - 1])
+        if some.limit(n).count() == n:
+            break
+    return latest_windows(some, n)
+
+
 def read_late(spark: SparkSession, tables: Tables) -> DataFrame:
     return _read(spark, tables.late, LATE_SCHEMA)
 
@@ -57,7 +80,11 @@ def read_reports(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def read_replayed(spark: SparkSession, tables: Tables) -> DataFrame:
-    return _read(spark, tables.replayed, REPLAYED_SCHEMA)
+    """Events that were applied by replays, of the late table or of topics."""
+    replayed = _read(spark, tables.replayed, REPLAYED_SCHEMA)
+    if not path_exists(spark, tables.topic_replays):
+        return replayed
+    return replayed.unionByName(_read(spark, tables.topic_replays, REPLAYED_SCHEMA))
 
 
 def read_jdbc(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +40,19 @@ def kafka_stream(
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def kafka_table(spark: SparkSession, servers: str, topic: str = LATE_TOPIC) -> DataFrame:
-    """Batch read of everything a topic holds now."""
+def starting_offsets(upto: Mapping[int, int], partitions: int) -> str:
+    """Where a topic is read on: at the positions given, at the beginning of other partitions."""
+    return json.dumps({str(p): upto.get(p, -2) for p in range(partitions)})
+
+
+def kafka_table(
+    spark: SparkSession, servers: str, topic: str = LATE_TOPIC,
+    upto: Mapping[int, int] | None = None, partitions: int = 0,
+) -> DataFrame:
+    """Batch read of what a topic holds now, from the positions ``upto`` where they are given."""
     options = {**kafka_options(servers, topic), "endingOffsets": "latest"}
+    if upto:
+        options["startingOffsets"] = f'{{"{topic}": {starting_offsets(upto, partitions)}}}'
     return spark.read.format("kafka").options(**options).load()
 
 
