@@ -1,6 +1,7 @@
 import dataclasses
 import json
 
+import pytest
 from conftest import event
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,3 +185,32 @@ def test_iceberg_batches_replace_themselves():
     writer.overwrite.assert_called_once()
     writer.append.assert_not_called()
     writer.using.assert_called_once_with("iceberg")
+
+
+# ---- versions
+
+
+def test_every_earlier_version_is_checked(spark, tmp_path):
+    """What the last version allows may break the first one."""
+    from pyspark.sql import types as T
+
+    from tidewindow.sinks import versions
+
+    a = C.Field("a", T.StringType())
+    n = {kind: C.Field("n", kind(), required=False) for kind in (T.IntegerType, T.LongType, T.DoubleType)}
+    path = f"{tmp_path}/versions"
+    assert versions.begin_version(spark, path, 0, (a, n[T.IntegerType]))
+    assert not versions.begin_version(spark, path, 3, (a, n[T.IntegerType]))
+    assert versions.begin_version(spark, path, 5, (a,))  # an optional column may go
+    with pytest.raises(ValueError, match="n: changed_type since batch 0"):
+        versions.begin_version(spark, path, 7, (a, C.Field("n", T.StringType(), required=False)))
+    with pytest.raises(ValueError, match="a: dropped_required since batch 0; a: dropped_required since batch 5"):
+        versions.begin_version(spark, path, 7, (n[T.LongType],))
+    assert versions.begin_version(spark, path, 7, (a, n[T.LongType]))
+    assert [b for b, _ in versions.versions(spark, path)] == [0, 5, 7]
+    for batch, rows, kind in ((0, [("x", 1)], "a string, n int"), (5, [("y",)], "a string"), (8, [("z", 1 << 40)], "a string, n long")):
+        spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/t/batch_id={batch}")
+    rows = versions.read_versions(spark, f"{tmp_path}/t", path).collect()
+    assert sorted(map(tuple, rows)) == [("x", 1, 0), ("y", None, 5), ("z", 1 << 40, 8)]
+    with pytest.raises(ValueError, match="no versions"):
+        versions.read_versions(spark, f"{tmp_path}/t", f"{tmp_path}/none")

