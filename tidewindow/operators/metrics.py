@@ -16,10 +16,9 @@ METRIC_COLUMNS = ["window_start", "window_end", *DIMENSIONS, "event_count", "rev
 
 
 def purchase_revenue() -> Column:
-    return F.round(
-        F.coalesce(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))), F.lit(0.0)),
-        6,
-    )
+    """Summed in decimals of six places, so that the order of rows does not matter."""
+    value = F.when(F.col("event_type") == "purchase", F.col("value").cast("decimal(24,6)"))
+    return F.coalesce(F.sum(value), F.lit(0)).cast("double")
 
 
 def windowed_counts(

@@ -509,3 +509,30 @@ def stream_poison(spark, sf_dir):
 def batch_health(spark, sf_dir):
     """What the job's own table says of its batches, over all its runs."""
     return health.batch_figures(read_progress(spark, _streamed(spark, sf_dir)))
+
+
+@registered
+def batch_reports(spark, sf_dir):
+    """Figures of stored progress reports, as a query that takes a day in a batch would leave
+    them: durations and rows behind grow with the rows of the day, and every ten days it was
+    started again."""
+    days = clickstream(spark, sf_dir).groupBy(
+        F.datediff(F.to_date("ingest_ts"), F.to_date(F.lit("2024-01-01"))).alias("batch_id")
+    ).agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("poison_rows"))
+    report = F.to_json(F.struct(
+        F.lit("q").alias("id"), F.concat(F.lit("run-"), F.floor(F.col("batch_id") / 10)).alias("runId"),
+        F.col("batch_id").alias("batchId"), F.col("n").alias("numInputRows"),
+        (F.col("n") / 60).alias("inputRowsPerSecond"), (F.col("n") / 30).alias("processedRowsPerSecond"),
+        F.struct(
+            (F.col("n") * 1000 % 60_000).alias("triggerExecution"), (F.col("n") % 7).alias("walCommit")
+        ).alias("durationMs"),
+        F.array(F.struct(F.lit("topic").alias("description"), F.create_map(
+            F.lit("maxOffsetsBehindLatest"), (F.col("n") * 30).cast("string")
+        ).alias("metrics"))).alias("sources"),
+    ))
+    reports = health.progress_table(days.select(report.alias("json")))
+    written = days.select(
+        F.col("batch_id").cast("long").alias("batch_id"), (F.col("n") - F.col("poison_rows")).alias("rows"),
+        F.lit(0).cast("long").alias("late_rows"), "poison_rows",
+    )
+    return health.batch_health(reports, written)

@@ -403,4 +403,18 @@ SELECT batch_id, rows, coalesce(n, 0) AS late_rows, poison_rows,
        round(poison_rows / (rows + poison_rows), 6) AS error_rate,
        (SELECT max(batch_id) FROM sent) AS restarts
 FROM whole LEFT JOIN late USING (batch_id)""",
+    "batch_reports": f"""{CLICKSTREAM}, days AS (
+    SELECT CAST(date_diff('day', DATE '2024-01-01', CAST(ingest_ts AS DATE)) AS BIGINT) AS batch_id,
+           count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS poison_rows
+    FROM clickstream GROUP BY 1
+)
+SELECT batch_id, n AS input_rows, round(n / 60, 6) AS input_rows_per_s, round(n / 30, 6) AS processed_rows_per_s,
+       n * 1000 % 60000 AS trigger_ms, n % 7 AS commit_ms, round((n * 1000 % 60000) / 60000, 6) AS busy_ratio,
+       CASE WHEN (n * 1000 % 60000) / 60000 >= 0.8 THEN 'high'
+            WHEN (n * 1000 % 60000) / 60000 >= 0.5 THEN 'warn' ELSE 'ok' END AS backpressure,
+       n * 30 AS rows_behind, n * 30 > 10000 AS lag_alert,
+       n - poison_rows AS rows, CAST(0 AS BIGINT) AS late_rows, poison_rows,
+       round(poison_rows / n, 6) AS error_rate,
+       (SELECT count(DISTINCT batch_id // 10) - 1 FROM days) AS restarts
+FROM days""",
 }
