@@ -119,3 +119,33 @@ def test_copies_are_no_template_and_large_hosts_have_one(spark):
     text = {r["page_id"]: r["text"] for r in htmltext.extract_text(pages_of(spark, rows)).collect()}
     assert all(text[i] == "one\ntwo" for i in range(5))
     assert all(text[5 + i] == f"own {i}" for i in range(400))
+
+
+@pytest.mark.parametrize("body, text", [
+    ('<article class="post news-alert"><p>All of the text</p></article>', "All of the text"),
+    ('<div class="sharing-economy"><p>About sharing</p></div>', "About sharing"),
+    ('<article><p>One</p><section class="related-work"><p>Two</p></section></article>', "One\nTwo"),
+    ('<article><p>One</p><div class="search-engines"><p>Two</p></div></article>', "One\nTwo"),
+    ("<article><p>So <math>a + b</math> is <label>c</label></p></article>", "So a + b is c"),
+    ('<main><h1>Head</h1><p>Long main text</p><article class="teaser">short</article></main>', "Head\nLong main text\nshort"),
+    ("<main><div>x</div><article><p>The article itself</p></article></main>", "The article itself"),
+    ('<article><p>One</p><div class="ad-slot">no</div><div id="user-comments-list">no</div></article>', "One"),
+    ('<article><p>One</p></article><section class="comments"><p>no no no no no</p></section>', "One"),
+])
+def test_names_and_roots(body, text):
+    assert htmltext.main_text(htmltext.read_page(f"<html><body>{body}"), set()) == text
+
+
+def test_counted_subtrees_decide(spark, monkeypatch):
+    """Boxes and menus without a telling name go by their count alone, with and without a broadcast."""
+    box = "<div class='x9'><p>Same box</p></div>"
+    rows = [("h.org", f"<div class='z'>Menu</div><article><p>Own {i} words</p>{box}</article>") for i in range(5)]
+    rows += [("g.org", f"<div class='z'>Menu</div><div><p>Text {i}</p></div>") for i in range(4)]
+    rows += [("one.org", f"<article><p>Alone</p>{box}</article>")]
+    pages = pages_of(spark, rows)
+    want = {**{i: f"Own {i} words" for i in range(5)}, **{5 + i: f"Text {i}" for i in range(4)}, 9: "Alone\nSame box"}
+    for limit in (htmltext.BROADCAST_HASHES, 0):
+        monkeypatch.setattr(htmltext, "BROADCAST_HASHES", limit)
+        assert {r["page_id"]: r["text"] for r in htmltext.extract_text(pages).collect()} == want
+    off = {r["page_id"]: r["text"] for r in htmltext.extract_text(pages, min_pages=10**9).collect()}
+    assert all(off[i] != want[i] for i in want if i != 9)

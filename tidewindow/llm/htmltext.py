@@ -6,9 +6,12 @@ hash occurs; subtrees in ``MIN_PAGES`` of them are the site's template and are d
 large the host is.  A body is the text that a page has by tags and names alone, so copies of a
 page count once and do not make their own text a template.  So are deleted elements
 that say themselves that they are no main text: by their tag (menus, footers, asides, forms,
-scripts, styles) or by a word of their class, id or role (advert, sidebar, comments, notice).
+scripts, styles) or by their class, id or role (advert, sidebar, comments, notice): by a whole name, or by a word of one
+that says what the element is, as in ``ad-slot`` and not in ``related-work``; an article, section or
+main element by a whole name only.
 
-A page with ``article`` elements, or else a ``main`` element, is read from those.  In them the
+A page with ``article`` elements, or else a ``main`` element, is read from those; but from ``main``
+if less than half of what is left of it stands in its articles.  In them the
 boxes count: block elements, but paragraphs and headings only with a class, id or role, since
 those without are the text itself.  Where more than half of an article's text would go, it is a
 near copy of others, not a text with boxes, and nothing is deleted in it.
@@ -27,6 +30,7 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -50,8 +54,8 @@ BLOCK = frozenset(
 #: In an article these are boxes only if they have a class, id or role.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 hgroup header li dt dd tr td th tbody thead tfoot caption pre".split())
 NO_TEXT = frozenset(
-    "head title script style noscript template svg math canvas iframe object embed audio video map "
-    "nav footer aside form button select option textarea input label fieldset dialog menu".split()
+    "head title script style noscript template svg canvas iframe object embed audio video map "
+    "nav footer aside form button select option textarea input fieldset dialog menu".split()
 )
 MARKED = re.compile(
     r"ads?|adverts?|advertis\w*|banners?|sponsor(ed)?|promo\w*|side-?bars?|menus?|nav|navbar|navigation|"
@@ -61,21 +65,31 @@ MARKED = re.compile(
 )
 #: After these the rest of a name says what a page is without or has beside it.
 BESIDE = frozenset("no not has with without hide".split())
+#: Behind a word of the list these still name the same thing: an ad slot is an ad, related work is not.
+PLACES = re.compile(
+    r"\d+|areas?|bars?|blocks?|bottom|box(es)?|buttons?|cards?|columns?|cols?|containers?|contents?|footers?|forms?|"
+    r"frames?|grids?|groups?|headers?|heads?|holders?|icons?|inner|items?|labels?|left|links?|lists?|main|"
+    r"outer|panels?|right|rows?|sections?|slots?|tags?|text|titles?|tops?|units?|widgets?|wrap(per)?s?"
+)
+#: Elements that hold the text of a page; a word within a longer name does not tell against them.
+HOLDERS = frozenset(["article", "main", "section"])
 # An opening paragraph or item ends one that is still open.
 CLOSED_BY_BLOCK = frozenset(["p"])
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
 STOPS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 
 
-def marked(names: str) -> bool:
-    """Whether a class, id or role says that an element is no main text."""
+def marked(names: str, whole: bool = False) -> bool:
+    """Whether a class, id or role says that an element is no main text: by a name as a whole,
+    or by a word of it that ends it or is followed by words for places alone."""
     for name in names.split():
         if MARKED.fullmatch(name):
             return True
-        for part in re.split(r"[-_]+", name):
+        parts = [] if whole else [p for p in re.split(r"[-_]+", name) if p]
+        for at, part in enumerate(parts):
             if part in BESIDE:
                 break
-            if MARKED.fullmatch(part):
+            if MARKED.fullmatch(part) and all(MARKED.fullmatch(p) or PLACES.fullmatch(p) for p in parts[at + 1 :]):
                 return True
     return False
 
@@ -115,7 +129,7 @@ class TreeReader(HTMLParser):
         found = {k: v or "" for k, v in attrs if k in ("class", "id", "role")}
         names = " ".join(found.values()).lower()
         parent = self.open[-1]
-        dropped = tag in NO_TEXT or marked(names) or any(k == "hidden" for k, _ in attrs)
+        dropped = tag in NO_TEXT or marked(names, tag in HOLDERS) or any(k == "hidden" for k, _ in attrs)
         if tag in ("html", "body", "main"):
             dropped = False
         if tag == "header" and not parent.inside:
@@ -192,16 +206,41 @@ def subtree_hashes(nodes: list[Node]) -> dict[int, int]:
     return out
 
 
+def _roots(nodes: list[Node], deleted: set[int]) -> list[Node]:
+    """The articles of a page, or its ``main`` elements, or the page itself.
+
+    Articles in a ``main`` element are teasers if less than half of the text that is left of it
+    stands in them; then it is read as a whole.
+    """
+    def of(tag: str) -> list[Node]:
+        found = [n for n in nodes if n.tag == tag and not n.dropped]
+        return [n for n in found if not n.under] or found
+
+    articles, mains = of("article"), of("main")
+    if articles and mains:
+        whole = len("".join(_blocks(mains, deleted)))
+        within = {id(n) for main in mains for n in _below(main)}
+        inner = [n for n in articles if id(n) in within]
+        if 2 * len("".join(_blocks(inner, deleted))) < whole:
+            return mains
+    return articles or mains or nodes[:1]
+
+
+def _below(root: Node) -> list[Node]:
+    found, at = [root], 0
+    while at < len(found):
+        found += [c for c in found[at].children if not isinstance(c, str)]
+        at += 1
+    return found
+
+
 def main_text(nodes: list[Node], template: set[int]) -> str:
     """The blocks of the main text; ``template``: numbers of nodes to delete."""
     deleted = {id(nodes[n]) for n in template}
-    for wanted in ("article", "main"):
-        roots = [n for n in nodes if n.tag == wanted and not n.dropped]
-        roots = [n for n in roots if not n.under] or roots
-        if roots:
-            break
-    else:
-        roots = nodes[:1]
+    return "\n".join(_blocks(_roots(nodes, deleted), deleted))
+
+
+def _blocks(roots: list[Node], deleted: set[int]) -> list[str]:
     blocks: list[list[str]] = [[]]
     seen: set[int] = set()
     for root in roots:
@@ -228,7 +267,7 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
             elif child.tag in BLOCK:
                 blocks.append([])
     lines = (" ".join("".join(b).split()) for b in blocks)
-    return "\n".join(line for line in lines if line)
+    return [line for line in lines if line]
 
 
 def text_without(nodes: list[Node], template: set[int]) -> str:
@@ -276,14 +315,17 @@ def _hashes(batches):
         )
 
 
-def _extract(carried: list[str]):
+def _extract(carried: list[str], shared=None):
+    """Texts without the template: ``shared`` are its sorted hashes, else each page has its own."""
+
     def run(batches):
+        every = set(shared.value.tolist()) if shared is not None else None
         for batch in slices(batches, "_html"):
             out = []
-            columns = _decoded(batch, "_html"), batch.column("_host").to_pylist(), batch.column("_template").to_pylist()
-            for html, host, known in zip(*columns):
+            own = batch.column("_template").to_pylist() if shared is None else [every] * batch.num_rows
+            for html, host, known in zip(_decoded(batch, "_html"), batch.column("_host").to_pylist(), own):
                 nodes = read_page(html)
-                known = set(known or ())
+                known = set(known or ()) if shared is None else known
                 numbers = {n for n, h in subtree_hashes(nodes).items() if _salted(host, h) in known} if known else set()
                 out.append(text_without(nodes, numbers))
             yield pa.RecordBatch.from_arrays(
@@ -315,10 +357,16 @@ def extract_text(
         _hashes, f"_page {kinds['_page']}, _hash long, _body long"
     ))
     template = pin(template_hashes(found, min_pages))
-    few = template.count() <= BROADCAST_HASHES
-    own = found.join(F.broadcast(template) if few else template, "_hash")
-    deleted = own.groupBy("_page").agg(F.collect_set("_hash").alias("_template"))
+    names = {"_id": page_id, "_url": url}
+    result = f"_id {kinds['_id']}, _url {kinds['_url']}, text string, n_chars long"
+    if template.count() <= BROADCAST_HASHES:
+        # so many numbers; no page crosses the network
+        hashes = np.array([r["_hash"] for r in template.collect()], np.int64)
+        shared = pages.sparkSession.sparkContext.broadcast(hashes)
+        read = plain.select("_id", "_url", "_host", "_html")
+        return read.mapInArrow(_extract(["_id", "_url"], shared), result).withColumnsRenamed(names)
+    deleted = found.join(template, "_hash").groupBy("_page").agg(F.collect_set("_hash").alias("_template"))
     whole = plain.select("_id", "_url", "_host", "_page", "_html").join(deleted, "_page", "left")
     return whole.select("_id", "_url", "_host", "_html", "_template").mapInArrow(
-        _extract(["_id", "_url"]), f"_id {kinds['_id']}, _url {kinds['_url']}, text string, n_chars long"
-    ).withColumnsRenamed({"_id": page_id, "_url": url})
+        _extract(["_id", "_url"]), result
+    ).withColumnsRenamed(names)
