@@ -397,7 +397,7 @@ def test_line_classes(spark, monkeypatch, block):
         root = sets.find(line)
         heads[root] = min(heads.get(root, at[0]), *at)
     expected = {p: heads[sets.find(line)] for line, at in places.items() for p in at}
-    rows = linededup.line_classes(table_of(spark, texts)).collect()
+    rows = linededup.line_classes(table_of(spark, texts), min_bytes=40).collect()
     assert {(r["doc_id"], r["line"]): (r["class_doc"], r["class_line"]) for r in rows} == expected
     assert all(r["kept"] == ((r["doc_id"], r["line"]) == (r["class_doc"], r["class_line"])) for r in rows)
 

@@ -1,7 +1,7 @@
 """The whole job: lines of any length, boxes within articles, rows that share an id."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from test_llm_brute import DOCS, Sets, changed, edit_distance, table_of
@@ -45,7 +45,7 @@ def test_lines_of_any_length(spark, monkeypatch, block):
         for at, line in enumerate(text.encode().split(b"\n")):
             if line.strip():
                 places[line.strip()].append((doc, at))
-    rows = linededup.line_classes(table_of(spark, texts), min_bytes=linededup.ALL_LINES).collect()
+    rows = linededup.line_classes(table_of(spark, texts)).collect()
     assert {(r["doc_id"], r["line"]): (r["class_doc"], r["class_line"]) for r in rows} == plain_classes(places)
 
 
@@ -57,13 +57,62 @@ def test_stage_removes_short_copies(spark):
 def test_edits_are_characters(spark):
     rest = " and then some more words of it to fill up this line"
     texts = ["un été" + rest, "un ete" + rest, "漢字" + rest, "漢子" + rest, "漫子" + rest, "ñandú élé" + rest, "nandu ele" + rest]
-    rows = linededup.line_classes(table_of(spark, texts), min_bytes=linededup.ALL_LINES).collect()
+    rows = linededup.line_classes(table_of(spark, texts)).collect()
     assert {r["doc_id"]: r["class_doc"] for r in rows} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 2, 5: 5, 6: 6}
     broken = b"\xe9\xff caf\xc3\xa9 \xf0\x9f\x98\x80"
-    chars = linededup.characters(broken)
-    ends = linededup.offsets(chars)
-    assert ends[-1] == len(broken)
-    assert [broken[a:b] for a, b in zip(ends, ends[1:])] == [c.encode("utf-8", "surrogateescape") for c in chars]
+    assert linededup.code_points(linededup.characters(broken)).tolist() == [
+        0xDCE9, 0xDCFF, 32, 99, 97, 102, 0xE9, 32, 0x1F600,
+    ]
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 64, 20])
+def test_keys_of_many_lines(monkeypatch, at_once):
+    """Running sums over all characters give what each segment gives by itself."""
+    monkeypatch.setattr(linededup, "CHARACTERS_AT_ONCE", at_once)
+    rng = random.Random(3)
+    lines = ["".join(rng.choice("ab é漢") for _ in range(n)).encode() for n in [*range(18, 75), 40, 40, 90]]
+    lines += [b"ab" * 30, b"\xff" * 45, b"a" * 21]
+    keys, first, number = linededup.line_keys(lines, 2, {})
+    got = defaultdict(dict)
+    for k, f, n in zip(keys.tolist(), first.tolist(), number.tolist()):
+        got[n][k] = got[n].get(k, False) or f
+    for n, line in enumerate(lines):
+        chars = line.decode("utf-8", "surrogateescape")
+        edits = linededup.budget(len(chars), 2)
+        want = {}
+        own = linededup.segments(len(chars), edits)
+        for indexed, i, at, size in linededup.probes(len(chars), 2) if edits else ():
+            points = linededup.code_points(chars)[at : at + size]
+            key = linededup.segment_key(points, indexed, i, 2)
+            want[key] = want.get(key, False) or (indexed == len(chars) and at == own[i][0])
+        assert got[n] == want
+
+
+@pytest.mark.parametrize("block, small", [(1024, 8), (1024, 0), (3, 2)])
+def test_number_of_links(spark, monkeypatch, block, small):
+    """Families of lines within few edits: every pair counts once, however it was met."""
+    rng = random.Random(23)
+    lines = []
+    for n in (20, 24, 39, 40, 41, 60):
+        base = bytes(rng.choice(b"abc") for _ in range(n))
+        lines += [base, *(changed(rng, base, rng.randrange(1, 3)) for _ in range(14))]
+    lines += [b"ab" * 25, b"ba" * 25, b"ab" * 24, b"a" * 40, b"a" * 41, b"a" * 42, b"short", b"shors"]
+    lines = [x.decode() for x in lines] + ["é" * 41, "é" * 40, "é" * 39 + "e"]
+    texts = ["\n".join(lines[i : i + 3]) for i in range(0, len(lines), 3)] * 2
+    monkeypatch.setattr(linededup, "BLOCK_LINES", block)
+    monkeypatch.setattr(linededup, "SMALL_GROUP", small)
+    kinds = sorted(set(lines))
+    links = Counter()
+    for i, a in enumerate(kinds):
+        for b in kinds[i + 1 :]:
+            x, y = sorted((a, b), key=len)
+            edits = min(2, len(x) // 20)
+            if len(y) - len(x) <= edits and edit_distance(x, y) <= edits:
+                links.update((a, b))
+    rows = linededup.line_classes(table_of(spark, texts)).collect()
+    assert len(rows) == 2 * len(lines) and max(links.values()) > 3
+    for r in rows:
+        assert r["n_links"] == links[texts[r["doc_id"]].split("\n")[r["line"]]]
 
 
 # ---- rows that share an id, or have none

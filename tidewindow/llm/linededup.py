@@ -1,7 +1,7 @@
 """Line deduplication by a segment-partition edit join.
 
-Lines of at least ``min_bytes`` bytes take part, without white space at their ends; op6 and the
-pipeline let every line take part that is not blank.  Two lines are links if their edit distance,
+Lines take part without white space at their ends, all but the blank ones; with ``min_bytes``, those
+of so many bytes.  Two lines are links if their edit distance,
 counted in characters, is at most the budget of the shorter one: an edit for each ``EDIT_LENGTH`` of
 its length, and ``distance`` at most.  The shortest lines have a budget of 0 and are like their
 exact copies alone; those need no keys.  Lines joined by a chain of links are one class, and of
@@ -11,11 +11,17 @@ in the text.
 A line is cut into one segment more than its budget, of nearly equal length.  So many edits leave
 one of them untouched, so a similar line that is not shorter holds that segment near its
 place.  Lengths and places count characters; a byte that is not
-part of one counts as one.  The index key is the line's length, the segment's number and its bytes; a line probes
-the keys of lines shorter by up to their budget at the few places that are possible.  Only
-lines that meet another line under a key are read again and compared, with a banded
+part of one counts as one.  The index key is a hash of the line's length, the segment's number and its
+characters; a line probes the keys of lines shorter by up to their budget at the few places that are
+possible.  The keys of many lines are made at once, from running sums over all their characters.
+Only lines that meet another line under a key are read again and compared, with a banded
 bit-parallel edit distance over many pairs at once.
 
+Of two lines the shorter one is looked up by its segments; of equal length, that of the smaller
+digest.  They are compared once, under the first segment of it that the other one holds, so
+every linked pair is counted once.  What leaves a group is the number of links of each line, and as
+many of the links as join its lines into classes; pairs are not listed.
+
 Keys, and then the lines themselves, are made once per task for repeated lines, so copies
 of a line are folded before any shuffle.  Exact copies are one class and are never compared.
 
@@ -27,6 +33,7 @@ different documents, and repeated rows keep or lose the same lines.  Only the na
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +49,7 @@ from tidewindow.llm.texts import row_key
 from tidewindow.session import pin
 
 DISTANCE = 2
-MIN_BYTES = 40
-#: Smallest size of a line that takes part in op6 and in the pipeline: any that is not blank.
+#: Smallest size of a line that takes part: any that is not blank.
 ALL_LINES = 1
 #: A line has an edit for each so much of its length.
 EDIT_LENGTH = 20
@@ -57,6 +63,11 @@ BLOCK_LINES = 1024
 SMALL_GROUP = 8
 BYTES_AT_ONCE = 4 << 20
 CELLS_AT_ONCE = 8 << 20
+#: Characters of lines whose keys are made together.
+CHARACTERS_AT_ONCE = 1 << 20
+
+# An odd base of the running sums, and odd factors that mix their bits.
+BASE, MIX = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
 def lines_of(text: bytes, min_bytes: int) -> Iterator[tuple[int, bytes]]:
@@ -109,25 +120,132 @@ def code_points(line: bytes | str) -> np.ndarray:
     return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def offsets(line: str) -> list[int]:
-    """Places of the characters in the bytes of a line, and their end."""
-    points = code_points(line)
-    sizes = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
-    sizes[(points >= 0xDC80) & (points <= 0xDCFF)] = 1
-    return [0, *np.cumsum(sizes).tolist()]
+class _Powers:
+    """Powers of the base and of its inverse modulo 2^64, as far as they were needed."""
+
+    def __init__(self):
+        self.inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < count:
+            size = max(count, 1 << 12)
+            self.up, self.down = np.full((2, size), BASE, np.uint64)
+            self.down[:] = self.inverse
+            self.up[0] = self.down[0] = 1
+            np.cumprod(self.up, out=self.up)
+            np.cumprod(self.down, out=self.down)
+        return self.up[:count], self.down[:count]
+
+
+_powers = _Powers()
+
+
+def _mixed(sums: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    keys = sums + seeds * BASE
+    for shift, factor in zip((30, 27), MIX):
+        keys = (keys ^ (keys >> np.uint64(shift))) * factor
+    return keys ^ (keys >> np.uint64(31))
+
+
+def segment_key(points: np.ndarray, indexed: int, segment: int, distance: int) -> int:
+    """Key of one segment, given its code points."""
+    total, scale = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for at in range(0, len(points), CHARACTERS_AT_ONCE):
+        part = points[at : at + CHARACTERS_AT_ONCE].astype(np.uint64) + np.uint64(1)
+        up, _ = _powers(len(part) + 1)
+        total += (part * up[:-1]).sum(dtype=np.uint64, keepdims=True) * scale
+        scale *= up[-1:]
+    return int(_mixed(total, np.array([indexed * (distance + 1) + segment], np.uint64))[0])
+
+
+class _Plan:
+    """What lines of one length probe, and where their own segments are, as arrays."""
+
+    def __init__(self, length: int, distance: int):
+        plan = probes(length, distance)
+        self.at, self.size = (np.array([p[k] for p in plan], np.int64) for k in (2, 3))
+        self.seeds = np.array([p[0] * (distance + 1) + p[1] for p in plan], np.uint64)
+        own = segments(length, budget(length, distance))
+        self.first = np.array([p[0] == length and p[2] == own[p[1]][0] for p in plan], bool)
+        # the column of the own segment that a probe of the same length could repeat
+        place = {p[1]: k for k, p in enumerate(plan) if self.first[k]}
+        self.own = np.array([place[p[1]] if p[0] == length else -1 for p in plan], np.int64)
+
+    def keys(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the lines that begin at ``starts``, and which of them to keep."""
+        _, down = _powers(len(points) + 1)
+        sums = points  # running sums, with a leading zero
+        a = starts[:, None] + self.at
+        keys = _mixed((sums[a + self.size] - sums[a]) * down[a], self.seeds)
+        repeats = (self.own >= 0) & ~self.first & (keys == keys[:, self.own])
+        return keys, ~repeats
+
+
+def _running_sums(points: np.ndarray) -> np.ndarray:
+    up, _ = _powers(len(points) + 1)
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+    return sums
+
+
+def line_keys(lines: list[bytes], distance: int, plans: dict[int, _Plan]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of lines, whether a line is indexed under them, and the number of the line."""
+    some: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    texts_, sizes, numbers = [], [], []
+
+    def settle() -> None:
+        sums = _running_sums(code_points("".join(texts_)))
+        length = np.array(sizes, np.int64)
+        start, number = np.cumsum(length) - length, np.array(numbers, np.int64)
+        order = np.argsort(length, kind="stable")
+        cuts = np.flatnonzero(np.diff(length[order])) + 1
+        for rows in np.split(order, cuts):
+            size = int(length[rows[0]])
+            plan = plans.get(size)
+            if plan is None:
+                plan = plans[size] = _Plan(size, distance)
+            if len(plan.at):
+                keys, kept = plan.keys(sums, start[rows])
+                first = np.broadcast_to(plan.first, keys.shape)
+                line = np.broadcast_to(number[rows][:, None], keys.shape)
+                some.append((keys[kept], first[kept], line[kept]))
+        texts_.clear()
+        sizes.clear()
+        numbers.clear()
+
+    waiting = 0
+    for number, line in enumerate(lines):
+        chars = line.decode("utf-8", "surrogateescape")
+        if not budget(len(chars), distance):
+            continue
+        if len(chars) > CHARACTERS_AT_ONCE:
+            some.append(_long_line_keys(code_points(chars), number, distance))
+            continue
+        texts_.append(chars)
+        sizes.append(len(chars))
+        numbers.append(number)
+        waiting += len(chars)
+        if waiting >= CHARACTERS_AT_ONCE:
+            settle()
+            waiting = 0
+    if texts_:
+        settle()
+    if not some:
+        return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
+    return tuple(np.concatenate(column) for column in zip(*some))
 
 
-def line_keys(line: bytes, plan: list[tuple[int, int, int, int]], distance: int) -> dict[int, bool]:
-    """Keys of a line; true for those under which it is indexed."""
-    chars = characters(line)
-    length = len(chars)
-    starts = range(length + 1) if chars is line else offsets(chars)
-    own = segments(length, budget(length, distance))
+def _long_line_keys(points: np.ndarray, number: int, distance: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for a line too long to be summed up as a whole."""
+    own = segments(len(points), budget(len(points), distance))
     keys: dict[int, bool] = {}
-    for indexed, i, at, size in plan:
-        key = xxhash.xxh64_intdigest(line[starts[at] : starts[at + size]], indexed * (distance + 1) + i)
-        keys[key] = keys.get(key, False) or (indexed == length and at == own[i][0])
-    return keys
+    for indexed, i, at, size in probes(len(points), distance):
+        key = segment_key(points[at : at + size], indexed, i, distance)
+        keys[key] = keys.get(key, False) or (indexed == len(points) and at == own[i][0])
+    return (
+        np.array(list(keys), np.uint64), np.array(list(keys.values()), bool), np.full(len(keys), number)
+    )
 
 
 class _Seen:
@@ -147,8 +265,8 @@ class _Seen:
         return known
 
 
-def _signed(numbers: list[int]) -> pa.Array:
-    return pa.array(np.array(numbers, np.uint64).view(np.int64))
+def _signed(numbers) -> pa.Array:
+    return pa.array(np.asarray(numbers, np.uint64).view(np.int64))
 
 
 def _places(min_bytes: int, names: list[str]):
@@ -171,22 +289,20 @@ def _places(min_bytes: int, names: list[str]):
 def _keys(min_bytes: int, distance: int):
     def run(batches):
         seen, plans = _Seen(), {}
-        for batch in slices(batches, "_text", 1 << 20):
-            keys, first, ids = [], [], []
+        for batch in slices(batches, "_text"):
+            lines, ids = [], []
             for text in texts(batch, "_text"):
                 for _, line in lines_of(text, min_bytes):
+                    if len(line) < EDIT_LENGTH:
+                        continue  # no edits, hence no keys
                     digest = xxhash.xxh3_128_digest(line)
-                    if seen(digest):
-                        continue
-                    length = len(characters(line))
-                    if length not in plans:
-                        plans[length] = probes(length, distance)
-                    made = line_keys(line, plans[length], distance)
-                    keys += made.keys()
-                    first += made.values()
-                    ids += [int.from_bytes(digest[:8], "little")] * len(made)
+                    if not seen(digest):
+                        lines.append(line)
+                        ids.append(int.from_bytes(digest[:8], "little"))
+            keys, first, number = line_keys(lines, distance, plans)
             yield pa.RecordBatch.from_arrays(
-                [_signed(keys), pa.array(first, pa.bool_()), _signed(ids)], ["_key", "_first", "_id"]
+                [_signed(keys), pa.array(first), _signed(np.array(ids, np.uint64)[number])],
+                ["_key", "_first", "_id"],
             )
 
     return run
@@ -306,63 +422,122 @@ def _banded(short: list[bytes | str], long: list[bytes | str], distance: int) ->
     return ok
 
 
+class _Group:
+    """The lines that meet under one key."""
+
+    def __init__(self, table: pa.Table, distance: int):
+        self.distance = distance
+        name = table.column("_group")[0].as_py()
+        self.key, self.across = name["_key"] % (1 << 64), name["a"] != name["b"]
+        self.lines = [x or b"" for x in table.column("_bytes").to_pylist()]
+        self.names = table.column("_line").to_pylist()
+        self.block = table.column("_block").to_numpy()
+        self.first = table.column("_first").to_numpy()
+        self.points = [code_points(characters(x)).astype(np.uint32, copy=False) for x in self.lines]
+        self.length = np.fromiter(map(len, self.points), np.int64, len(self.points))
+        self.rank = np.empty(len(self.names), np.int64)
+        self.rank[sorted(range(len(self.names)), key=self.names.__getitem__)] = np.arange(len(self.names))
+
+    def partners(self, row: int) -> np.ndarray:
+        """Rows that ``row`` is to be compared with under this key, of which no other key tells."""
+        size = int(self.length[row])
+        edits = budget(size, self.distance)
+        longer = (self.length > size) & (self.length <= size + edits)
+        fits = longer | (self.length == size) & (self.rank > self.rank[row])
+        if self.across:  # of two blocks, one of which may have no rows
+            fits &= self.block != self.block[row]
+        rest = np.flatnonzero(fits)
+        own = segments(size, edits)
+        points = self.points[row]
+        for i, (start, wide) in enumerate(own):
+            segment = points[start : start + wide]
+            if not len(rest) or segment_key(segment, size, i, self.distance) == self.key:
+                break
+            # a line that holds an earlier segment is compared under that one
+            held = np.zeros(len(rest), bool)
+            for moved in range(edits + 1):
+                some = np.flatnonzero(self.length[rest] == size + moved)
+                low = max(0, start - i, start + moved - (edits - i))
+                high = min(size + moved - wide, start + i, start + moved + (edits - i))
+                for at in range(low, high + 1):
+                    held[some] |= self._holds(rest[some], at, segment)
+            rest = rest[~held]
+        return rest
+
+    def _holds(self, rows: np.ndarray, at: int, segment: np.ndarray) -> np.ndarray:
+        many = max(1, BYTES_AT_ONCE // (4 * max(1, len(segment))))
+        out = np.zeros(len(rows), bool)
+        for begin in range(0, len(rows), many):
+            part = rows[begin : begin + many]
+            taken = np.stack([self.points[r][at : at + len(segment)] for r in part])
+            out[begin : begin + many] = (taken == segment).all(axis=1)
+        return out
+
+
 def _line_links(distance: int):
-    def pairs(left, right):
-        return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+    """Rows ``a``, ``b``, ``n``: a link that joins lines into a class, or without ``b`` the number
+    of links of a line that were found in one group."""
+
+    def rows(left, right, counts):
+        names = list(counts)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(left + names, pa.binary()), pa.array(right + [None] * len(names), pa.binary()),
+                pa.array([0] * len(left) + [counts[n] for n in names], pa.int64()),
+            ],
+            ["a", "b", "n"],
+        )
 
     def run(batches):
-        left, right, waiting, size = [], [], [], 0
+        left, right, counts = [], [], Counter()
+        waiting, size = [], 0
 
         def settle():
             for edits in range(1, distance + 1):
                 some = [w for w in waiting if w[4] == edits]
                 near = within([w[0] for w in some], [w[1] for w in some], edits)
                 for at in np.flatnonzero(near):
-                    left.append(some[at][2])
-                    right.append(some[at][3])
+                    _, _, a, b, _ = some[at]
+                    left.append(a)
+                    right.append(b)
+                    counts.update((a, b))
             waiting.clear()
 
-        for group in groups(batches):
-            lines = [x or b"" for x in group.column("_bytes").to_pylist()]
-            names = group.column("_line").to_pylist()
-            block = group.column("_block").to_numpy()
-            first = group.column("_first").to_numpy()
-            length = np.fromiter((len(characters(x)) for x in lines), np.int64, len(lines))
-            two, forest = block[0] != block[-1], Forest(len(lines))
-            for row in np.flatnonzero(first):
-                edits = budget(int(length[row]), distance)
-                fits = (length >= length[row]) & (length <= length[row] + edits)
-                # Two indexed lines of one length meet once.
-                fits[:row] &= ~first[:row] | (length[:row] != length[row])
-                fits[row] = False
-                if two:
-                    fits &= block != block[row]
-                rest = np.flatnonzero(fits & (forest.root != forest.root[row]))
+        for table in groups(batches):
+            group = _Group(table, distance)
+            lines, names, forest = group.lines, group.names, Forest(len(group.lines))
+            for row in np.flatnonzero(group.first):
+                edits = budget(int(group.length[row]), distance)
+                rest = group.partners(row)
                 if len(lines) <= SMALL_GROUP:
                     waiting += [(lines[row], lines[j], names[row], names[j], edits) for j in rest]
                     size += len(lines[row]) * len(rest)
                     continue
-                many = max(1, BYTES_AT_ONCE // int(length[row] + edits))
+                many = max(1, BYTES_AT_ONCE // int(group.length[row] + edits))
                 for at in range(0, len(rest), many):
                     part = rest[at : at + many]
-                    near = within([lines[row]] * len(part), [lines[j] for j in part], edits)
-                    for other in forest.link(row, part[near]):
+                    linked = part[within([lines[row]] * len(part), [lines[j] for j in part], edits)]
+                    if len(linked):
+                        counts[names[row]] += len(linked)
+                        counts.update(names[j] for j in linked)
+                    for other in forest.link(row, linked):
                         left.append(names[row])
                         right.append(names[other])
             if size >= BYTES_AT_ONCE:
                 settle()
                 size = 0
-            if len(left) >= 50_000:
-                yield pairs(left, right)
-                left, right = [], []
+            if len(left) + len(counts) >= 50_000:
+                yield rows(left, right, counts)
+                left, right, counts = [], [], Counter()
         settle()
-        yield pairs(left, right)
+        yield rows(left, right, counts)
 
     return run
 
 
-def line_links(plain: DataFrame, distance: int = DISTANCE, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Links between the digests of different lines of ``_text``."""
+def line_links(plain: DataFrame, distance: int = DISTANCE, min_bytes: int = ALL_LINES) -> DataFrame:
+    """Links between the digests of different lines of ``_text``, and numbers of links: see
+    ``_line_links``."""
     keyed = plain.select("_text").mapInArrow(
         _keys(min_bytes, distance), "_key long, _first boolean, _id long"
     )
@@ -375,7 +550,7 @@ def line_links(plain: DataFrame, distance: int = DISTANCE, min_bytes: int = MIN_
     lines = lines.join(F.broadcast(wanted) if few else wanted, "_id", "left_semi")
     lines = lines.groupBy("_line").agg(F.first("_id").alias("_id"), F.first("_bytes").alias("_bytes"))
     rows = met.join(lines, "_id").select("_key", "_first", "_id", "_line", "_bytes")
-    return grouped(rows, BLOCK_LINES).mapInArrow(_line_links(distance), "a binary, b binary")
+    return grouped(rows, BLOCK_LINES).mapInArrow(_line_links(distance), "a binary, b binary, n long")
 
 
 def _text_digest(text: Column) -> Column:
@@ -395,38 +570,43 @@ def _placed(
     )
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema if f.name in names)
     places = pin(plain.mapInArrow(_places(min_bytes, names), f"{kinds}, _place int, _line binary"))
-    found = components(line_links(plain, distance, min_bytes))
+    links = pin(line_links(plain, distance, min_bytes))
+    found = components(links.where(F.col("b").isNotNull())).join(
+        links.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("_links")), "node"
+    )
     here = F.struct(*names, "_place")
     first = places.groupBy("_line").agg(F.min(here).alias("_first"), F.count(F.lit(1)).alias("_times"))
     # A line met once and without links is its own class and needs no row here.
     named = first.join(found, first["_line"] == found["node"], "left").filter(
         (F.col("_times") > 1) | F.col("root").isNotNull()
-    ).select(F.col("_line").alias("_name"), "_first", F.coalesce("root", "_line").alias("_root"))
+    ).select(F.col("_line").alias("_name"), "_first", F.coalesce("root", "_line").alias("_root"), "_links")
     heads = named.groupBy("_root").agg(F.min("_first").alias("_head"))
     # Pinned, so that the last join has plain exchanges and a line of many copies is split.
-    classes = pin(named.join(heads, "_root").select("_name", "_head"))
+    classes = pin(named.join(heads, "_root").select("_name", "_head", "_links"))
     return places.join(classes, F.col("_line") == F.col("_name"), "left").select(
-        here.alias("_here"), F.coalesce(F.col("_head"), here).alias("_head")
+        here.alias("_here"), F.coalesce(F.col("_head"), here).alias("_head"),
+        F.coalesce("_links", F.lit(0)).cast("long").alias("_links"),
     ), names
 
 
 def line_classes(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    distance: int = DISTANCE, min_bytes: int = MIN_BYTES,
+    distance: int = DISTANCE, min_bytes: int = ALL_LINES,
 ) -> DataFrame:
     """One row for each line that takes part: ``doc_id``, ``line``, ``class_doc``,
-    ``class_line`` (the first line of its class) and ``kept``."""
+    ``class_line`` (the first line of its class), ``kept``, and ``n_links``, the number of
+    other texts within the distance of its own; copies are not counted."""
     here, head = F.col("_here"), F.col("_head")
     return _placed(docs, doc_id, text, distance, min_bytes)[0].select(
         here["_doc"].alias(doc_id), here["_place"].cast("long").alias("line"),
         head["_doc"].alias("class_doc"), head["_place"].cast("long").alias("class_line"),
-        here.eqNullSafe(head).alias("kept"),
+        here.eqNullSafe(head).alias("kept"), F.col("_links").alias("n_links"),
     )
 
 
 def without_repeated_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: str | None = None,
-    distance: int = DISTANCE, min_bytes: int = MIN_BYTES,
+    distance: int = DISTANCE, min_bytes: int = ALL_LINES,
 ) -> DataFrame:
     """``docs`` without the lines that are not kept; ``length`` names a column for the new
     number of characters.  Documents of which nothing but white space is left are dropped if
@@ -434,7 +614,7 @@ def without_repeated_lines(
     placed, known = _placed(docs, doc_id, text, distance, min_bytes)
     lost = placed.filter(~F.col("_here").eqNullSafe(F.col("_head"))).groupBy(
         *(F.col("_here")[c].alias(c) for c in known)
-    ).agg(F.collect_set(F.col("_here")["_place"].cast("long")).alias("_lost"))
+    ).agg(F.collect_set(F.col("_here")["_place"]).alias("_lost"))
     names = [f.name for f in docs.schema]
     held = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"))
     same = F.col(f"_row.`{doc_id}`").eqNullSafe(F.col("_doc"))
@@ -443,7 +623,9 @@ def without_repeated_lines(
         same &= F.col("_digest") == F.col("_same")
     joined = held.join(lost, same, "left")
     old = F.col(f"_row.`{text}`")
-    lines = F.filter(F.split(old, "\n", -1), lambda _, i: ~F.array_contains("_lost", i.cast("long")))
+    lines = F.split(old, "\n", -1)
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_lost")
+    lines = F.transform(places, lambda i: F.get(lines, i))
     untouched = F.col("_lost").isNull()
     kept = joined.withColumn("_rest", F.when(untouched, old).otherwise(F.array_join(lines, "\n"))).filter(
         untouched | F.col("_rest").rlike(r"[^\x20\x09-\x0D]")
