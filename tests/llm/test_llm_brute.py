@@ -502,12 +502,27 @@ def test_rollup_commits(spark, tmp_path):
 # ---- op10
 
 
-def test_blocks_of_items(spark):
-    """Many blocks of items give what one block gives."""
+def test_blocks_of_items(spark, monkeypatch):
+    """Many blocks of items give what one block gives; one of them is held at a time."""
     docs = documents(spark)
     benchmark = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     one = decontaminate.find_contamination(docs, benchmark).collect()
+    monkeypatch.setattr(decontaminate, "WINDOWS_AT_ONCE", 7)
+    dropped, sent = [], []
+    context = type(spark.sparkContext)
+    keep = context.broadcast
+
+    def noted(self, value):
+        held = keep(self, value)
+        sent.append(held)
+        drop = held.unpersist
+        held.unpersist = lambda *a: (dropped.append(held), drop(*a))
+        assert len(sent) - len(dropped) <= 2
+        return held
+
+    monkeypatch.setattr(context, "broadcast", noted)
     many = decontaminate.find_contamination(docs, benchmark, block_bytes=1500).collect()
+    assert len(sent) > 4 and len(sent) == len(dropped)
     assert sorted(one) == sorted(many) and any(r["contaminated"] for r in one)
 
 

@@ -10,9 +10,9 @@ window fixes where the window would begin, and the bounds drop it if it would be
 the document or end after it.  What is left is verified word by word.
 
 The benchmark is a query set that is held against all documents in blocks.  A block is
-closed when its words reach ``block_bytes``, and only a block is ever broadcast.  One block
-is one pass and no shuffle.  With more blocks each pass returns the spans of the documents
-that were hit, which are then put together by document.
+closed when its words reach ``block_bytes``, and only a block is ever on the driver or broadcast:
+it is dropped when its pass is done.  One block is one pass and no shuffle.  With more blocks the
+spans of the documents that a pass hit are pinned, and put together by document in the end.
 
 Defined results: a null text or one without words is not hit; a null item or one without
 words has no window; equal windows of several items count for each of them; a null item id
@@ -31,10 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewindow.llm.arrow import slices, texts
+from tidewindow.session import pin
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
 MIN_SHARE = 20
+#: Windows that are compared in one step.
+WINDOWS_AT_ONCE = 1 << 20
 
 # Upper case to lower case; what is no digit, letter or non-ASCII byte to a space.
 _FOLD = bytes(
@@ -90,8 +93,20 @@ class WindowIndex:
         """Starts and window numbers of all occurrences; ``ends``: of each word's document."""
         starts_of = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         at = np.flatnonzero(self.fanout[ids])
-        if not len(at):
-            return at, at
+        found = [(at[:0], at[:0])]
+        # A word may begin many windows: places are taken on while their windows fit a step.
+        upto = np.cumsum(self.fanout[ids[at]])
+        begin = 0
+        while begin < len(at):
+            before = upto[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, before + WINDOWS_AT_ONCE, "right")))
+            found.append(self._match(ids, ends, starts_of, at[begin:end]))
+            begin = end
+        return tuple(np.concatenate(part) for part in zip(*found))
+
+    def _match(
+        self, ids: np.ndarray, ends: np.ndarray, starts_of: np.ndarray, at: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         fanout = self.fanout[ids[at]]
         nth = np.arange(fanout.sum()) - np.repeat(np.cumsum(fanout) - fanout, fanout)
         windows = self.by_prefix[np.repeat(self.first[ids[at]], fanout) + nth]
@@ -225,8 +240,12 @@ def find_contamination(
     spark = docs.sparkSession
     carried = carry or [doc_id]
     body = F.col(text).cast("binary").alias("t")
-    shared = []
-    for index in item_blocks(benchmark, item_id, item_text, window, block_bytes):
+    own = [docs.schema[c] for c in carried]
+    found_fields = T.StructType.fromDDL(_FOUND).fields
+    plain = docs.select(*(F.col(f"`{c}`") for c in carried), body)
+
+    def ordered(index: WindowIndex):
+        """The block, broadcast, with its words in the order of their counts in ``docs``."""
         first = spark.sparkContext.broadcast(index)
         counted = docs.select(body).mapInArrow(_count_words(first), "w long, n long")
         counts = np.zeros(len(index.vocabulary), np.int64)
@@ -234,23 +253,25 @@ def find_contamination(
             counts[row["w"]] = row["n"]
         first.unpersist()
         index.order(counts)
-        shared.append(spark.sparkContext.broadcast(index))
-    own = [docs.schema[c] for c in carried]
-    found_fields = T.StructType.fromDDL(_FOUND).fields
-    text_field = T.StructField("_text", T.StringType())
-    plain = docs.select(*(F.col(f"`{c}`") for c in carried), body)
-    if len(shared) <= 1:
-        find = _find(shared[0] if shared else None, carried, False)
-        found = plain.mapInArrow(find, T.StructType([*own, *found_fields]))
-        return _result(found, carried)
+        return spark.sparkContext.broadcast(index)
+
+    blocks = item_blocks(benchmark, item_id, item_text, window, block_bytes)
+    index, following = next(blocks, None), next(blocks, None)
+    if following is None:
+        find = _find(ordered(index) if index else None, carried, False)
+        return _result(plain.mapInArrow(find, T.StructType([*own, *found_fields])), carried)
     # Equal rows have equal results, so a row is known by its columns and its text.
     digest = F.sha2(F.coalesce("t", F.lit(b"")), 256).alias("_text")
     keyed = plain.select(*carried, digest, "t")
-    schema = T.StructType([*own, text_field, *found_fields])
+    schema = T.StructType([*own, T.StructField("_text", T.StringType()), *found_fields])
     one = None
-    for block in shared:
-        part = keyed.mapInArrow(_find(block, [*carried, "_text"], True), schema)
+    while index is not None:
+        shared = ordered(index)
+        hits = keyed.mapInArrow(_find(shared, [*carried, "_text"], True), schema)
+        part = pin(hits.select("_text", "spans", "items"))
+        shared.unpersist()
         one = part if one is None else one.unionByName(part)
+        index, following = following, next(blocks, None)
     joined = one.groupBy("_text").agg(
         F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items")
     )
