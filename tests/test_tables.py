@@ -153,6 +153,7 @@ def test_counts_shuffle_once(spark):
 
 ONE_ROW_PER_TASK_OR_DAY = (
     "contract_violations", "watermark_lag_1m", "late_events", "watermark_trace",
+    "late_rate_episodes", "watermark_lag_episodes",
 )
 
 

@@ -111,7 +111,10 @@ def episodes(
     told = dated.withColumn("_own", F.lag(before).over(in_day))
     days = Window.orderBy("_day")
     last = dated.groupBy("_day").agg(F.max_by(before, at).alias("_last"))
-    carried = last.select("_day", F.lag("_last").over(days).alias("_earlier"))
+    carried = last.select(
+        "_day", F.lag("_last").over(days).alias("_earlier"),
+        F.last("_last").over(days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))["at"].alias("_newest"),
+    )
     previous = F.coalesce("_own", "_earlier")
     goes_on = (
         F.coalesce(previous["on"], F.lit(False))
@@ -125,14 +128,12 @@ def episodes(
         "_day",
         F.coalesce(F.sum("_runs").over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
     )
-    newest = last.agg(F.max("_last.at").alias("_newest"))
     runs = numbered.join(upto, "_day").groupBy((F.col("_offset") + F.col("_run")).alias("_number")).agg(
         F.min(at).alias("started"), F.max(at).alias("ended"),
-        F.count("*").alias("samples"), F.max(value).alias("peak"),
+        F.count("*").alias("samples"), F.max(value).alias("peak"), F.max("_newest").alias("_newest"),
     )
     lasted = millis("ended") - millis("started") + F.lit(60_000)
-    # one row
-    return runs.crossJoin(F.broadcast(newest)).where(lasted >= hold_seconds * 1000).select(
+    return runs.where(lasted >= hold_seconds * 1000).select(
         "started", "ended", "samples", "peak", (F.col("ended") == F.col("_newest")).alias("is_open")
     )
 

@@ -111,8 +111,9 @@ def even_ranges(
     return numbered.repartitionByRange(shuffle_width(df.sparkSession), *order, number)
 
 
-#: Rows of a slice of an order; more of them only beyond so many slices.
-SLICE_ROWS, MOST_SLICES = 1 << 20, 1 << 16
+#: Rows of a slice of an order: as many as give each shuffle partition one, within these bounds;
+#: more of them only beyond so many slices.
+LEAST_ROWS, SLICE_ROWS, MOST_SLICES = 1 << 12, 1 << 20, 1 << 16
 #: Rows that are sampled for each slice.
 SAMPLES = 8
 #: Keys of a block of the search for a slice.
@@ -170,9 +171,11 @@ def slice_of(numbered: DataFrame, order: Sequence[str], number: str, rows: int)
     Bounds come from one sorted sample.  A key that fills several slices, of exact copies, is a
     bound several times; its rows are dealt to those slices by their number.
     """
-    size = max(SLICE_ROWS, -(-rows // MOST_SLICES))
+    even = -(-rows // shuffle_width(numbered.sparkSession))
+    size = max(min(SLICE_ROWS, max(LEAST_ROWS, even)), -(-rows // MOST_SLICES))
+    single = F.when(F.col(number) < 0, 1).otherwise(0)  # no constant, which a plan would cross
     if rows <= size:
-        return F.lit(0)
+        return single
     key, kind = _search_key(numbered, order)
     some = F.pmod(F.xxhash64(number), F.lit(max(1, size // SAMPLES))) == 0
     # so many rows for each slice
@@ -187,7 +190,7 @@ def slice_of(numbered: DataFrame, order: Sequence[str], number: str, rows: int)
             first.append(at)
             times.append(1)
     if not keys:
-        return F.lit(0)
+        return single
     blocks = [keys[i : i + FAN] for i in range(0, len(keys), FAN)]
     table = _constant(blocks, f"array<array<{kind}>>")
 
