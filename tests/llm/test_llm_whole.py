@@ -1,13 +1,17 @@
 """The whole job: lines of any length, boxes within articles, rows that share an id."""
 
+import math
 import random
+import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from conftest import SF_SMALL
 from test_llm_brute import DOCS, Sets, changed, edit_distance, table_of
 
 import corpus_pipeline
-from tidewindow.llm import htmltext, linededup, simhash
+from tidewindow.llm import htmltext, lattice, linededup, simhash
 
 
 def plain_classes(places):
@@ -198,3 +202,43 @@ def test_counted_subtrees_decide(spark, monkeypatch):
         assert {r["page_id"]: r["text"] for r in htmltext.extract_text(pages).collect()} == want
     off = {r["page_id"]: r["text"] for r in htmltext.extract_text(pages, min_pages=10**9).collect()}
     assert all(off[i] != want[i] for i in want if i != 9)
+
+
+# ---- op1
+
+
+@pytest.mark.parametrize("frequent", [1 << 17, 40])
+def test_scores_of_whole_documents(spark, monkeypatch, frequent):
+    """The score of each text, from the scores that were learned, by sums from the end of its words."""
+    learned = {}
+    learn = lattice.learn
+
+    def noted(words, docs, pieces, shared, rounds):
+        learned["scores"], learned["pieces"] = learn(words, docs, pieces, shared, rounds), pieces
+        return learned["scores"]
+
+    monkeypatch.setattr(lattice, "learn", noted)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = lattice.score_documents(docs, frequent=frequent).collect()
+    scores, pieces = learned["scores"], learned["pieces"]
+    longest = max(map(len, pieces.spelled))
+    known = {}
+
+    def of_word(word):
+        if word not in known:
+            text = lattice.MARK + word
+            rest = [-math.inf] * len(text) + [0.0]
+            for at in range(len(text) - 1, -1, -1):
+                for stop in range(at + 1, min(len(text), at + longest) + 1):
+                    number = pieces.spelled.get(text[at:stop])
+                    if number is not None:
+                        rest[at] = np.logaddexp(rest[at], scores[number] + rest[stop])
+            known[word] = rest[0]
+        return known[word]
+
+    text_of = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert len(rows) == len(text_of)
+    for r in rows:
+        words = re.findall(rb"[^\x20\x09-\x0d]+", (text_of[r["doc_id"]] or "").encode().lower())
+        want = (math.fsum(of_word(w) for w in words) + scores[pieces.end]) / math.log(10)
+        assert math.isclose(r["score"], want, rel_tol=1e-9)
