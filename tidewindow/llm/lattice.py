@@ -10,10 +10,10 @@ its words, each with a mark before it, and a forward recursion in log space over
 bytes gives its share.
 
 *Size.*  All words are counted once, those of held-out documents as 0.  Learning and the
-lattices see each distinct word once.  Documents look up at most ``frequent`` words in a
-broadcast table; each of its other words a document emits once, to be joined with the table
-of all words.  So neither the vocabulary of the corpus nor a document's tokens are ever in one
-place.
+lattices see each distinct word once, in tasks.  Documents look up at most ``frequent`` words of
+at most ``SHORT`` bytes in a broadcast table; each of its other words a document emits once, to be
+joined with the table of all words.  So neither the vocabulary of the corpus nor a document's
+tokens are ever in one place.  The tokenizer's file is read on the driver and broadcast.
 
 Defined results: a null or empty text is one end token; without training documents all
 counts are 0 and all pieces are equally likely; a null id counts as the empty string for the
@@ -39,8 +39,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 FOLDS, HELD_OUT = 7, 2
 FREQUENT = 1 << 17
+#: Longest word in the broadcast table, in bytes.
+SHORT = 64
 REMEMBERED = 1 << 18
-ROUNDS = 1
+ROUNDS = 3
 
 
 class Pieces:
@@ -49,7 +51,9 @@ class Pieces:
     def __init__(self, model_file: str):
         import sentencepiece
 
-        processor = sentencepiece.SentencePieceProcessor(model_file=model_file)
+        with open(model_file, "rb") as stored:
+            self.model = stored.read()
+        processor = sentencepiece.SentencePieceProcessor(model_proto=self.model)
         spelled: dict[bytes, int] = {bytes([b]): b for b in range(256)}
         self.number_of: list[int] = []
         for i in range(processor.get_piece_size()):
@@ -62,7 +66,6 @@ class Pieces:
                 spelling = processor.id_to_piece(i).encode()
             self.number_of.append(spelled.setdefault(spelling, len(spelled)))
         self.spelled = spelled
-        self.model_file = model_file
         self.tree = spelling_tree(spelled)
         self.end = len(spelled)  # number of the end of a text
 
@@ -187,7 +190,7 @@ def _segmented(shared):
         import sentencepiece
 
         pieces = shared.value
-        processor = sentencepiece.SentencePieceProcessor(model_file=pieces.model_file)
+        processor = sentencepiece.SentencePieceProcessor(model_proto=pieces.model)
         number = np.array([*pieces.number_of, -1], np.int64)
         counts = np.zeros(pieces.end + 1)
         for batch in batches:
@@ -285,18 +288,20 @@ _SUMS = pa.struct([
 ])
 
 
-def _frequent(words: DataFrame, most: int) -> dict[bytes, int]:
-    """All words above the smallest count that not more than ``most`` words reach."""
-    sizes = words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("n").desc())
+def _frequent(words: DataFrame, most: int) -> dict[bytes, tuple[float, float]]:
+    """Both scores of all short words above the smallest count that not more than ``most`` reach."""
+    short = words.filter((F.col("c") > 0) & (F.octet_length("word") <= SHORT))
+    sizes = short.groupBy("c").agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("c").desc())
     least, total = None, 0
     for row in sizes.toLocalIterator():
         total += row["words"]
         if total > most:
             break
-        least = row["n"]
+        least = row["c"]
     if least is None:
         return {}
-    return {bytes(r["word"]): r["n"] for r in words.filter(F.col("n") >= least).collect()}
+    found = short.filter(F.col("c") >= least).collect()  # at most ``most`` short words
+    return {bytes(r["word"]): (math.log10(r["c"] + 1), r["own"]) for r in found}
 
 
 def score_documents(
@@ -322,9 +327,10 @@ def score_documents(
     pieces = Pieces(model_file)
     shared = context.broadcast(pieces)
     scores = learn(words, ends, pieces, shared, rounds)
-    common = {
-        w: (math.log10(n + 1), log_probability(pieces.tree, scores, w)) for w, n in _frequent(words, frequent).items()
-    }
+    of_words = pin(every.filter(F.col("word").isNotNull()).withColumnRenamed("n", "c").mapInArrow(
+        _word_scores(shared, context.broadcast(scores)), "word binary, c long, own double"
+    ))
+    common = _frequent(of_words, frequent)
     common[b""] = (math.log10(ends + 1), scores[pieces.end])
     once = plain.select("_doc", "_text")
     parts = (once if unique else once.dropDuplicates(["_doc"])).mapInArrow(
@@ -332,9 +338,6 @@ def score_documents(
         f"_doc {plain.schema['_doc'].dataType.simpleString()}, word binary, t long, "
         "sums struct<n_tokens:long,n_known:long,base:double,score:double>",
     )
-    of_words = every.filter(F.col("word").isNotNull()).withColumnRenamed("n", "c").mapInArrow(
-        _word_scores(shared, context.broadcast(scores)), "word binary, c long, own double"
-    )
     met = F.when(F.col("c") > 0, F.col("t")).otherwise(0)
     summed = parts.join(of_words, "word", "left").groupBy("_doc").agg(
         F.sum("sums.n_tokens").alias("n_tokens"),
