@@ -127,18 +127,28 @@ def signed_rows(changes: DataFrame) -> DataFrame:
     )
 
 
-def load_encoding(path: str):
-    """A byte-level encoding from a file of ranks."""
+def read_ranks(path: str) -> bytes:
+    with open(path, "rb") as stored:
+        return stored.read()
+
+
+def encoding_of(ranks: bytes):
+    """A byte-level encoding from the lines of a file of ranks."""
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pairs = map(bytes.split, ranks.splitlines())
+    return tiktoken.Encoding(
+        "own", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={}
+    )
+
+
+def load_encoding(path: str):
+    return encoding_of(read_ranks(path))
 
 
-def _counts(path: str, other_path: str, own: str):
+def _counts(shared, own: str):
     def run(batches: Iterator[pa.RecordBatch]):
-        encode, other = load_encoding(path).encode_ordinary, load_encoding(other_path).encode_ordinary
+        encode, other = (encoding_of(ranks).encode_ordinary for ranks in shared.value)
         for batch in slices(batches, "_text"):
             said = texts(batch, "_text")
             lines = [t.decode("utf-8", "replace") for t in said]
@@ -167,7 +177,9 @@ def token_counts(
         F.col(lang).cast("string").alias("_lang"), F.col(text).cast("binary").alias("_text"),
     )
     kind = docs.schema[doc_id].dataType.simpleString()
+    # Read on the driver: executors need not have the files.
+    shared = docs.sparkSession.sparkContext.broadcast((read_ranks(first), read_ranks(second)))
     return plain.mapInArrow(
-        _counts(first, second, own_lang),
+        _counts(shared, own_lang),
         f"_doc {kind}, _source string, _lang string, _same binary, _first long, _second long",
     )
