@@ -248,6 +248,32 @@ def test_typed_parts(spark):
     assert row["attachment_tokens"] == 3126
 
 
+def test_linked_parts(spark):
+    """Links in texts become attachments, and texts are read back as they were."""
+    texts = [
+        "![a](a.png){width=28 height=15} and \\![b \\](x/B.WAV){seconds=2.5}![c](c.pdf){pages=3}\n",
+        "<|image:0|> ![](d.jpeg)![not] (e.png) ![f](f g.png)",
+        "![g](g.png){width=99999999999 height=2} {x} \\<|image:7|>\\", "", None, "![h](h){height=14 width=14",
+    ]
+    rows = [(c, i, "assistant" if i % 2 else "user", t) for c in (1, 2) for i, t in enumerate(texts)]
+    formatted = chat.format_conversations(
+        spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    )
+    found = {r["conv_id"]: r for r in formatted.collect()}[1]
+    assert [(a["number"], a["type"], a["ref"], a["turn"], a["tokens"]) for a in found["attachments"]] == [
+        (0, "image", "a.png", 0, 4), (1, "audio", "x/B.WAV", 0, 63), (2, "document", "c.pdf", 0, 3072),
+        (3, "image", "d.jpeg", 1, 0), (4, "image", "g.png", 2, 0), (5, "image", "h", 5, 0),
+    ]
+    assert "<|turn|>user<|text|><|image:0|> and \\\\<|audio:1|><|document:2|>\n<|end|>" in found["formatted"]
+    assert "<\\|image:0|> <|image:3|>![not] (e.png) ![f](f g.png)" in found["formatted"]
+    for r in chat.digests(formatted).collect():
+        said = [(role, t or "") for c, _, role, t in rows if c == r["conv_id"]]
+        loss = "".join(t for role, t in said if role == "assistant")
+        assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{t}\n" for a, t in said).encode()).hexdigest()
+        assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest() and r["loss_chars"] == len(loss)
+        assert (r["n_attachments"], r["attachment_tokens"]) == (6, 3139)
+
+
 # ---- op4
 
 

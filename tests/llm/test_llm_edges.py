@@ -142,6 +142,9 @@ def test_chat_edges(spark):
     assert out[None]["loss_chars"] == 100_000
     assert out[2]["loss_sha256"] == hashlib.sha256(b"samesame").hexdigest()
     assert chat.format_conversations(rows.limit(0)).count() == 0
+    broken = rows.selectExpr("conv_id", "turn", "CAST(unhex('61FF') AS STRING) AS role", "CAST(unhex('C362') AS STRING) AS text")
+    said = {r["conv_id"]: r for r in chat.digests(chat.format_conversations(broken)).collect()}
+    assert said[None]["turns_sha256"] == hashlib.sha256("a\ufffd\n\ufffdb\n".encode()).hexdigest()
 
 
 def test_page_edges(spark):
@@ -156,6 +159,20 @@ def test_page_edges(spark):
     assert htmltext.extract_text(pages.limit(0)).count() == 0
 
 
+def test_token_count_edges(spark, docs):
+    """Long texts are counted whole; columns of the same names do no harm."""
+    files = (f"{rollups.FOLDER}/byte_bpe_50k.tiktoken", f"{rollups.FOLDER}/byte_bpe_multi_50k.tiktoken", "en")
+    rows = rollups.token_counts(docs, *files).collect()
+    coder = rollups.load_encoding(files[0])
+    want = [(r[0], len(coder.encode_ordinary(r[1] or ""))) for r in ROWS]
+    assert sorted(map(repr, ((r["_doc"], r["_first"]) for r in rows))) == sorted(map(repr, want))
+    assert [r["_second"] for r in rows if r["_doc"] == 2] == [0]
+    assert all((r["_second"] is None) == (r["_lang"] == "en") for r in rows)
+    clashing = with_clashes(docs).selectExpr("*", "'x' AS _lang", "'x' AS _same", "'x' AS _first", "'x' AS _second")
+    assert sorted(map(repr, rollups.token_counts(clashing, *files).collect())) == sorted(map(repr, rows))
+    assert rollups.token_counts(docs.limit(0), *files).count() == 0
+
+
 def test_rollup_edges(spark, tmp_path):
     rollup = rollups.Rollup(spark, str(tmp_path / "r"))
     assert rollup.totals().count() == 0
