@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 # Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE_SPACE = " \t\n\x0b\x0c\r"
-#: Rows of a table of sources or hosts that may be broadcast; a row is a name and a few numbers.
-SMALL_ROWS = 100_000
+#: A table of sources or hosts may be broadcast up to these rows and bytes of names.
+SMALL_ROWS, SMALL_BYTES = 100_000, 16 << 20
 
 
 def whole(text: str) -> Column:
@@ -38,9 +38,13 @@ def total(values: Column) -> Column:
 
 
 def small(table: DataFrame) -> DataFrame:
-    """A pinned table, to be broadcast if it has few rows; else it is joined by a shuffle,
-    in which adaptive execution splits a hot key."""
-    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
+    """A pinned table, to be broadcast if it has few rows and short names; else it is joined by
+    a shuffle, in which adaptive execution splits a hot key."""
+    names = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, t in table.dtypes if t in ("string", "binary")]
+    size = table.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(sum(names, F.lit(0).cast("long"))).alias("b")
+    ).first()
+    return F.broadcast(table) if size["n"] <= SMALL_ROWS and (size["b"] or 0) <= SMALL_BYTES else table
 
 
 def row_key(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, bool]:
