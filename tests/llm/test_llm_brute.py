@@ -116,9 +116,20 @@ def test_lattice_sums_all_segmentations():
         assert math.isclose(lattice.log_probability(pieces.tree, scores, word), math.log(sum(weigh)), rel_tol=1e-12)
         counts = [0.0] * 11
         lattice.expected_counts(pieces.tree, scores, word, 3, counts)
+        short = [0.0] * 11
+        lattice.expected_counts_of_short(pieces.tree, [math.exp(s) for s in scores], word, 3, short)
         for s, i in pieces.spelled.items():
             expected = 3 * sum(w * way.count(s) for w, way in zip(weigh, ways)) / sum(weigh)
             assert math.isclose(counts[i], expected, rel_tol=1e-9, abs_tol=1e-12)
+            assert math.isclose(short[i], expected, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_words_of_all_lengths_are_learned_alike(spark, monkeypatch):
+    docs = documents(spark)
+    plain = {r["doc_id"]: r["score"] for r in lattice.score_documents(docs).collect()}
+    monkeypatch.setattr(lattice, "SMALLEST_LOG", 0.0)  # every word counts as a long one
+    for r in lattice.score_documents(docs).collect():
+        assert math.isclose(r["score"], plain[r["doc_id"]], rel_tol=1e-9)
 
 
 def test_learning_raises_the_score(spark):

@@ -41,6 +41,8 @@ FOLDS, HELD_OUT = 7, 2
 FREQUENT = 1 << 17
 #: Longest word in the broadcast table, in bytes.
 SHORT = 64
+#: Log of the smallest probability of a segmentation that is not kept as a log while learning.
+SMALLEST_LOG = -600.0
 REMEMBERED = 1 << 18
 ROUNDS = 3
 
@@ -141,6 +143,30 @@ def expected_counts(tree: dict, scores: list[float], word: bytes, times: int, in
         left[start] = way if known is None else _add(known, way)
 
 
+def expected_counts_of_short(tree: dict, chances: list[float], word: bytes, times: int, into) -> None:
+    """The same from probabilities, for words whose product of probabilities is a float."""
+    word = MARK + word
+    n = len(word)
+    reached = [1.0] + [0.0] * n
+    edges = []
+    for start in range(n):
+        here, node = reached[start], tree
+        for stop in range(start, n):
+            node = node.get(word[stop])
+            if node is None:
+                break
+            number = node.get(-1)
+            if number is not None:
+                way = here * chances[number]
+                reached[stop + 1] += way
+                edges.append((start, stop + 1, number, way))
+    left = [0.0] * n + [times / reached[n]]
+    for start, stop, number, way in reversed(edges):
+        rest = left[stop]
+        into[number] += way * rest
+        left[start] += chances[number] * rest
+
+
 def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -210,10 +236,16 @@ def _segmented(shared):
 def _expected(shared, scores):
     def run(batches):
         pieces, table = shared.value, scores.value
+        chances = [math.exp(s) for s in table]
+        # A segmentation has as many pieces as bytes at most, each no rarer than the rarest one.
+        short = SMALLEST_LOG / min(table) - len(MARK)
         counts = [0.0] * (pieces.end + 1)
         for batch in batches:
             for word, times in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                expected_counts(pieces.tree, table, word, times, counts)
+                if len(word) <= short:
+                    expected_counts_of_short(pieces.tree, chances, word, times, counts)
+                else:
+                    expected_counts(pieces.tree, table, word, times, counts)
         yield _piece_rows(np.array(counts))
 
     return run
