@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidewindow.contract import DECODED, EVENT_COLUMNS, EVENT_SCHEMA
 from tidewindow.operators import health, metrics
+from tidewindow.plans.catalog import stream_weeks
 from tidewindow.sinks.tables import Tables
 from tidewindow.sources import tables as reads
 from tidewindow.sources.clickstream import CLICKSTREAM_POLICY, clickstream
@@ -494,3 +495,29 @@ def test_counts_of_history_and_job_agree(spark, run):
     kept = reads.read_cold(spark, run.tables).join(late, "event_id", "left_anti")
     batch = counted(metrics.windowed_counts(kept))
     assert run.hot().items() <= batch.items()
+
+
+def test_few_counts_make_one_file_and_listeners_end(spark, run):
+    def listeners():
+        return len(spark._jsparkSession.streams().listListeners())
+
+    before = listeners()
+    run.add([event(n, 60, campaign_id=f"camp_{n}") for n in range(40)])
+    run.job()
+    written = os.listdir(run.tables.open_windows(0))
+    assert len([name for name in written if name.endswith(".parquet")]) == 1
+    assert spark.read.parquet(run.tables.open_windows(0)).count() == 40
+    until = time.time() + 30
+    while listeners() > before and time.time() < until:
+        time.sleep(0.1)
+    assert listeners() <= before
+
+
+def test_weeks_are_sent_once(spark, tmp_path):
+    """All weeks are written in one go, and a run finds its own week only."""
+    tables = stream_weeks(spark, SF_SMALL, str(tmp_path))
+    assert os.listdir(tmp_path / "in") == []
+    weeks = {name for name in os.listdir(tmp_path / "done") if name.startswith("week=")}
+    assert len(weeks) == reads.read_progress(spark, tables).count() > 3
+    sent = spark.read.parquet(f"{tmp_path}/done")
+    assert sent.count() == clickstream(spark, SF_SMALL).count()

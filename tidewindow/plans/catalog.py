@@ -25,7 +25,14 @@ from tidewindow.operators import (
 )
 from tidewindow.session import run_folder
 from tidewindow.sinks import compaction, external, versions
-from tidewindow.sinks.tables import Tables, cold_rows, write_batch, write_cold, write_hot
+from tidewindow.sinks.tables import (
+    Tables,
+    cold_rows,
+    move_folder,
+    write_batch,
+    write_cold,
+    write_hot,
+)
 from tidewindow.sources.clickstream import (
     CLICKSTREAM_POLICY,
     clickstream,
@@ -438,6 +445,7 @@ def ingest_latency_by_campaign(spark, sf_dir):
 # ---- the streaming job
 
 _jobs: dict[tuple[str, str], Tables] = {}
+ROWS_PER_SENT_FILE = 200_000
 
 
 def stream_weeks(spark: SparkSession, sf_dir: str, root: str) -> Tables:
@@ -455,12 +463,18 @@ def stream_weeks(spark: SparkSession, sf_dir: str, root: str) -> Tables:
     week = F.floor(days / 7) + F.when(held_back, 1).otherwise(0)
     sent = events.select(*C.EVENT_COLUMNS, week.alias("week"))
     tables = Tables(f"{root}/tables")
+    # Written once for all weeks; a large week is several files, so that a batch has many tasks.
+    sent.hint("rebalance", "week").write.option("maxRecordsPerFile", ROWS_PER_SENT_FILE).partitionBy(
+        "week"
+    ).parquet(f"{root}/sent")
     for (number,) in sorted(sent.select("week").distinct().collect()):  # a row for each week
-        sent.where(F.col("week") == number).drop("week").write.parquet(f"{root}/in/week={number}")
+        move_folder(spark, f"{root}/sent/week={number}", f"{root}/in/week={number}")
         # all files that are new since the last run are one batch
         StreamJob(tables, CLICKSTREAM_POLICY).start(
             file_stream(spark, f"{root}/in/*"), f"{root}/checkpoint", availableNow=True
         ).awaitTermination()
+        # out of the way, so that a run lists the files of its own week only
+        move_folder(spark, f"{root}/in/week={number}", f"{root}/done/week={number}")
     return tables
 
 

@@ -126,6 +126,16 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in found if f.isDirectory()]
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the folder that ``to`` lies in is made if it is missing."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place, new = hadoop.Path(path), hadoop.Path(to)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(new.getParent())
+    if not system.rename(place, new):
+        raise OSError(f"{path} cannot be renamed to {to}")
+
+
 def create_cold_table(spark: SparkSession, name: str, location: str) -> None:
     """Register the history as a catalog table partitioned by batch and day.
 

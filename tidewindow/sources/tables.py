@@ -55,8 +55,10 @@ def read_latest_windows(
         reverse=True,
     )
     some = spark.createDataFrame([], HOT_SCHEMA)
+    newest = spark.read.schema(HOT_SCHEMA).option("basePath", tables.hot)
     for upto in range(folders, len(numbers) + folders, folders):
-        some = read_hot(spark, tables).where(F.col("batch_id") >= numbers[min(upto, len(numbers)) - 1])
+        # other folders are not listed
+        some = newest.parquet(*[f"{tables.hot}/batch_id={number}" for number in numbers[:upto]])
         if some.limit(n).count() == n:
             break
     return latest_windows(some, n)

@@ -147,9 +147,11 @@ class StreamJob:
             known = [t for t in (before, seen["newest"]) if t is not None]
             reached = max(known, default=None)
             good = tagged.where("reason IS NULL")
+            closed, still_open = self._counts(spark, good.where("NOT is_late"), reached, batch_id)
             writes = [
                 lambda: self._write_cold(good, batch_id),
-                lambda: self._count(spark, good.where("NOT is_late"), reached, batch_id),
+                lambda: self._write_closed(closed, batch_id),
+                lambda: still_open.write.mode("overwrite").parquet(self.tables.open_windows(batch_id)),
             ]
             writes += [lambda sink=sink: sink(good, batch_id) for sink in self.cold_sinks]
             if self.dedup:
@@ -258,12 +260,14 @@ class StreamJob:
 
     # ---- counts and commit
 
-    def _count(
+    def _counts(
         self, spark: SparkSession, in_time: DataFrame, reached: int | None, batch_id: int
-    ) -> None:
-        """Add the batch to the open windows and hand out those it closes.
+    ) -> tuple[DataFrame, DataFrame]:
+        """The open windows and the batch added up: windows it closes, and those it leaves open.
 
-        Only windows ahead of the watermark are carried from batch to batch.
+        Only windows ahead of the watermark are carried from batch to batch.  What is asked of
+        a window's end is asked of its events before they are counted, so either table counts
+        its own events and the number of partitions follows their size.
         """
         counts = windowed_counts(in_time, self.policy.width_seconds)
         if batch_id > 0:
@@ -271,17 +275,19 @@ class StreamJob:
                 self.tables.open_windows(batch_id - 1)
             )
             counts = merge_by_sum(carried, counts)
-        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
         closed = F.coalesce(F.col("window_end") <= self._watermark(reached), F.lit(False))
+        return counts.where(closed), counts.where(~closed)
+
+    def _write_closed(self, closed: DataFrame, batch_id: int) -> None:
+        if not self.hot_sinks:
+            return write_hot(closed, self.tables.hot, batch_id)
+        closed = closed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_hot(counts.where(closed), self.tables.hot, batch_id)
+            write_hot(closed, self.tables.hot, batch_id)
             for sink in self.hot_sinks:
-                sink(counts.where(closed))
-            counts.where(~closed).write.mode("overwrite").parquet(
-                self.tables.open_windows(batch_id)
-            )
+                sink(closed)
         finally:
-            counts.unpersist()
+            closed.unpersist()
 
     def _commit(
         self, spark: SparkSession, batch_id: int, reached: int | None, seen: Row,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
@@ -19,7 +20,7 @@ class ReportLog(StreamingQueryListener):
         report = event.progress
         if str(report.runId) != self.run_id or not report.numInputRows:
             return
-        row = self.spark.createDataFrame([(report.json,)], "json string").coalesce(1)
+        row = self.spark.range(1, numPartitions=1).select(F.lit(report.json).alias("json"))
         row.write.mode("overwrite").parquet(
             f"{self.path}/run_id={self.run_id}/batch_id={report.batchId}"
         )
@@ -28,7 +29,9 @@ class ReportLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        """Reports of a run come before its end; later runs have listeners of their own."""
+        if str(event.runId) == self.run_id:
+            self.spark.streams.removeListener(self)
 
 
 def keep_reports(spark: SparkSession, query: StreamingQuery, path: str) -> None:
