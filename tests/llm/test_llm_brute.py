@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from conftest import SF_SMALL
@@ -124,6 +125,23 @@ def test_lattice_sums_all_segmentations():
             assert math.isclose(short[i], expected, rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_short_lattices_are_summed_together():
+    """Words of several lengths and scripts at once, some twice, against one word at a time."""
+    pieces, draw = lattice.Pieces(lattice.MODEL), random.Random(4)
+    scores = pieces.scores(np.array([draw.random() * 1000 for _ in range(pieces.end + 1)])).tolist()
+    letters = ["a", "e", "s", "t", "th", "ing", "é", "Ω", "字", "\x00", "7"]
+    words = ["".join(draw.choices(letters, k=draw.randint(1, 9))).encode() for _ in range(300)]
+    words += [b"\xff\x80", b"the", b"the", b"x" * int(lattice.short_size(scores))]
+    times = np.array([draw.randint(1, 9) for _ in words])
+    found = lattice.ShortLattices(pieces, np.exp(scores), words)
+    plain = [lattice.log_probability(pieces.tree, scores, w) for w in words]
+    assert np.allclose(found.log_probabilities(), plain, rtol=1e-12)
+    counts = [0.0] * (pieces.end + 1)
+    for word, n in zip(words, times.tolist()):
+        lattice.expected_counts(pieces.tree, scores, word, n, counts)
+    assert np.allclose(found.expected(times, len(counts)), counts, rtol=1e-9, atol=1e-9)
+
+
 def test_words_of_all_lengths_are_learned_alike(spark, monkeypatch):
     docs = documents(spark)
     plain = {r["doc_id"]: r["score"] for r in lattice.score_documents(docs).collect()}

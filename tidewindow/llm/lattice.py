@@ -6,8 +6,9 @@ the end of a text, are learned from the training documents: counts of the tokeni
 segmentation first, then expected counts over all segmentations (``rounds`` steps of
 expectation and maximisation).  The probability of a text is the sum over all its
 segmentations.  Pieces do not cross white space, so the lattice of a text falls into those of
-its words, each with a mark before it, and a forward recursion in log space over a word's
-bytes gives its share.
+its words, each with a mark before it, and a forward recursion over a word's bytes gives its
+share: in log space for long words, from plain probabilities and for many words at once for
+short ones.
 
 *Size.*  All words are counted once, those of held-out documents as 0.  Learning and the
 lattices see each distinct word once, in tasks.  Documents look up at most ``frequent`` words of
@@ -41,7 +42,7 @@ FOLDS, HELD_OUT = 7, 2
 FREQUENT = 1 << 17
 #: Longest word in the broadcast table, in bytes.
 SHORT = 64
-#: Log of the smallest probability of a segmentation that is not kept as a log while learning.
+#: Log of the smallest probability of a segmentation that is not kept as a log.
 SMALLEST_LOG = -600.0
 REMEMBERED = 1 << 18
 ROUNDS = 3
@@ -69,6 +70,7 @@ class Pieces:
             self.number_of.append(spelled.setdefault(spelling, len(spelled)))
         self.spelled = spelled
         self.tree = spelling_tree(spelled)
+        self.children, self.piece = tree_arrays(self.tree)
         self.end = len(spelled)  # number of the end of a text
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
@@ -87,6 +89,23 @@ def spelling_tree(spelled: dict[bytes, int]) -> dict:
     return tree
 
 
+def tree_arrays(tree: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The tree as arrays: the next node by node and byte, -1 for none, and the piece of a node,
+    -1 for none.  Nodes that end come last and share the last row, which leads nowhere."""
+    inner, ends = [tree], []
+    for node in inner:  # grows while it is walked
+        for byte, child in node.items():
+            if byte >= 0:
+                (inner if len(child) > (-1 in child) else ends).append(child)
+    place = {id(node): k for k, node in enumerate(inner + ends)}
+    children = np.full((len(inner) + 1, 256), -1, np.int32)
+    for k, node in enumerate(inner):
+        for byte, child in node.items():
+            if byte >= 0:
+                children[k, byte] = place[id(child)]
+    return children, np.array([node.get(-1, -1) for node in inner + ends], np.int32)
+
+
 def _add(x: float, y: float) -> float:
     """Log of the sum of two numbers given by their logs."""
     return x + math.log1p(math.exp(y - x)) if x > y else y + math.log1p(math.exp(x - y))
@@ -144,7 +163,8 @@ def expected_counts(tree: dict, scores: list[float], word: bytes, times: int, in
 
 
 def expected_counts_of_short(tree: dict, chances: list[float], word: bytes, times: int, into) -> None:
-    """The same from probabilities, for words whose product of probabilities is a float."""
+    """The same from probabilities, for one word whose product of probabilities is a float;
+    ``ShortLattices`` takes many such words at once."""
     word = MARK + word
     n = len(word)
     reached = [1.0] + [0.0] * n
@@ -167,6 +187,74 @@ def expected_counts_of_short(tree: dict, chances: list[float], word: bytes, time
         left[start] += chances[number] * rest
 
 
+class ShortLattices:
+    """The lattices of many words at once, for words whose product of probabilities is a float.
+
+    Words are sorted by length, longest first, so those that reach a place are the first ones.
+    One step takes all edges from one place to another; a word has one of them at most.
+    """
+
+    def __init__(self, pieces: Pieces, chances: np.ndarray, words: list[bytes]):
+        marked = [MARK + w for w in words]
+        sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+        self.order = np.argsort(-sizes, kind="stable")
+        self.sizes, self.chances = sizes[self.order], chances
+        count, width = len(marked), int(self.sizes[0])
+        padded = b"".join(marked[i].ljust(width, b"\0") for i in self.order)
+        letters = np.ascontiguousarray(np.frombuffer(padded, np.uint8).reshape(count, width).T)
+        longer = np.searchsorted(-self.sizes, -np.arange(width + 1), "left")  # words beyond a place
+        last = len(pieces.children) - 1
+        self.reached = np.zeros((width + 1, count))
+        self.reached[0] = 1.0
+        self.edges: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for start in range(width):
+            rows = np.arange(longer[start])
+            node = pieces.children[0, letters[start, : len(rows)]]
+            for stop in range(start + 1, width + 1):
+                number = pieces.piece[node]
+                known = number >= 0
+                at, number = rows[known], number[known]
+                if len(at):
+                    way = self.reached[start, at] * chances[number]
+                    self.reached[stop, at] += way
+                    self.edges.append((start, stop, at, number, way))
+                going = np.searchsorted(rows, longer[stop])
+                rows = rows[:going]
+                node = pieces.children[np.minimum(node[:going], last), letters[stop, rows]] if going else node[:0]
+                alive = node >= 0
+                rows, node = rows[alive], node[alive]
+                if not len(rows):
+                    break
+
+    def totals(self) -> np.ndarray:
+        """Sum over all segmentations, by word in sorted order."""
+        return self.reached[self.sizes, np.arange(len(self.sizes))]
+
+    def log_probabilities(self) -> np.ndarray:
+        found = np.empty(len(self.sizes))
+        found[self.order] = np.log(self.totals())
+        return found
+
+    def expected(self, times: np.ndarray, size: int) -> np.ndarray:
+        """Expected numbers of the pieces in all words."""
+        left = np.zeros_like(self.reached)  # from a place to the end
+        left[self.sizes, np.arange(len(self.sizes))] = times[self.order] / self.totals()
+        weights = []
+        # By descending start, so all that begin where an edge ends have been seen.
+        for start, stop, at, number, way in reversed(self.edges):
+            rest = left[stop, at]
+            weights.append(way * rest)
+            left[start, at] += self.chances[number] * rest
+        numbers = [number for _, _, _, number, _ in reversed(self.edges)]
+        return np.bincount(np.concatenate(numbers), np.concatenate(weights), size)
+
+
+def short_size(scores: list[float]) -> float:
+    """Bytes of the longest word for ``ShortLattices``: a segmentation has as many pieces as
+    bytes at most, each no rarer than the rarest one."""
+    return SMALLEST_LOG / min(scores) - len(MARK)
+
+
 def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -199,9 +287,17 @@ def _word_counts(batches):
 
 def _word_scores(shared, scores):
     def run(batches):
-        tree, table = shared.value.tree, scores.value
+        pieces, table = shared.value, scores.value
+        chances, short = np.exp(table), short_size(table)
         for batch in batches:
-            found = [log_probability(tree, table, w) for w in batch.column("word").to_pylist()]
+            words = batch.column("word").to_pylist()
+            found = np.empty(len(words))
+            fits = np.fromiter((len(w) <= short for w in words), bool, len(words))
+            some = np.flatnonzero(fits)
+            if len(some):
+                found[some] = ShortLattices(pieces, chances, [words[i] for i in some]).log_probabilities()
+            for i in np.flatnonzero(~fits):
+                found[i] = log_probability(pieces.tree, table, words[i])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("c"), pa.array(found, pa.float64())], ["word", "c", "own"]
             )
@@ -236,17 +332,18 @@ def _segmented(shared):
 def _expected(shared, scores):
     def run(batches):
         pieces, table = shared.value, scores.value
-        chances = [math.exp(s) for s in table]
-        # A segmentation has as many pieces as bytes at most, each no rarer than the rarest one.
-        short = SMALLEST_LOG / min(table) - len(MARK)
-        counts = [0.0] * (pieces.end + 1)
+        chances, short = np.exp(table), short_size(table)
+        counts, of_long = np.zeros(pieces.end + 1), [0.0] * (pieces.end + 1)
         for batch in batches:
-            for word, times in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                if len(word) <= short:
-                    expected_counts_of_short(pieces.tree, chances, word, times, counts)
-                else:
-                    expected_counts(pieces.tree, table, word, times, counts)
-        yield _piece_rows(np.array(counts))
+            words, times = batch.column("word").to_pylist(), batch.column("n").to_numpy()
+            fits = np.fromiter((len(w) <= short for w in words), bool, len(words))
+            some = np.flatnonzero(fits)
+            if len(some):
+                found = ShortLattices(pieces, chances, [words[i] for i in some])
+                counts += found.expected(times[some], len(counts))
+            for i in np.flatnonzero(~fits):
+                expected_counts(pieces.tree, table, words[i], int(times[i]), of_long)
+        yield _piece_rows(counts + np.array(of_long))
 
     return run
 
