@@ -242,3 +242,21 @@ def test_scores_of_whole_documents(spark, monkeypatch, frequent):
         words = re.findall(rb"[^\x20\x09-\x0d]+", (text_of[r["doc_id"]] or "").encode().lower())
         want = (math.fsum(of_word(w) for w in words) + scores[pieces.end]) / math.log(10)
         assert math.isclose(r["score"], want, rel_tol=1e-9)
+
+
+def test_lines_of_all_lengths_get_keys_at_once(monkeypatch):
+    """One running sum serves lines of different lengths; keys are those of each line alone."""
+    draw = random.Random(8)
+    lines = ["".join(draw.choices("abé字 ", k=n)).encode() for n in [*range(15, 140), 500, 40, 40]]
+    lines += [b"a" * 60, b"ab" * 45]  # their segments repeat
+    sums, made = linededup._running_sums, []
+    monkeypatch.setattr(linededup, "_running_sums", lambda points: made.append(len(points)) or sums(points))
+    calls, keyed = linededup._mixed, []
+    monkeypatch.setattr(linededup, "_mixed", lambda *given: keyed.append(1) or calls(*given))
+    found = linededup.line_keys(lines, 2, {})
+    assert len(made) == len(keyed) == 1
+    for number, line in enumerate(lines):
+        alone = linededup.line_keys([line], 2, {})
+        mine = found[2] == number
+        assert found[0][mine].tolist() == alone[0].tolist()
+        assert found[1][mine].tolist() == alone[1].tolist()

@@ -144,8 +144,10 @@ _powers = _Powers()
 def _mixed(sums: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     keys = sums + seeds * BASE
     for shift, factor in zip((30, 27), MIX):
-        keys = (keys ^ (keys >> np.uint64(shift))) * factor
-    return keys ^ (keys >> np.uint64(31))
+        keys ^= keys >> np.uint64(shift)
+        keys *= factor
+    keys ^= keys >> np.uint64(31)
+    return keys
 
 
 def segment_key(points: np.ndarray, indexed: int, segment: int, distance: int) -> int:
@@ -159,27 +161,60 @@ def segment_key(points: np.ndarray, indexed: int, segment: int, distance: int) -
     return int(_mixed(total, np.array([indexed * (distance + 1) + segment], np.uint64))[0])
 
 
-class _Plan:
-    """What lines of one length probe, and where their own segments are, as arrays."""
+class _Plans:
+    """What lines probe, and where their own segments are: the plans of all lengths met so far,
+    one after another, so that lines of all lengths are looked up at once."""
 
-    def __init__(self, length: int, distance: int):
-        plan = probes(length, distance)
-        self.at, self.size = (np.array([p[k] for p in plan], np.int64) for k in (2, 3))
-        self.seeds = np.array([p[0] * (distance + 1) + p[1] for p in plan], np.uint64)
-        own = segments(length, budget(length, distance))
-        self.first = np.array([p[0] == length and p[2] == own[p[1]][0] for p in plan], bool)
-        # the column of the own segment that a probe of the same length could repeat
-        place = {p[1]: k for k, p in enumerate(plan) if self.first[k]}
-        self.own = np.array([place[p[1]] if p[0] == length else -1 for p in plan], np.int64)
-
-    def keys(self, points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the lines that begin at ``starts``, and which of them to keep."""
-        _, down = _powers(len(points) + 1)
-        sums = points  # running sums, with a leading zero
-        a = starts[:, None] + self.at
-        keys = _mixed((sums[a + self.size] - sums[a]) * down[a], self.seeds)
-        repeats = (self.own >= 0) & ~self.first & (keys == keys[:, self.own])
-        return keys, ~repeats
+    def __init__(self, distance: int):
+        self.distance = distance
+        self.place: dict[int, tuple[int, int]] = {}  # of a length: where its plan begins, and its size
+        self.columns = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, bool, np.int64)]
+
+    def _plan(self, length: int) -> list[np.ndarray]:
+        plan = probes(length, self.distance)
+        at, size = (np.array([p[k] for p in plan], np.int64) for k in (2, 3))
+        seeds = np.array([p[0] * (self.distance + 1) + p[1] for p in plan], np.uint64)
+        own = segments(length, budget(length, self.distance))
+        first = np.array([p[0] == length and p[2] == own[p[1]][0] for p in plan], bool)
+        # the place of the own segment that a probe of the same length could repeat
+        place = {p[1]: k for k, p in enumerate(plan) if first[k]}
+        again = [place[p[1]] if p[0] == length and not first[k] else -1 for k, p in enumerate(plan)]
+        return [at, size, seeds, first, np.array(again, np.int64)]
+
+    def add(self, lengths: set[int]) -> None:
+        parts, end = [self.columns], len(self.columns[0])
+        for length in lengths - self.place.keys():
+            plan = self._plan(length)
+            self.place[length] = (end, len(plan[0]))
+            end += len(plan[0])
+            parts.append(plan)
+        if len(parts) > 1:
+            self.columns = [np.concatenate(column) for column in zip(*parts)]
+
+    def keys(
+        self, points: np.ndarray, sizes: list[int], numbers: list[int]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of lines that lie one after another in ``points``, whether a line is indexed
+        under them, and the number of the line."""
+        self.add(set(sizes))
+        sums = _running_sums(points)
+        _, down = _powers(len(sums))
+        length = np.array(sizes, np.int64)
+        begin, many = np.array([self.place[n] for n in sizes], np.int64).T
+        before = np.cumsum(many) - many  # keys of the lines before
+        entry = np.arange(many.sum()) + np.repeat(begin - before, many)
+        at, size, seeds, first, again = (column[entry] for column in self.columns)
+        at += np.repeat(np.cumsum(length) - length, many)
+        keys = sums[at + size]
+        keys -= sums[at]
+        keys *= down[at]
+        keys = _mixed(keys, seeds)
+        repeats = np.flatnonzero(again >= 0)
+        repeats = repeats[keys[repeats] == keys[np.repeat(before, many)[repeats] + again[repeats]]]
+        line = np.repeat(np.array(numbers, np.int64), many)
+        if not len(repeats):
+            return keys, first, line
+        return tuple(np.delete(column, repeats) for column in (keys, first, line))
 
 
 def _running_sums(points: np.ndarray) -> np.ndarray:
@@ -189,27 +224,18 @@ def _running_sums(points: np.ndarray) -> np.ndarray:
     return sums
 
 
-def line_keys(lines: list[bytes], distance: int, plans: dict[int, _Plan]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def line_keys(
+    lines: list[bytes], distance: int, plans: dict[int, _Plans]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of lines, whether a line is indexed under them, and the number of the line."""
     some: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     texts_, sizes, numbers = [], [], []
+    if distance not in plans:
+        plans[distance] = _Plans(distance)
+    mine = plans[distance]
 
     def settle() -> None:
-        sums = _running_sums(code_points("".join(texts_)))
-        length = np.array(sizes, np.int64)
-        start, number = np.cumsum(length) - length, np.array(numbers, np.int64)
-        order = np.argsort(length, kind="stable")
-        cuts = np.flatnonzero(np.diff(length[order])) + 1
-        for rows in np.split(order, cuts):
-            size = int(length[rows[0]])
-            plan = plans.get(size)
-            if plan is None:
-                plan = plans[size] = _Plan(size, distance)
-            if len(plan.at):
-                keys, kept = plan.keys(sums, start[rows])
-                first = np.broadcast_to(plan.first, keys.shape)
-                line = np.broadcast_to(number[rows][:, None], keys.shape)
-                some.append((keys[kept], first[kept], line[kept]))
+        some.append(mine.keys(code_points("".join(texts_)), sizes, numbers))
         texts_.clear()
         sizes.clear()
         numbers.clear()
